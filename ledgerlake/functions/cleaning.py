@@ -41,7 +41,7 @@ def to_date_col(c: str, on_bad: str = "fail", pattern: str = DATE_PATTERN) -> Co
     """P8."""
     _check(on_bad)
     if on_bad == "null":
-        return F.try_to_date(F.col(c), F.lit(pattern))
+        return F.try_to_date(F.col(c), pattern)
     return F.to_date(F.col(c), pattern)
 
 
