@@ -118,5 +118,5 @@ __all__ = [
     "monthly_category_sales", "category_month_stats", "city_sales", "customer_value",
     "product_sales", "top_products_by_category", "product_rank_all",
     "customers_ranked_in_state", "running_revenue", "latest_order_per_customer",
-    "latest_customer_profile", "sorted_for_display",
+    "latest_customer_profile", "sorted_for_display", "running_total",
 ]

@@ -31,6 +31,7 @@ from ledgerlake.functions.cleaning import (blank_to_default, cast_col, safe_deci
 from ledgerlake.functions.money import (discount_amount, gross_amount, net_amount,
                                         unit_profit)
 from ledgerlake.operators.latest import keep_latest
+from ledgerlake.operators.skew import salted_join
 from ledgerlake.schemas import (ACTIVE_FLAG, CUSTOMER_COLUMNS, MONTH_PATTERN,
                                 NON_FINANCIAL_STATUSES)
 
@@ -140,32 +141,43 @@ def financial_orders(silver_orders: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- enriched
-def enrich(orders_fin: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
-    """silver_sales_enriched."""
+def enrich(orders_fin: DataFrame, products: DataFrame, customers: DataFrame,
+           skew_safe: bool = True) -> DataFrame:
+    """silver_sales_enriched.
+
+    Inner joins on customer_id and product_id (join order does not change an
+    inner join's result). The customer side is the output of the dedup
+    aggregate, already partitioned on customer_id, so AQE could not split a
+    hot customer there: that join is salted (``skew_safe``). The product
+    join follows on two fresh shuffles, where AQE's skew split applies.
+    """
     o, p, c = orders_fin.alias("o"), products.alias("p"), customers.alias("c")
-    j = o.join(p, on="product_id", how="inner").join(c, on="customer_id", how="inner")
+    if skew_safe:
+        oc = salted_join(o, c, "customer_id", "inner")
+    else:
+        oc = o.join(c, on="customer_id", how="inner")
+    j = oc.join(p, on="product_id", how="inner")
     gross = gross_amount(F.col("o.quantity"), F.col("p.unit_price"))
-    disc = discount_amount(F.col("gross_amount"), F.col("o.discount_pct"))
+    disc = discount_amount(gross, F.col("o.discount_pct"))
+    net = net_amount(gross, disc)
     actual, promised = F.col("o.actual_delivery_date"), F.col("o.promised_delivery_date")
-    j = (j.withColumn("gross_amount", gross)
-          .withColumn("discount_amount", disc)
-          .withColumn("net_amount", net_amount(F.col("gross_amount"), F.col("discount_amount")))
-          .withColumn("net_sales", F.col("net_amount"))
-          .withColumn("profit_per_unit", unit_profit(F.col("p.unit_price"), F.col("p.cost_price")))
-          .withColumn("delivery_days", F.datediff(actual, promised))
-          .withColumn("late_delivery_flag",
-                      F.when(actual > promised, F.lit("Y")).otherwise(F.lit("N")))
-          .withColumn("order_month", F.date_format(F.col("o.order_timestamp"), MONTH_PATTERN)))
     return j.select(
-        "o.order_id", "o.order_timestamp", "order_month",
-        "o.customer_id", "c.customer_name", "c.city", "c.state", "c.region",
-        "c.customer_segment",
-        "o.product_id", "p.product_name", "p.category", "p.subcategory",
-        "o.quantity", "p.unit_price", "p.cost_price", "o.discount_pct",
-        "gross_amount", "discount_amount", "net_amount", "net_sales", "profit_per_unit",
-        "o.promised_delivery_date", "o.actual_delivery_date", "delivery_days",
-        "late_delivery_flag",
-        "o.order_status", "o.payment_method", "o.sales_channel", "o.warehouse_id",
+        F.col("o.order_id"), F.col("o.order_timestamp"),
+        F.date_format(F.col("o.order_timestamp"), MONTH_PATTERN).alias("order_month"),
+        F.col("o.customer_id"), F.col("c.customer_name"), F.col("c.city"), F.col("c.state"),
+        F.col("c.region"), F.col("c.customer_segment"),
+        F.col("o.product_id"), F.col("p.product_name"), F.col("p.category"),
+        F.col("p.subcategory"),
+        F.col("o.quantity"), F.col("p.unit_price"), F.col("p.cost_price"),
+        F.col("o.discount_pct"),
+        gross.alias("gross_amount"), disc.alias("discount_amount"),
+        net.alias("net_amount"), net.alias("net_sales"),
+        unit_profit(F.col("p.unit_price"), F.col("p.cost_price")).alias("profit_per_unit"),
+        promised.alias("promised_delivery_date"), actual.alias("actual_delivery_date"),
+        F.datediff(actual, promised).alias("delivery_days"),
+        F.when(actual > promised, F.lit("Y")).otherwise(F.lit("N")).alias("late_delivery_flag"),
+        F.col("o.order_status"), F.col("o.payment_method"), F.col("o.sales_channel"),
+        F.col("o.warehouse_id"),
     )
 
 

@@ -3,35 +3,49 @@
 Each callable reads the provided tables under ``sf_dir`` and builds its
 result over the whole tables; the checker compares each against the DuckDB
 SQL in ``ledgerlake.oracle`` (same key).
+
+Silver is built once per session and input folder and stored under the
+shared checkpoint folder (``plans.medallion``); results downstream of
+silver read the stored tables, as the layered job does.
 """
 
 from __future__ import annotations
 
+import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.plans import gold, quality, sqlforms
 from ledgerlake.plans.bronze import land_extracts, read_bronze
-from ledgerlake.plans.silver import (Silver, type_customers, type_orders, type_products)
+from ledgerlake.plans.medallion import StoredSilver, build_silver
+from ledgerlake.plans.silver import type_customers, type_orders, type_products
 from ledgerlake.session import scratch_dir
-from ledgerlake.sources.extracts import (customers_extract, orders_extract, raw_extracts)
+from ledgerlake.sources.extracts import customers_extract, orders_extract, raw_extracts
 from ledgerlake.sources.landing import source_manifest
 from ledgerlake.streaming import events as ev
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+_STORED: dict[tuple[str, str], StoredSilver] = {}
+_LOCK = threading.Lock()
 
-def silver(spark: SparkSession, sf_dir: str) -> Silver:
-    ex = raw_extracts(spark, sf_dir)
-    return Silver(ex["customers"], ex["products"], ex["sales_orders"])
+
+def silver(spark: SparkSession, sf_dir: str, refresh: bool = False) -> StoredSilver:
+    """The stored silver layer for ``sf_dir`` (built on first use)."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _LOCK:
+        if refresh or key not in _STORED:
+            _STORED[key] = build_silver(spark, raw_extracts(spark, sf_dir))
+        return _STORED[key]
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).enriched
 
 
-def _register_silver(spark: SparkSession, sf_dir: str) -> Silver:
+def _register_silver(spark: SparkSession, sf_dir: str) -> StoredSilver:
     s = silver(spark, sf_dir)
     sqlforms.register({
         "silver_orders": s.orders,
