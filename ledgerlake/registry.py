@@ -186,11 +186,14 @@ def q_sales_events_json(spark, sf_dir):
 
 
 def q_sales_events_stream(spark, sf_dir):
-    """Publish the events to a topic folder, drain it with a streaming query
-    into a JSON-lines sink, and read back what was consumed."""
+    """The weekly export end to end: gold -> CSV extract (K4) -> CSV re-read
+    (S5) -> events published to a topic folder (K5) -> drained by a
+    streaming query into a JSON-lines sink (T2-T4) -> read back."""
     root = scratch_dir(spark, "events")
-    topic, sink, ckpt = f"{root}/topic", f"{root}/consumed", f"{root}/checkpoint"
-    ev.publish(q_sales_events(spark, sf_dir), topic)
+    csv, topic = f"{root}/monthly_category_sales.csv", f"{root}/topic"
+    sink, ckpt = f"{root}/consumed", f"{root}/checkpoint"
+    ev.export_gold_csv(gold.monthly_category_sales(enriched(spark, sf_dir)), csv)
+    ev.publish(ev.build_events(ev.read_gold_csv(spark, csv)), topic)
     q = ev.consume(spark, topic, sink, ckpt)
     q.awaitTermination()
     return ev.read_consumed(spark, sink)

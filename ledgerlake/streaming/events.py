@@ -13,12 +13,13 @@ nothing (exactly-once into the file sink).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators.latest import keep_latest
-from ledgerlake.schemas import EVENT_ID_PREFIX, EVENT_TYPE, SALES_EVENT
+from ledgerlake.schemas import EVENT_ID_PREFIX, EVENT_TYPE, SALES_EVENT, all_string
+from ledgerlake.sources.landing import export_csv, read_csv_as_strings
 
 EXPORT_COLUMNS = ["sales_month", "category", "order_count", "total_quantity", "total_revenue"]
 
@@ -30,7 +31,10 @@ def gold_extract(gold_monthly: DataFrame) -> DataFrame:
 
 
 def build_events(extract: DataFrame) -> DataFrame:
-    """Typed event fields (revenue becomes double, as in the feed)."""
+    """Typed event fields (revenue becomes double, as in the feed).
+
+    Works on the typed gold extract (S4) and on its all-text CSV copy (S5):
+    counts are cast to bigint and revenue to double either way."""
     return extract.select(
         F.concat(F.lit(EVENT_ID_PREFIX + "-"), F.col("sales_month"), F.lit("-"),
                  F.col("category")).alias("event_id"),
@@ -56,17 +60,33 @@ def decode(messages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
 
 
 def publish(events: DataFrame, topic: str, fmt: str = "text",
-            options: dict[str, str] | None = None) -> None:
-    """K5: write every event as one message.
+            options: dict[str, str] | None = None) -> int:
+    """K5 + Q5: write every event as one message; returns the number sent.
 
     ``fmt="kafka"`` needs ``kafka.bootstrap.servers`` in ``options`` and
     ``topic`` is the topic name; ``fmt="text"`` appends a JSON-lines folder.
+    The count is observed on the write itself (no second job).
     """
-    msgs = encode(events)
+    obs = Observation("published")
+    msgs = encode(events).observe(obs, F.count(F.lit(1)).alias("events"))
     if fmt == "kafka":
         msgs.write.format("kafka").options(**(options or {})).option("topic", topic).save()
     else:
         msgs.write.mode("append").format(fmt).options(**(options or {})).save(topic)
+    return int(obs.get["events"])
+
+
+def export_gold_csv(gold_monthly: DataFrame, path: str) -> None:
+    """K4: the five exported columns as a header CSV, ``order_month`` renamed
+    to ``sales_month`` (a distributed write, not a driver fetch)."""
+    export_csv(gold_monthly.select("order_month", "category", "order_count",
+                                   "total_quantity", "total_revenue"),
+               path, rename={"order_month": "sales_month"})
+
+
+def read_gold_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The exported CSV read back; every value is text until P28 casts."""
+    return read_csv_as_strings(spark, path, all_string(EXPORT_COLUMNS))
 
 
 def consume(spark: SparkSession, topic: str, sink_path: str, checkpoint: str,

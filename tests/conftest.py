@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,6 +15,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from ledgerlake.session import get_session
-    s = get_session("local[4]", app_name="ledgerlake-tests", shuffle_partitions=4)
+    s = get_session("local[4]", app_name="ledgerlake-tests", shuffle_partitions=4,
+                    **{"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ledgerlake-wh-")})
     yield s
     s.stop()
