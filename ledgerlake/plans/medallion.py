@@ -17,6 +17,8 @@ is partitioned by ``order_month`` so month-bounded readers prune files.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -42,6 +44,22 @@ def write_layer(df: DataFrame, path: str, fmt: str = "parquet",
     return obs
 
 
+def run_concurrently(tasks: dict[str, Callable[[], int]], workers: int | None = None
+                     ) -> dict[str, int]:
+    """Submit independent write jobs from threads so the scheduler overlaps
+    them (one job's tail stages leave executors idle that the others use)."""
+    if not tasks:
+        return {}
+    with ThreadPoolExecutor(max_workers=workers or len(tasks)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
+def _write_task(df: DataFrame, path: str, fmt: str,
+                partition_by: list[str] | None = None) -> Callable[[], int]:
+    return lambda: int(write_layer(df, path, fmt, partition_by).get["rows"])
+
+
 @dataclass
 class StoredSilver:
     """Silver tables in ``root``; every property is a fresh scan."""
@@ -88,8 +106,8 @@ def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str |
         "silver_products": clean_products(bronze["products"], on_bad),
         "silver_orders": clean_orders(bronze["sales_orders"], on_bad),
     }
-    obs = {name: write_layer(df, f"{root}/{name}", fmt) for name, df in frames.items()}
-    counts = {name: int(o.get["rows"]) for name, o in obs.items()}
+    counts = run_concurrently({name: _write_task(df, f"{root}/{name}", fmt)
+                               for name, df in frames.items()})
     schemas = {name: df.schema for name, df in frames.items()}
     return StoredSilver(spark, root, fmt, counts, schemas)
 
@@ -135,13 +153,13 @@ def build_gold(spark: SparkSession, silver: StoredSilver, root: str | None = Non
     counts = {"silver_sales_enriched": int(obs.get["rows"])}
     # explicit schema: the partition column stays a string (no type inference)
     fact = spark.read.format(fmt).schema(enriched.schema).load(fact_path)
-    schemas = {}
-    for name, build in FACT_MARTS.items():
-        df = build(fact)
-        schemas[name] = df.schema
-        counts[name] = int(write_layer(df, f"{root}/{name}", fmt).get["rows"])
+    marts = {name: build(fact) for name, build in FACT_MARTS.items()}
+    counts.update(run_concurrently({name: _write_task(df, f"{root}/{name}", fmt)
+                                    for name, df in marts.items()}))
     stats_name = "agg_category_month_stats"
-    stats = spark.read.format(fmt).schema(schemas[stats_name]).load(f"{root}/{stats_name}")
-    for name, build in MONTH_CATEGORY_MARTS.items():
-        counts[name] = int(write_layer(build(stats), f"{root}/{name}", fmt).get["rows"])
+    stats = (spark.read.format(fmt).schema(marts[stats_name].schema)
+             .load(f"{root}/{stats_name}"))
+    counts.update(run_concurrently({
+        name: _write_task(build(stats), f"{root}/{name}", fmt)
+        for name, build in MONTH_CATEGORY_MARTS.items()}))
     return counts

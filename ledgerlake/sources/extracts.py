@@ -38,11 +38,30 @@ TABLE_SCHEMAS = {
 }
 
 
+# Dimensions whose size is fixed by definition: never worth spreading.
+FIXED_SIZE_TABLES = ("region", "nation")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer input splits than the cluster's
+    parallelism (e.g. one file with one row group) so the per-row parsing
+    downstream runs on every core. A no-op for a large multi-file table,
+    whose scan already has at least that many splits; the check only plans
+    the scan (file listing), it runs no job."""
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Connect session): leave the scan as is
+        return df
+    return df if splits >= parallelism else df.repartition(parallelism)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
-    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df if name in FIXED_SIZE_TABLES else spread(df)
 
 
 def _s(c: Column) -> Column:
