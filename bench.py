@@ -2,11 +2,12 @@
 
 Timed steps (one warm-up, then the median of ``BENCH_RUNS`` runs each):
 
-* ``silver_build``: raw tables -> cleaned, deduplicated silver tables
-  written to the shared folder (rebuilt from scratch on every run);
+* ``silver_build``: raw tables -> cleaned, deduplicated silver tables and
+  the enriched fact joined from them, written to the shared folder (rebuilt
+  from scratch on every run);
 * the headline results (D8, D9, D12, D17, D18) built over the stored silver
-  tables and executed with the ``noop`` sink (full execution, no output);
-* ``gold_build``: the enriched fact plus all seven marts written as tables.
+  layer and executed with the ``noop`` sink (full execution, no output);
+* ``gold_build``: all seven gold / agg marts written as tables.
 
 Prints ONE JSON line; ``value`` is the sum of the medians.
 """

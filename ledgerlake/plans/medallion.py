@@ -30,7 +30,8 @@ from ledgerlake.plans.silver import (clean_customers, clean_orders, clean_produc
                                      financial_orders)
 from ledgerlake.session import scratch_dir
 
-SILVER_TABLES = ("silver_customers", "silver_products", "silver_orders")
+SILVER_TABLES = ("silver_customers", "silver_products", "silver_orders",
+                 "silver_sales_enriched")
 
 
 def write_layer(df: DataFrame, path: str, fmt: str = "parquet",
@@ -72,7 +73,7 @@ class StoredSilver:
 
     def table(self, name: str) -> DataFrame:
         reader = self.spark.read.format(self.fmt)
-        if name in self.schemas:  # known from the write: no footer inference
+        if name in self.schemas:  # known from the write: no footer/partition inference
             reader = reader.schema(self.schemas[name])
         return reader.load(f"{self.root}/{name}")
 
@@ -92,14 +93,32 @@ class StoredSilver:
     def financial_orders(self) -> DataFrame:
         return financial_orders(self.orders)
 
+    def join_enriched(self) -> DataFrame:
+        """D8 from the three stored tables (fresh scans on both join sides)."""
+        return enrich(self.financial_orders, self.products, self.customers, skew_safe=False)
+
     @property
     def enriched(self) -> DataFrame:
-        return enrich(self.financial_orders, self.products, self.customers, skew_safe=False)
+        """The stored enriched fact (falls back to the join if not stored)."""
+        if ENRICHED in self.schemas:
+            return self.table(ENRICHED).select(*self.schemas[ENRICHED].fieldNames())
+        return self.join_enriched()
+
+
+ENRICHED = "silver_sales_enriched"
 
 
 def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None = None,
-                 fmt: str = "parquet", on_bad: str = "fail") -> StoredSilver:
-    """Clean the three bronze frames and store them."""
+                 fmt: str = "parquet", on_bad: str = "fail",
+                 partition_fact_by_month: bool = True) -> StoredSilver:
+    """Clean the three bronze frames and store them (D4-D6), then store the
+    enriched fact joined from the stored tables (D8).
+
+    With ``partition_fact_by_month`` the fact is written partitioned by
+    ``order_month`` after a ``REBALANCE`` on it: AQE sizes the write tasks
+    (splitting a busy month, merging quiet ones), so each month gets a few
+    right-sized files instead of one small file per task.
+    """
     root = root or scratch_dir(spark, "silver")
     frames = {
         "silver_customers": clean_customers(bronze["customers"], on_bad),
@@ -109,7 +128,16 @@ def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str |
     counts = run_concurrently({name: _write_task(df, f"{root}/{name}", fmt)
                                for name, df in frames.items()})
     schemas = {name: df.schema for name, df in frames.items()}
-    return StoredSilver(spark, root, fmt, counts, schemas)
+    stored = StoredSilver(spark, root, fmt, counts, schemas)
+    fact = stored.join_enriched()
+    if partition_fact_by_month:
+        obs = write_layer(fact.hint("rebalance", "order_month"), f"{root}/{ENRICHED}", fmt,
+                          ["order_month"])
+    else:
+        obs = write_layer(fact, f"{root}/{ENRICHED}", fmt)
+    counts[ENRICHED] = int(obs.get["rows"])
+    schemas[ENRICHED] = fact.schema  # partition column stays a string (no inference)
+    return stored
 
 
 # Marts built from the stored enriched fact (each one scan of its columns).
@@ -134,28 +162,14 @@ MONTH_CATEGORY_MARTS = {
 
 
 def build_gold(spark: SparkSession, silver: StoredSilver, root: str | None = None,
-               fmt: str = "parquet", partition_fact_by_month: bool = True) -> dict[str, int]:
-    """Store the enriched fact, then every mart from the *stored* fact.
-
-    With ``partition_fact_by_month`` the fact is written partitioned by
-    ``order_month`` after a ``REBALANCE`` on it: AQE sizes the write tasks
-    (splitting a busy month, merging quiet ones), so each month gets a few
-    right-sized files instead of one small file per task.
-    """
+               fmt: str = "parquet") -> dict[str, int]:
+    """Every gold / agg table from the *stored* enriched fact; independent
+    marts are written concurrently."""
     root = root or silver.root
-    fact_path = f"{root}/silver_sales_enriched"
-    enriched = silver.enriched
-    if partition_fact_by_month:
-        obs = write_layer(enriched.hint("rebalance", "order_month"), fact_path, fmt,
-                          ["order_month"])
-    else:
-        obs = write_layer(enriched, fact_path, fmt)
-    counts = {"silver_sales_enriched": int(obs.get["rows"])}
-    # explicit schema: the partition column stays a string (no type inference)
-    fact = spark.read.format(fmt).schema(enriched.schema).load(fact_path)
+    fact = silver.enriched
     marts = {name: build(fact) for name, build in FACT_MARTS.items()}
-    counts.update(run_concurrently({name: _write_task(df, f"{root}/{name}", fmt)
-                                    for name, df in marts.items()}))
+    counts = run_concurrently({name: _write_task(df, f"{root}/{name}", fmt)
+                               for name, df in marts.items()})
     stats_name = "agg_category_month_stats"
     stats = (spark.read.format(fmt).schema(marts[stats_name].schema)
              .load(f"{root}/{stats_name}"))

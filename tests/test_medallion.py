@@ -20,7 +20,10 @@ PAIRS = {
 def test_stored_layers_match_queries(spark):
     silver = R.silver(spark, SF_SMALL)
     assert silver.counts["silver_orders"] == R.q_clean_orders(spark, SF_SMALL).count()
-    counts = build_gold(spark, silver)
+    counts = dict(silver.counts)
+    counts.update(build_gold(spark, silver))
+    joined = silver.join_enriched()
+    assert diff_counts(joined, silver.enriched.select(*joined.columns)).first() == (0, 0)
     for table, query in PAIRS.items():
         expected = R.QUERIES[query](spark, SF_SMALL)
         stored = spark.read.parquet(f"{silver.root}/{table}").select(*expected.columns)
