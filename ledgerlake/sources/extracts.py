@@ -43,17 +43,19 @@ FIXED_SIZE_TABLES = ("region", "nation")
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer input splits than the cluster's
-    parallelism (e.g. one file with one row group) so the per-row parsing
-    downstream runs on every core. A no-op for a large multi-file table,
-    whose scan already has at least that many splits; the check only plans
-    the scan (file listing), it runs no job."""
+    """Spread a scan that would keep fewer than half of the cluster's cores
+    busy (e.g. one file with one row group) so the per-row parsing downstream
+    runs on every core. A no-op for a large table, whose scan already has
+    more splits than there are cores; the check only plans the scan (file
+    listing) and runs no job. The round-robin repartition sorts each input
+    partition first (Spark's default), so a retried task re-sends the same
+    rows to the same places."""
     try:
         parallelism = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # no RDD access (e.g. a Connect session): leave the scan as is
         return df
-    return df if splits >= parallelism else df.repartition(parallelism)
+    return df if 2 * splits > parallelism else df.repartition(parallelism)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
