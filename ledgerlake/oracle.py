@@ -409,12 +409,25 @@ def oracle_queries() -> dict[str, str]:
         UNION ALL
         SELECT 'orders', (SELECT COUNT(*) FROM raw_orders),
             (SELECT COUNT(*) FROM silver_orders), (SELECT COUNT(*) FROM financial_orders)"""
+    q["duplicate_keys"] = _with() + """
+        SELECT dataset, CAST(SUM(n) AS BIGINT) AS rows, CAST(COUNT(*) AS BIGINT) AS distinct_keys,
+            CAST(COUNT(*) FILTER (WHERE n > 1) AS BIGINT) AS duplicated_keys,
+            CAST(COALESCE(SUM(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS rows_in_duplicated_keys
+        FROM (
+            SELECT 'customers' AS dataset, customer_id AS k, COUNT(*) AS n
+                FROM typed_customers GROUP BY customer_id
+            UNION ALL
+            SELECT 'products', product_id, COUNT(*) FROM typed_products GROUP BY product_id
+            UNION ALL
+            SELECT 'orders', order_id, COUNT(*) FROM typed_orders GROUP BY order_id)
+        GROUP BY dataset"""
     q["status_distribution"] = _with() + """
         SELECT order_status, COUNT(*) AS count FROM typed_orders GROUP BY order_status"""
     q["bronze_roundtrip"] = _with() + """
         SELECT *, 'sales_orders.csv' AS source_file FROM raw_orders"""
     q["sales_events"] = _with(MONTHLY, EVENTS) + " SELECT * FROM sales_events"
     q["sales_events_stream"] = q["sales_events"]
+    q["consumed_latest_events"] = q["sales_events"]
     return q
 
 

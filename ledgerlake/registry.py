@@ -161,6 +161,13 @@ def q_stage_counts(spark, sf_dir):
                                 type_orders(ex["sales_orders"]))
 
 
+def q_duplicate_keys(spark, sf_dir):
+    ex = raw_extracts(spark, sf_dir)
+    return quality.duplicate_keys(type_customers(ex["customers"]),
+                                  type_products(ex["products"]),
+                                  type_orders(ex["sales_orders"]))
+
+
 def q_status_distribution(spark, sf_dir):
     return quality.status_distribution(type_orders(orders_extract(spark, sf_dir)))
 
@@ -199,6 +206,18 @@ def q_sales_events_stream(spark, sf_dir):
     return ev.read_consumed(spark, sink)
 
 
+def q_consumed_latest_events(spark, sf_dir):
+    """Two weekly runs publish the same event ids; the consumer appends both
+    copies to its raw log, and the latest view keeps one row per event id."""
+    root = scratch_dir(spark, "events-latest")
+    topic, sink, ckpt = f"{root}/topic", f"{root}/consumed", f"{root}/checkpoint"
+    events = q_sales_events(spark, sf_dir)
+    for _ in range(2):
+        ev.publish(events, topic)
+        ev.consume(spark, topic, sink, ckpt).awaitTermination()
+    return ev.latest_events(ev.read_consumed(spark, sink))
+
+
 QUERIES: dict[str, Query] = {
     "clean_customers": q_clean_customers,
     "clean_products": q_clean_products,
@@ -223,9 +242,11 @@ QUERIES: dict[str, Query] = {
     "definition_gap": q_definition_gap,
     "stage_counts": q_stage_counts,
     "status_distribution": q_status_distribution,
+    "duplicate_keys": q_duplicate_keys,
     "bronze_roundtrip": q_bronze_roundtrip,
     "source_manifest": q_source_manifest,
     "sales_events": q_sales_events,
     "sales_events_json": q_sales_events_json,
     "sales_events_stream": q_sales_events_stream,
+    "consumed_latest_events": q_consumed_latest_events,
 }

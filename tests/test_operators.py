@@ -3,6 +3,8 @@
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -80,3 +82,20 @@ def test_running_total_last_value_is_group_total(spark):
     last = out.filter("m = '2024-03'").select("g", "run").orderBy("g").collect()
     totals = df.groupBy("g").agg(F.sum("v").alias("t")).orderBy("g").collect()
     assert [r.run for r in last] == [r.t for r in totals]
+
+
+_rows_strategy = st.lists(
+    st.tuples(st.sampled_from(["a", "b", None]),
+              st.one_of(st.none(), st.integers(min_value=-3, max_value=6))),
+    min_size=1, max_size=60)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=_rows_strategy, buckets=st.integers(min_value=1, max_value=9),
+       method=st.sampled_from(["rank", "dense_rank"]))
+def test_rank_within_groups_property(spark, rows, buckets, method):
+    df = spark.createDataFrame(rows, "g string, v int")
+    fn = F.rank if method == "rank" else F.dense_rank
+    expected = df.withColumn("r", fn().over(Window.partitionBy("g").orderBy(F.col("v").desc())))
+    got = rank_within_groups(df, ["g"], "v", "r", method=method, buckets=buckets)
+    assert diff_counts(expected, got.select(*expected.columns)).first() == (0, 0)

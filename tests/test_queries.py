@@ -7,6 +7,7 @@ import __spark_entry__ as entry_mod
 from conftest import SF_SMALL
 from oracle_compare import compare, duck
 from ledgerlake import registry as R
+from ledgerlake.operators import diff_counts
 from ledgerlake.plans import gold
 
 ORACLE = entry_mod.oracle_sql()
@@ -55,6 +56,10 @@ def test_invariants(spark):
     assert last.filter("x != y").count() == 0
     s = R.silver(spark, SF_SMALL)
     assert s.customers.count() == s.customers.select("customer_id").distinct().count()
+    ranked = gold.product_rank_all(e)
+    assert ranked.count() == gold.product_sales(e).count()
+    top5 = gold.top_products_by_category(e)
+    assert diff_counts(top5, ranked.filter("revenue_rank <= 5").select(*top5.columns)).first() == (0, 0)
     top = gold.top_products_by_category(e)
     assert (top.filter("revenue_rank = 1").select("category").distinct().count()
             == e.select("category").distinct().count())
