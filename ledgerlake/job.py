@@ -30,7 +30,7 @@ from ledgerlake.plans.bronze import EXTRACT_FILES, land_extracts, read_bronze
 from ledgerlake.plans.medallion import build_gold, build_silver, write_layer
 from ledgerlake.plans.quality import stage_counts
 from ledgerlake.plans.silver import type_customers, type_orders, type_products
-from ledgerlake.session import get_session, scratch_dir
+from ledgerlake.session import cluster_conf, get_session, scratch_dir
 from ledgerlake.sources.extracts import raw_extracts
 from ledgerlake.sources.landing import create_namespace
 from ledgerlake.streaming import events as ev
@@ -94,8 +94,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--namespace")
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--master")
+    ap.add_argument("--input-bytes", type=int,
+                    help="size the shuffle/scan settings for this much input")
     a = ap.parse_args(argv)
     spark = get_session(a.master)
+    if a.input_bytes:
+        cores = spark.sparkContext.defaultParallelism
+        for key, value in cluster_conf(a.input_bytes, cores).items():
+            spark.conf.set(key, value)
     out = run_weekly(spark, a.sf_dir, a.landing, a.root, a.namespace, a.format)
     print(json.dumps(out))
 

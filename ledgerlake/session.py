@@ -72,3 +72,29 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings sized for an input of ``input_bytes`` on ``total_cores``.
+
+    AQE can merge small shuffle partitions but not split ordinary ones, so
+    the initial shuffle partition count is sized for the data (about one
+    ``target_partition_bytes`` partition per input slice, at least two per
+    core) and AQE coalesces what turns out smaller. Scan splits and
+    post-shuffle partitions use the same target, so a task's working set
+    stays well inside executor memory and sorts spill in large runs.
+    Example: 100 TB on 8,000 cores gives about 400,000 shuffle partitions.
+    """
+    target = max(16 * 1024 ** 2, int(target_partition_bytes))
+    partitions = max(2 * total_cores, -(-int(input_bytes) // target))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        # runtime broadcasts only below a bounded size (AQE checks the real size)
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }

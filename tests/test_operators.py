@@ -99,3 +99,10 @@ def test_rank_within_groups_property(spark, rows, buckets, method):
     expected = df.withColumn("r", fn().over(Window.partitionBy("g").orderBy(F.col("v").desc())))
     got = rank_within_groups(df, ["g"], "v", "r", method=method, buckets=buckets)
     assert diff_counts(expected, got.select(*expected.columns)).first() == (0, 0)
+
+
+def test_cluster_conf_sizes_partitions_to_data():
+    from ledgerlake.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(10 * 1024 ** 2, 64)["spark.sql.shuffle.partitions"]) == 128
