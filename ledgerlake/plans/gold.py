@@ -8,7 +8,6 @@ hashed by the checker, and a table has no row order. Sorting for display is
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerlake.operators.latest import keep_latest
 from ledgerlake.operators.measures import group_measures
