@@ -39,7 +39,7 @@ def read_bronze(spark: SparkSession, landing: str, name: str,
     """
     schema = all_string(EXTRACT_COLUMNS[name])
     raw = read_csv_as_strings(spark, f"{landing}/{EXTRACT_FILES[name]}", schema)
-    return add_bronze_metadata(raw, EXTRACT_FILES[name] if literal_source else None)
+    return raw.transform(add_bronze_metadata, EXTRACT_FILES[name] if literal_source else None)
 
 
 def bronze_tables(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
