@@ -47,7 +47,9 @@ def register_tables(spark: SparkSession, namespace: str, root: str, tables: list
 
 def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | None = None,
                root: str | None = None, namespace: str | None = None,
-               fmt: str = "parquet") -> dict:
+               fmt: str = "parquet", files: dict[str, str] | None = None) -> dict:
+    """Run every stage; ``files`` maps customers / products / sales_orders to
+    their file names under ``landing`` when they differ from the defaults."""
     if sf_dir is None and landing is None:
         raise ValueError("give the landing folder or the provided-table folder")
     root = root or scratch_dir(spark, "weekly")
@@ -58,8 +60,8 @@ def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | No
     bronze = {}
     for name in EXTRACT_FILES:
         table = f"bronze_{name}"
-        counts[table] = int(write_layer(read_bronze(spark, landing, name),
-                                        f"{root}/{table}", fmt).get["rows"])
+        frame = read_bronze(spark, landing, name, file_name=(files or {}).get(name))
+        counts[table] = int(write_layer(frame, f"{root}/{table}", fmt).get["rows"])
         bronze[name] = spark.read.format(fmt).load(f"{root}/{table}")
 
     silver = build_silver(spark, bronze, root, fmt)
@@ -93,6 +95,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--root")
     ap.add_argument("--namespace")
     ap.add_argument("--format", default="parquet")
+    ap.add_argument("--files", default="",
+                    help="landing file names, e.g. customers=customers_500.csv,products=...")
     ap.add_argument("--master")
     ap.add_argument("--input-bytes", type=int,
                     help="size the shuffle/scan settings for this much input")
@@ -102,7 +106,8 @@ def main(argv: list[str] | None = None) -> None:
         cores = spark.sparkContext.defaultParallelism
         for key, value in cluster_conf(a.input_bytes, cores).items():
             spark.conf.set(key, value)
-    out = run_weekly(spark, a.sf_dir, a.landing, a.root, a.namespace, a.format)
+    files = dict(kv.split("=", 1) for kv in a.files.split(",") if kv)
+    out = run_weekly(spark, a.sf_dir, a.landing, a.root, a.namespace, a.format, files)
     print(json.dumps(out))
 
 

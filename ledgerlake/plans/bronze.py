@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.schemas import EXTRACT_COLUMNS, all_string
+from ledgerlake.schemas import EXTRACT_COLUMNS
 from ledgerlake.session import scratch_dir
 from ledgerlake.sources.landing import (add_bronze_metadata, read_csv_as_strings,
                                         write_csv)
@@ -31,16 +31,25 @@ def land_extracts(spark: SparkSession, extracts: dict[str, DataFrame],
 
 
 def read_bronze(spark: SparkSession, landing: str, name: str,
-                literal_source: bool = True) -> DataFrame:
+                literal_source: bool = True, file_name: str | None = None) -> DataFrame:
     """One bronze frame: all-string scan + ``source_file`` + load time.
 
+    Columns are taken by header name (any order; extra columns pass through,
+    as in the reference), and the extract's expected columns must be there.
     ``literal_source=True`` tags rows with the extract's file name (as the
     reference does); ``False`` uses each row's real landed file name.
+    ``file_name`` overrides the file or folder name under ``landing``.
     """
-    schema = all_string(EXTRACT_COLUMNS[name])
-    raw = read_csv_as_strings(spark, f"{landing}/{EXTRACT_FILES[name]}", schema)
-    return raw.transform(add_bronze_metadata, EXTRACT_FILES[name] if literal_source else None)
-
-
-def bronze_tables(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
-    return {name: read_bronze(spark, landing, name) for name in EXTRACT_FILES}
+    file_name = file_name or EXTRACT_FILES[name]
+    raw = read_csv_as_strings(spark, f"{landing}/{file_name}")
+    missing = [c for c in EXTRACT_COLUMNS[name] if c not in raw.columns]
+    if missing:
+        raise ValueError(f"{file_name}: missing columns {missing}")
+    return raw.transform(add_bronze_metadata, file_name if literal_source else None)
+
+
+def bronze_tables(spark: SparkSession, landing: str,
+                  files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    files = files or {}
+    return {name: read_bronze(spark, landing, name, file_name=files.get(name))
+            for name in EXTRACT_FILES}

@@ -1,8 +1,8 @@
 """Explicit schemas for the three raw extracts and the typed silver columns.
 
 Raw extracts are all-string (bronze keeps the source text as-is); types are
-fixed by hand in silver. Declaring the string schema up front avoids a
-header/inference pass over 100 TB of CSV.
+fixed by hand in silver. Type inference is never used: it would read the
+whole input an extra time.
 """
 
 from __future__ import annotations

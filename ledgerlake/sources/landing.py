@@ -30,8 +30,9 @@ def read_csv_as_strings(spark: SparkSession, path: str,
                         schema: StructType | None = None) -> DataFrame:
     """Header on, no inference, every column string.
 
-    With an explicit all-string ``schema`` there is no header pass over the
-    files; without one the header names the columns (still all string).
+    Without ``schema`` the header names the columns (Spark reads only the
+    first line for that, since nothing is inferred); an explicit all-string
+    ``schema`` maps columns by position instead.
     """
     reader = spark.read.options(**CSV_READ_OPTIONS)
     if schema is not None:

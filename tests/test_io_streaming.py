@@ -47,3 +47,15 @@ def test_json_envelope_round_trip(spark):
     assert diff_counts(events, back).first() == (0, 0)
     first = ev.encode(events).first().value
     assert first.startswith('{"event_id":"SALES-') and '"event_type":"MONTHLY_CATEGORY_SALES_READY"' in first
+
+
+def test_bronze_reads_columns_by_header_name(spark):
+    ex = raw_extracts(spark, SF_SMALL)["products"]
+    landing = scratch_dir(spark, "landing-order")
+    shuffled = ex.select(*reversed(ex.columns), F.lit("x").alias("extra_col"))
+    shuffled.write.options(header="true", ignoreLeadingWhiteSpace="false",
+                           ignoreTrailingWhiteSpace="false").csv(f"{landing}/products_500.csv")
+    back = read_bronze(spark, landing, "products", file_name="products_500.csv")
+    assert "extra_col" in back.columns
+    assert diff_counts(ex, back.select(*ex.columns)).first() == (0, 0)
+    assert back.select("source_file").distinct().first()[0] == "products_500.csv"
