@@ -421,6 +421,31 @@ def oracle_queries() -> dict[str, str]:
             UNION ALL
             SELECT 'orders', order_id, COUNT(*) FROM typed_orders GROUP BY order_id)
         GROUP BY dataset"""
+    rejects = []
+    parsed = {
+        "customers": ("raw_customers", {"signup_date": "date", "date_of_birth": "date",
+                                        "updated_at": "timestamp", "loyalty_points": "INTEGER"}),
+        "products": ("raw_products", {"unit_price": "DECIMAL(12,2)", "cost_price": "DECIMAL(12,2)",
+                                      "stock_quantity": "INTEGER", "launch_date": "date",
+                                      "product_rating": "DOUBLE"}),
+        "sales_orders": ("raw_orders", {"order_timestamp": "timestamp",
+                                        "promised_delivery_date": "date",
+                                        "actual_delivery_date": "date", "quantity": "INTEGER",
+                                        "discount_pct": "DECIMAL(5,2)"}),
+    }
+    for dataset, (table, cols) in parsed.items():
+        for c, kind in cols.items():
+            if kind == "date":
+                parsed_expr = f"try_strptime({c}, '%Y-%m-%d')"
+            elif kind == "timestamp":
+                parsed_expr = f"try_strptime({c}, '%Y-%m-%d %H:%M:%S')"
+            else:
+                parsed_expr = f"TRY_CAST({c} AS {kind})"
+            rejects.append(
+                f"SELECT '{dataset}' AS dataset, '{c}' AS column_name, CAST(COUNT(*) FILTER "
+                f"(WHERE {c} IS NOT NULL AND {parsed_expr} IS NULL) AS BIGINT) AS rejected_rows "
+                f"FROM {table}")
+    q["parse_rejects"] = _with() + " " + " UNION ALL ".join(rejects)
     q["status_distribution"] = _with() + """
         SELECT order_status, COUNT(*) AS count FROM typed_orders GROUP BY order_status"""
     q["bronze_roundtrip"] = _with() + """

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.cleaning import cast_col, to_date_col, to_timestamp_col
 from ledgerlake.schemas import ACTIVE_FLAG, CUSTOMER_COLUMNS, NON_FINANCIAL_STATUSES
 
 STAGE_COLUMNS = ["dataset", "bronze_rows", "after_dedup_or_validity_filter", "silver_rows"]
@@ -95,6 +96,48 @@ def duplicate_keys(typed_customers: DataFrame, typed_products: DataFrame,
             .unionByName(duplicate_key_counts("orders", typed_orders, "order_id")))
 
 
+# How each typed column is parsed from its raw text (the silver rules).
+PARSED_COLUMNS = {
+    "customers": {"signup_date": "date", "date_of_birth": "date", "updated_at": "timestamp",
+                  "loyalty_points": "int"},
+    "products": {"unit_price": "decimal(12,2)", "cost_price": "decimal(12,2)",
+                 "stock_quantity": "int", "launch_date": "date", "product_rating": "double"},
+    "sales_orders": {"order_timestamp": "timestamp", "promised_delivery_date": "date",
+                     "actual_delivery_date": "date", "quantity": "int",
+                     "discount_pct": "decimal(5,2)"},
+}
+
+
+def _lenient(c: str, kind: str):
+    if kind == "date":
+        return to_date_col(c, "null")
+    if kind == "timestamp":
+        return to_timestamp_col(c, "null")
+    return cast_col(c, kind, "null")
+
+
+def parse_rejects(bronze: dict[str, DataFrame]) -> DataFrame:
+    """Per dataset and column: raw values present but not parseable.
+
+    These are the rows that fail the job under ``on_bad="fail"`` (or become
+    NULL prices, which the validity rule drops). One global aggregate per
+    dataset -- a count per column, combined map-side -- unpivoted to
+    (dataset, column_name, rejected_rows).
+    """
+    parts = []
+    for dataset, cols in PARSED_COLUMNS.items():
+        counts = bronze[dataset].agg(*[
+            F.count_if(F.col(c).isNotNull() & _lenient(c, kind).isNull()).alias(c)
+            for c, kind in cols.items()])
+        parts.append(counts.unpivot([], list(cols), "column_name", "rejected_rows")
+                     .select(F.lit(dataset).alias("dataset"), "column_name",
+                             F.col("rejected_rows").cast("bigint").alias("rejected_rows")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def status_distribution(typed_orders: DataFrame) -> DataFrame:
     """Q3: rows per order_status before the quantity filter."""
     return typed_orders.groupBy("order_status").count()

@@ -168,6 +168,10 @@ def q_duplicate_keys(spark, sf_dir):
                                   type_orders(ex["sales_orders"]))
 
 
+def q_parse_rejects(spark, sf_dir):
+    return quality.parse_rejects(raw_extracts(spark, sf_dir))
+
+
 def q_status_distribution(spark, sf_dir):
     return quality.status_distribution(type_orders(orders_extract(spark, sf_dir)))
 
@@ -243,6 +247,7 @@ QUERIES: dict[str, Query] = {
     "stage_counts": q_stage_counts,
     "status_distribution": q_status_distribution,
     "duplicate_keys": q_duplicate_keys,
+    "parse_rejects": q_parse_rejects,
     "bronze_roundtrip": q_bronze_roundtrip,
     "source_manifest": q_source_manifest,
     "sales_events": q_sales_events,

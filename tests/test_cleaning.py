@@ -113,3 +113,18 @@ def test_enriched_money_and_delivery(spark):
               "t_products": clean_products(prod)})
     sql = completed_orders_joined(spark, "t_orders", "t_customers", "t_products")
     assert sql.filter(F.col("order_id") == "late").first().net_amount == Decimal("0.10")
+
+
+def test_parse_rejects_counts_unparseable_text(spark):
+    from ledgerlake.plans.quality import parse_rejects
+    bronze = {
+        "customers": cust(spark, [c_row("1", signup="2020-13-45", points="7.9"), c_row("2")]),
+        "products": spark.createDataFrame([p_row("a", unit="abc"), p_row("b", cost=None)],
+                                          PRODUCTS_RAW),
+        "sales_orders": spark.createDataFrame([o_row("x", qty="two"), o_row("y", actual=None)],
+                                              ORDERS_RAW),
+    }
+    got = {(r.dataset, r.column_name): r.rejected_rows
+           for r in parse_rejects(bronze).collect() if r.rejected_rows}
+    assert got == {("customers", "signup_date"): 1, ("customers", "loyalty_points"): 1,
+                   ("products", "unit_price"): 1, ("sales_orders", "quantity"): 1}
