@@ -21,7 +21,7 @@ from ledgerlake.plans import gold, quality, sqlforms
 from ledgerlake.plans.bronze import land_extracts, read_bronze
 from ledgerlake.plans.medallion import StoredSilver, build_silver
 from ledgerlake.plans.silver import type_customers, type_orders, type_products
-from ledgerlake.session import scratch_dir
+from ledgerlake.session import run_dir, scratch_dir
 from ledgerlake.sources.extracts import customers_extract, orders_extract, raw_extracts
 from ledgerlake.sources.landing import source_manifest
 from ledgerlake.streaming import events as ev
@@ -33,11 +33,13 @@ _LOCK = threading.Lock()
 
 
 def silver(spark: SparkSession, sf_dir: str, refresh: bool = False) -> StoredSilver:
-    """The stored silver layer for ``sf_dir`` (built on first use)."""
+    """The stored silver layer for ``sf_dir`` (built on first use; ``refresh``
+    rebuilds it in place, overwriting the same folder)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _LOCK:
         if refresh or key not in _STORED:
-            _STORED[key] = build_silver(spark, raw_extracts(spark, sf_dir))
+            root = run_dir(spark, "silver", key[1])
+            _STORED[key] = build_silver(spark, raw_extracts(spark, sf_dir), root)
         return _STORED[key]
 
 
@@ -176,16 +178,21 @@ def q_status_distribution(spark, sf_dir):
     return quality.status_distribution(type_orders(orders_extract(spark, sf_dir)))
 
 
+def _landing(spark, sf_dir) -> str:
+    """Sales orders landed as CSV in this application's landing folder
+    (overwritten on every call)."""
+    landing = run_dir(spark, "landing", os.path.abspath(sf_dir))
+    return land_extracts(spark, {"sales_orders": orders_extract(spark, sf_dir)}, landing)
+
+
 def q_bronze_roundtrip(spark, sf_dir):
     """Sales orders landed as CSV, read back all-string and tagged (without
     the load time, which differs per run)."""
-    landing = land_extracts(spark, {"sales_orders": orders_extract(spark, sf_dir)})
-    return read_bronze(spark, landing, "sales_orders").drop("ingestion_timestamp")
+    return read_bronze(spark, _landing(spark, sf_dir), "sales_orders").drop("ingestion_timestamp")
 
 
 def q_source_manifest(spark, sf_dir):
-    landing = land_extracts(spark, {"sales_orders": orders_extract(spark, sf_dir)})
-    return source_manifest(spark, f"{landing}/sales_orders.csv")
+    return source_manifest(spark, f"{_landing(spark, sf_dir)}/sales_orders.csv")
 
 
 def q_sales_events(spark, sf_dir):

@@ -9,6 +9,7 @@ session has none, as in tests.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -65,15 +66,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    path = f"{root}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}"
+def _ensure_local(path: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh, unique folder under the shared checkpoint root."""
+    root = checkpoint_root(spark)
+    return _ensure_local(f"{root}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def run_dir(spark: SparkSession, name: str, *keys: str) -> str:
+    """A stable folder for this application and ``keys`` under the shared
+    checkpoint root: rebuilding overwrites it instead of leaving a copy."""
+    root = checkpoint_root(spark)
+    tag = hashlib.sha1("|".join(keys).encode()).hexdigest()[:12] if keys else "run"
+    app = spark.sparkContext.applicationId
+    return _ensure_local(f"{root}/ledgerlake/{name}-{app}-{tag}")
+
+
 def cluster_conf(input_bytes: int, total_cores: int,
                  target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
     """Settings sized for an input of ``input_bytes`` on ``total_cores``.
