@@ -2,9 +2,9 @@
 
 Silver is written once and everything downstream reads the stored tables:
 
-* lineage is cut at a durable point in the shared folder (``scratch_dir``
-  under ``spark.checkpoint.dir``), so a lost executor costs a re-read, not
-  a recompute of the landing parse, dedup and joins;
+* lineage is cut at a durable point in the shared folder (under
+  ``spark.checkpoint.dir``), so a lost executor costs a re-read, not a
+  recompute of the landing parse, dedup and joins;
 * marts read only the columns they use (Parquet column pruning);
 * both inputs of the enriched joins are fresh scans, so each join gets its
   own shuffles and AQE can split a skewed key (a hot customer or product)
@@ -17,6 +17,7 @@ is partitioned by ``order_month`` so month-bounded readers prune files.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -37,7 +38,7 @@ SILVER_TABLES = ("silver_customers", "silver_products", "silver_orders",
 def write_layer(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: list[str] | None = None) -> Observation:
     """Overwrite ``path`` with ``df``; the row count rides on the write (Q2)."""
-    obs = Observation(path.rsplit("/", 1)[-1])
+    obs = Observation(f"{path.rsplit('/', 1)[-1]}-{uuid.uuid4().hex[:8]}")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -18,7 +18,9 @@ Rules (same as the reference pipeline):
 
 Extra input columns (e.g. bronze lineage) pass through the cleaning steps.
 Joins carry no hints: AQE broadcasts a dimension only when its runtime size
-is under the threshold, and splits skewed keys otherwise.
+is under the threshold. Over stored silver tables (``plans.medallion``) both
+join inputs are fresh shuffles and AQE splits a skewed key; over in-memory
+frames the customer join is salted instead (see ``enrich``).
 """
 
 from __future__ import annotations

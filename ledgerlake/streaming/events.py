@@ -13,6 +13,8 @@ nothing (exactly-once into the file sink).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -67,7 +69,7 @@ def publish(events: DataFrame, topic: str, fmt: str = "text",
     ``topic`` is the topic name; ``fmt="text"`` appends a JSON-lines folder.
     The count is observed on the write itself (no second job).
     """
-    obs = Observation("published")
+    obs = Observation(f"published-{uuid.uuid4().hex[:8]}")
     msgs = encode(events).observe(obs, F.count(F.lit(1)).alias("events"))
     if fmt == "kafka":
         msgs.write.format("kafka").options(**(options or {})).option("topic", topic).save()
