@@ -6,14 +6,18 @@ depends on how many values in the group are greater, so the work splits:
 
 1. Count rows per distinct (group, value) -- a hash aggregate combined
    map-side, so a value shared by a third of all rows becomes one row per
-   map task.
-2. Cut each group's distinct values into ``buckets`` ranges with
-   ``percentile_approx`` (a small table: groups x buckets). Equal values
-   always land in the same bucket, so ties never straddle buckets.
-3. Rank the distinct values inside each (group, bucket) with a window -- now
-   groups x buckets balanced partitions -- and add the rows (rank) or
-   distinct values (dense_rank) of all higher buckets, taken from a
-   per-bucket count table of groups x buckets rows.
+   map task, and every later step sees each value once.
+2. Range-partition the distinct values on (group, value desc). Spark's
+   range partitioner samples the bounds and binary-searches them per row,
+   and equal keys always land in the same partition, so ties never straddle
+   buckets. Without an explicit count AQE merges adjacent ranges up to the
+   advisory partition size, so the number of buckets follows the size of
+   the distinct-value table. Merged partitions are still contiguous, ordered
+   ranges: the bucket is the partition id.
+3. Rank the values inside each (group, bucket) with a window -- balanced
+   partitions now -- and add the rows (rank) or distinct values
+   (dense_rank) of the group's earlier buckets, taken from a per-bucket
+   count table of at most buckets + groups rows.
 4. Join the rank of each distinct value back to the rows on (group, value);
    AQE's skew-join split handles a value held by many rows.
 
@@ -42,41 +46,37 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order_col: str,
-                       rank_col: str, method: str = "rank", buckets: int | None = None,
-                       accuracy: int = 10000) -> DataFrame:
+                       rank_col: str, method: str = "rank",
+                       buckets: int | None = None) -> DataFrame:
     """Add ``rank_col`` = rank/dense_rank of ``order_col`` desc within ``group_cols``.
 
-    ``buckets`` defaults to ``spark.sql.shuffle.partitions`` so each group
-    spreads over as many tasks as the cluster is sized for.
+    ``buckets`` fixes the number of range partitions; by default it is left
+    to AQE (``spark.sql.shuffle.partitions`` ranges, merged to the advisory
+    size), so each ranking task gets a right-sized slice of values.
     """
     if method not in ("rank", "dense_rank"):
         raise ValueError("method must be 'rank' or 'dense_rank'")
     g = list(group_cols)
     v = order_col
-    if buckets is None:
-        buckets = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-
     vals = df.groupBy(*g, v).agg(F.count(F.lit(1)).alias("__n"))
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = vals.groupBy(*g).agg(F.percentile_approx(v, probs, accuracy).alias("__cuts"))
-        vals = _null_safe_join(vals, cuts, g, "left")
-        bucket = F.size(F.filter(F.col("__cuts"), lambda x: x < F.col(v)))
-        vals = vals.withColumn("__b", F.coalesce(bucket, F.lit(0))).drop("__cuts")
+    ordered = [F.col(c).asc_nulls_first() for c in g] + [F.col(v).desc_nulls_last()]
+    if buckets is None:
+        vals = vals.repartitionByRange(*ordered)
     else:
-        vals = vals.withColumn("__b", F.lit(0))
+        vals = vals.repartitionByRange(max(1, buckets), *ordered)
+    vals = vals.withColumn("__b", F.spark_partition_id())
 
-    # Rows and distinct values in all buckets above this one (small table).
+    # Rows and distinct values of the group in all earlier buckets.
     stats = vals.groupBy(*g, "__b").agg(F.sum("__n").alias("__rows"),
                                         F.count(F.lit(1)).alias("__vals"))
-    above = (Window.partitionBy(*g).orderBy(F.col("__b").desc())
-             .rowsBetween(Window.unboundedPreceding, -1))
+    before = (Window.partitionBy(*g).orderBy("__b")
+              .rowsBetween(Window.unboundedPreceding, -1))
     stats = stats.select(*g, "__b",
-                         F.coalesce(F.sum("__rows").over(above), F.lit(0)).alias("__row_off"),
-                         F.coalesce(F.sum("__vals").over(above), F.lit(0)).alias("__val_off"))
+                         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__row_off"),
+                         F.coalesce(F.sum("__vals").over(before), F.lit(0)).alias("__val_off"))
 
     # Rank inside the bucket: one row per distinct value.
-    local = Window.partitionBy(*g, "__b").orderBy(F.col(v).desc())
+    local = Window.partitionBy(*g, "__b").orderBy(F.col(v).desc_nulls_last())
     if method == "rank":
         within = F.coalesce(F.sum("__n").over(local.rowsBetween(Window.unboundedPreceding, -1)),
                             F.lit(0)) + 1

@@ -106,3 +106,21 @@ def test_cluster_conf_sizes_partitions_to_data():
     conf = cluster_conf(100 * 1024 ** 4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_conf(10 * 1024 ** 2, 64)["spark.sql.shuffle.partitions"]) == 128
+
+
+def test_rank_within_groups_with_aqe_merged_buckets(spark):
+    rnd = random.Random(7)
+    rows = [(rnd.choice(["a", "b", "c"]), rnd.randint(0, 400)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v int")
+    expected = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                          "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+        got = rank_within_groups(df, ["g"], "v", "r")  # AQE merges 40 ranges into several
+        assert got.select("__b" if "__b" in got.columns else "r").count() == 3000
+        assert diff_counts(expected, got.select(*expected.columns)).first() == (0, 0)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
