@@ -8,9 +8,12 @@ spreads such keys explicitly:
 
 * hot keys = keys of ``big`` with more than ``min_rows`` rows. There are at
   most ``rows(big) / min_rows`` of them, which bounds the broadcast list;
-* a hot key's ``big`` rows get a salt ``pmod(xxhash64(row), salts)``
-  (deterministic, so a retried task re-sends rows to the same place), and
-  the matching ``small`` rows are replicated once per salt;
+* each hot key gets ``ceil(rows / min_rows)`` salts (capped by
+  ``max_salts``), so every salted slice holds about ``min_rows`` rows
+  however hot the key is; a hot key's ``big`` rows get the salt
+  ``pmod(xxhash64(row), salts)`` (deterministic, so a retried task re-sends
+  rows to the same place) and the matching ``small`` rows are replicated
+  once per salt -- at most ``rows(big) / min_rows`` extra rows in total;
 * every other key has salt 0 on both sides, so it joins as before.
 
 The join result is exactly the plain join's; only the task layout changes.
@@ -22,42 +25,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "__salt"
-HOT = "__hot"
+SALTS = "__salts"
 
 DEFAULT_MIN_ROWS = 1_000_000
-DEFAULT_SALTS = 64
+DEFAULT_MAX_SALTS = 1_000_000
 
 
 def _conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(df.sparkSession.conf.get(key, str(default)))
 
 
-def hot_keys(big: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """Non-NULL keys with more than ``min_rows`` rows (a partial+final hash
-    aggregate over one column; at most rows/min_rows results)."""
+def hot_keys(big: DataFrame, key: str, min_rows: int,
+             max_salts: int = DEFAULT_MAX_SALTS) -> DataFrame:
+    """Non-NULL keys with more than ``min_rows`` rows and their salt count
+    (a partial+final hash aggregate over one column; at most rows/min_rows
+    results)."""
+    rows = F.col("__rows")
     return (big.select(key).filter(F.col(key).isNotNull())
             .groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-            .filter(F.col("__rows") > min_rows)
-            .select(key, F.lit(True).alias(HOT)))
+            .filter(rows > min_rows)
+            .select(key, F.least(F.ceil(rows / F.lit(min_rows)),
+                                 F.lit(max_salts)).cast("bigint").alias(SALTS)))
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
-                min_rows: int | None = None, salts: int | None = None) -> DataFrame:
-    """``big.join(small, key, how)`` with hot keys of ``big`` spread over
-    ``salts`` tasks. ``how`` is ``inner`` or ``left`` (big side kept)."""
+                min_rows: int | None = None, max_salts: int | None = None) -> DataFrame:
+    """``big.join(small, key, how)`` with each hot key of ``big`` spread over
+    slices of about ``min_rows`` rows. ``how`` is ``inner`` or ``left``."""
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     min_rows = min_rows or _conf_int(big, "ledgerlake.skew.hotKeyRows", DEFAULT_MIN_ROWS)
-    salts = salts or _conf_int(big, "ledgerlake.skew.salts", DEFAULT_SALTS)
-    hot = F.broadcast(hot_keys(big, key, min_rows))
+    max_salts = max_salts or _conf_int(big, "ledgerlake.skew.maxSalts", DEFAULT_MAX_SALTS)
+    hot = F.broadcast(hot_keys(big, key, min_rows, max_salts))
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    salts = F.col(SALTS)
     b = (big.join(hot, key, "left")
-         .withColumn(SALT, F.when(F.col(HOT), F.pmod(row_hash, F.lit(salts)))
+         .withColumn(SALT, F.when(salts.isNotNull(), F.pmod(row_hash, salts))
                      .otherwise(F.lit(0).cast("bigint")))
-         .drop(HOT))
+         .drop(SALTS))
     s = (small.join(hot, key, "left")
          .withColumn(SALT, F.explode(
-             F.when(F.col(HOT), F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+             F.when(salts.isNotNull(), F.sequence(F.lit(0).cast("bigint"), salts - 1))
              .otherwise(F.array(F.lit(0).cast("bigint")))))
-         .drop(HOT))
+         .drop(SALTS))
     return b.join(s, [key, SALT], how).drop(SALT)

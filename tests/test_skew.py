@@ -24,11 +24,16 @@ def skewed(spark):
 def test_salted_join_equals_plain_join(spark, skewed):
     orders, customers = skewed
     plain = orders.join(customers, "customer_id")
-    salted = salted_join(orders, customers, "customer_id", min_rows=100, salts=8)
+    salted = salted_join(orders, customers, "customer_id", min_rows=100)
     assert salted.count() == plain.count() > 0
     assert diff_counts(plain, salted.select(*plain.columns)).first() == (0, 0)
-    left = salted_join(orders, customers, "customer_id", how="left", min_rows=100, salts=8)
+    left = salted_join(orders, customers, "customer_id", how="left", min_rows=100)
     assert left.count() == orders.count()
+    # the hot customer gets one salt per ~100 rows; slices stay near that size
+    from ledgerlake.operators import hot_keys
+    hot = {r["customer_id"]: r["__salts"] for r in hot_keys(orders, "customer_id", 100).collect()}
+    n_hot = orders.filter("customer_id = '1'").count()
+    assert hot["1"] == -(-n_hot // 100)
 
 
 def test_stored_inputs_let_aqe_split_the_hot_key(spark, skewed):
@@ -74,7 +79,7 @@ def test_in_memory_enrich_with_salting_equals_stored_fact(spark):
 
     ex = raw_extracts(spark, SF_SMALL)
     spark.conf.set("ledgerlake.skew.hotKeyRows", "3")  # most customers count as hot here
-    spark.conf.set("ledgerlake.skew.salts", "4")
+    spark.conf.set("ledgerlake.skew.maxSalts", "4")
     try:
         in_memory = Silver(ex["customers"], ex["products"], ex["sales_orders"]).enriched
         stored = R.silver(spark, SF_SMALL).enriched
@@ -82,4 +87,4 @@ def test_in_memory_enrich_with_salting_equals_stored_fact(spark):
         assert diff_counts(stored, in_memory.select(*stored.columns)).first() == (0, 0)
     finally:
         spark.conf.unset("ledgerlake.skew.hotKeyRows")
-        spark.conf.unset("ledgerlake.skew.salts")
+        spark.conf.unset("ledgerlake.skew.maxSalts")
