@@ -108,6 +108,8 @@ def cluster_conf(input_bytes: int, total_cores: int,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
-        # runtime broadcasts only below a bounded size (AQE checks the real size)
+        # broadcast only what AQE measured at run time to be small; the
+        # planner's estimate (compressed file size) is not a proven bound
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
     }

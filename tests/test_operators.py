@@ -106,6 +106,7 @@ def test_cluster_conf_sizes_partitions_to_data():
     conf = cluster_conf(100 * 1024 ** 4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_conf(10 * 1024 ** 2, 64)["spark.sql.shuffle.partitions"]) == 128
+    assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
 
 
 @pytest.mark.parametrize("advisory", ["2k", "8k"])
