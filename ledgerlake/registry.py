@@ -11,6 +11,7 @@ silver read the stored tables, as the layered job does.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import threading
 from collections.abc import Callable
@@ -47,14 +48,31 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).enriched
 
 
-def _register_silver(spark: SparkSession, sf_dir: str) -> StoredSilver:
-    s = silver(spark, sf_dir)
+def _views(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Temp-view names for this input folder (distinct per folder, so checks
+    over several folders in one session never read each other's views)."""
+    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
+    names = ("silver_orders", "silver_customers", "silver_products",
+             "silver_sales_enriched", "gold_customer_value", "completed_orders_joined")
+    return {n: f"{n}_{tag}" for n in names}
+
+
+def _register_silver(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    s, v = silver(spark, sf_dir), _views(spark, sf_dir)
     sqlforms.register({
-        "silver_orders": s.orders,
-        "silver_customers": s.customers,
-        "silver_products": s.products,
+        v["silver_orders"]: s.orders,
+        v["silver_customers"]: s.customers,
+        v["silver_products"]: s.products,
     })
-    return s
+    return v
+
+
+def _completed_view(spark: SparkSession, sf_dir: str) -> str:
+    v = _register_silver(spark, sf_dir)
+    sqlforms.completed_orders_joined(
+        spark, v["silver_orders"], v["silver_customers"], v["silver_products"]
+    ).createOrReplaceTempView(v["completed_orders_joined"])
+    return v["completed_orders_joined"]
 
 
 def q_clean_customers(spark, sf_dir):
@@ -118,42 +136,37 @@ def q_latest_profile(spark, sf_dir):
 
 
 def q_sql_completed_orders(spark, sf_dir):
-    _register_silver(spark, sf_dir)
-    return sqlforms.completed_orders_joined(spark)
-
-
-def _completed_view(spark, sf_dir):
-    _register_silver(spark, sf_dir)
-    sqlforms.completed_orders_joined(spark).createOrReplaceTempView("completed_orders_joined")
+    v = _register_silver(spark, sf_dir)
+    return sqlforms.completed_orders_joined(spark, v["silver_orders"], v["silver_customers"],
+                                            v["silver_products"])
 
 
 def q_sql_monthly_summary(spark, sf_dir):
-    _completed_view(spark, sf_dir)
-    return sqlforms.monthly_summary(spark)
+    return sqlforms.monthly_summary(spark, _completed_view(spark, sf_dir))
 
 
 def q_sql_product_rank(spark, sf_dir):
-    _completed_view(spark, sf_dir)
-    return sqlforms.product_rank(spark)
+    return sqlforms.product_rank(spark, _completed_view(spark, sf_dir))
 
 
 def q_sql_top_customers(spark, sf_dir):
-    gold.customer_value(enriched(spark, sf_dir)).createOrReplaceTempView("gold_customer_value")
-    return sqlforms.top_customers(spark)
+    view = _views(spark, sf_dir)["gold_customer_value"]
+    gold.customer_value(enriched(spark, sf_dir)).createOrReplaceTempView(view)
+    return sqlforms.top_customers(spark, view)
 
 
 def q_sql_vs_api_diff(spark, sf_dir):
     e = enriched(spark, sf_dir)
-    e.createOrReplaceTempView("silver_sales_enriched")
+    view = _views(spark, sf_dir)["silver_sales_enriched"]
+    e.createOrReplaceTempView(view)
     return sqlforms.sql_vs_api_diff(gold.category_month_stats(e),
-                                    sqlforms.category_month_stats_sql(spark))
+                                    sqlforms.category_month_stats_sql(spark, view))
 
 
 def q_definition_gap(spark, sf_dir):
-    s = _register_silver(spark, sf_dir)
-    sqlforms.completed_orders_joined(spark).createOrReplaceTempView("completed_orders_joined")
-    return sqlforms.definition_gap(gold.category_month_stats(s.enriched),
-                                   sqlforms.monthly_summary(spark))
+    completed = _completed_view(spark, sf_dir)
+    return sqlforms.definition_gap(gold.category_month_stats(enriched(spark, sf_dir)),
+                                   sqlforms.monthly_summary(spark, completed))
 
 
 def q_stage_counts(spark, sf_dir):
