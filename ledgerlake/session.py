@@ -1,7 +1,8 @@
 """Session construction and shared-storage locations.
 
-On a cluster the session is built by the platform; ``get_session`` only fills
-in settings that are still unset, so a cluster's own values always win.
+On a cluster the session is built by the platform; ``get_session`` returns
+an active session untouched and only builds one (with these defaults) when
+none exists, as in tests and the benchmark.
 Scratch and checkpoint data live under ``spark.checkpoint.dir`` (a shared
 folder every executor can reach); a local default is set only when the
 session has none, as in tests.
@@ -16,7 +17,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the pipeline relies on. Applied only where the session has no value.
+# Settings the pipeline relies on, used when ``get_session`` builds a session.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
