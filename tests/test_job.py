@@ -20,3 +20,20 @@ def test_weekly_job(spark):
     assert summary["customers"].silver_rows == c["silver_customers"]
     # silver kept the bronze lineage columns (withColumn-style cleaning)
     assert "source_file" in spark.table("ledgerlake_test.silver_orders").columns
+
+
+def test_weekly_job_from_landing_folder_with_custom_names(spark):
+    from ledgerlake.session import scratch_dir
+    from ledgerlake.sources.extracts import raw_extracts
+    from ledgerlake.sources.landing import write_csv
+
+    landing = scratch_dir(spark, "landing-custom")
+    names = {"customers": "customers_500.csv", "products": "products_500.csv",
+             "sales_orders": "sales_orders_500.csv"}
+    for name, df in raw_extracts(spark, SF_SMALL).items():
+        write_csv(df, f"{landing}/{names[name]}")
+    out = run_weekly(spark, landing=landing, files=names)
+    c = out["counts"]
+    assert c["bronze_sales_orders"] == R.orders_extract(spark, SF_SMALL).count()
+    assert c["silver_sales_enriched"] == R.q_sales_enriched(spark, SF_SMALL).count()
+    assert c["published_events"] == c["consumed_events"] == c["gold_monthly_category_sales"]
