@@ -184,7 +184,11 @@ def enrich(orders_fin: DataFrame, products: DataFrame, customers: DataFrame,
 
 
 class Silver:
-    """The silver layer built from three bronze (or raw) frames."""
+    """The silver layer as lazy in-memory frames over three bronze (or raw)
+    frames. The layered job stores these tables instead
+    (``plans.medallion.build_silver``) so every consumer reads them once;
+    here each consumer recomputes its lineage, and the enriched join salts
+    hot customers because the dedup's partitioning is reused."""
 
     def __init__(self, customers_bronze: DataFrame, products_bronze: DataFrame,
                  orders_bronze: DataFrame, on_bad: str = "fail"):
