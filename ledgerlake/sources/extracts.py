@@ -15,7 +15,7 @@ the planner / AQE).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import CUSTOMER_COLUMNS, ORDER_COLUMNS, PRODUCT_COLUMNS
@@ -64,12 +64,79 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+# The adapter rules as Spark SQL expressions: one ``selectExpr`` per extract
+# is one analysis pass instead of hundreds of small Column calls.
+CUSTOMER_EXPRS = {
+    "customer_id": "CASE WHEN v = 2 THEN CAST(c_custkey AS STRING) "
+                   "ELSE concat(' ', CAST(c_custkey AS STRING), ' ') END",
+    "customer_name": "CASE WHEN v = 0 THEN concat(' ', lower(c_name)) "
+                     "WHEN v = 1 THEN concat(' ', upper(c_name)) "
+                     "ELSE concat(lower(c_name), ' jr') END",
+    "email": "concat('user', CAST(c_custkey AS STRING), '@example.com ')",
+    "city": "CASE WHEN v <> 0 THEN lower(n_name) WHEN c_custkey % 17 = 0 THEN '  ' "
+            "WHEN c_custkey % 19 = 0 THEN NULL ELSE lower(n_name) END",
+    "state": "lower(n_name)",
+    "region": "lower(r_name)",
+    "customer_segment": "lower(c_mktsegment)",
+    "is_active": "CASE WHEN v = 0 THEN IF(c_acctbal < 0, 'n', ' y ') "
+                 "WHEN v = 1 THEN IF(c_custkey % 10 = 0, 'n', 'y') ELSE 'Y' END",
+    "signup_date": "date_format(date_add(DATE'2020-01-01', CAST(c_custkey % 365 AS INT)), "
+                   "'yyyy-MM-dd')",
+    "date_of_birth": "date_format(date_add(DATE'1960-01-01', CAST(c_custkey % 9000 AS INT)), "
+                     "'yyyy-MM-dd')",
+    "updated_at": "CASE WHEN v = 1 THEN IF(c_custkey % 15 = 0, NULL, '2024-01-02 00:00:00') "
+                  "ELSE '2024-01-01 00:00:00' END",
+    "loyalty_points": "IF(v = 2, '0', CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) AS STRING))",
+}
+# version 0: every customer; 1: k % 5 == 0, one day later; 2: k % 7 == 0, unpadded id
+CUSTOMER_VERSIONS = ("explode(array(0, IF(c_custkey % 5 = 0, 1, NULL), "
+                     "IF(c_custkey % 7 = 0, 2, NULL))) AS v")
+
+PRODUCT_EXPRS = {
+    "product_id": "IF(p_partkey % 11 = 0, concat(' ', CAST(p_partkey AS STRING)), "
+                  "CAST(p_partkey AS STRING))",
+    "product_name": "IF(p_partkey % 4 = 0, upper(p_name), p_name)",
+    "category": "lower(p_type)",
+    "subcategory": "lower(p_brand)",
+    "supplier_name": "concat('supplier ', CAST(p_partkey % 100 AS STRING))",
+    "active_flag": "IF(p_size % 10 = 0, 'n', ' y')",
+    "unit_price": "CASE WHEN p_partkey % 23 = 0 THEN 'abc' WHEN p_partkey % 29 = 0 THEN '-1.00' "
+                  "ELSE CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING) END",
+    "cost_price": "IF(p_partkey % 31 = 0, NULL, CAST(CAST(CAST(p_retailprice AS DECIMAL(12,2)) "
+                  "* CAST(0.8 AS DECIMAL(1,1)) AS DECIMAL(12,2)) AS STRING))",
+    "stock_quantity": "CAST(p_size AS STRING)",
+    "launch_date": "date_format(date_add(DATE'2015-01-01', CAST(p_partkey % 1000 AS INT)), "
+                   "'yyyy-MM-dd')",
+    "product_rating": "concat(CAST((p_partkey % 50) DIV 10 AS STRING), '.', "
+                      "CAST(p_partkey % 10 AS STRING))",
+}
+
+ORDER_EXPRS = {
+    "order_id": "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING))",
+    "customer_id": "CAST(o_custkey AS STRING)",
+    "product_id": "CAST(l_partkey AS STRING)",
+    "payment_method": "lower(o_orderpriority)",
+    "order_status": "CASE WHEN l_orderkey % 101 = 0 THEN NULL "
+                    "WHEN o_orderstatus = 'F' THEN 'completed' "
+                    "WHEN o_orderstatus = 'P' THEN ' pending' "
+                    "WHEN l_returnflag = 'R' THEN 'cancelled' "
+                    "WHEN l_returnflag = 'A' THEN 'Returned' ELSE 'shipped' END",
+    "sales_channel": "CASE l_linenumber % 3 WHEN 0 THEN ' online' WHEN 1 THEN 'store ' "
+                     "ELSE 'mobile' END",
+    "warehouse_id": "concat('w', CAST(l_suppkey % 7 AS STRING))",
+    "order_timestamp": "concat(date_format(o_orderdate, 'yyyy-MM-dd'), ' ', "
+                       "lpad(CAST(l_orderkey % 24 AS STRING), 2, '0'), ':', "
+                       "lpad(CAST(l_orderkey % 60 AS STRING), 2, '0'), ':00')",
+    "promised_delivery_date": "date_format(date_add(CAST(o_orderdate AS DATE), 30), "
+                              "'yyyy-MM-dd')",
+    "actual_delivery_date": "IF(l_linestatus = 'O', NULL, date_format(l_shipdate, 'yyyy-MM-dd'))",
+    "quantity": "CAST(CAST(l_quantity AS INT) - 2 AS STRING)",
+    "discount_pct": "CAST(CAST(round(l_discount * 100) AS INT) AS STRING)",
+}
 
 
-def _day_text(start: str, days: Column) -> Column:
-    return F.date_format(F.date_add(F.lit(start).cast("date"), days.cast("int")), "yyyy-MM-dd")
+def _project(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{e} AS {c}" for c, e in exprs.items()])
 
 
 def customers_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,67 +153,16 @@ def customers_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
             read_table(spark, sf_dir, "region"),
             F.col("n_regionkey") == F.col("r_regionkey"))
         .select("n_nationkey", "n_name", "r_name"))
-    k = F.col("c_custkey")
-    versions = F.array(
-        F.lit(0),
-        F.when(k % 5 == 0, F.lit(1)),
-        F.when(k % 7 == 0, F.lit(2)),
-    )
     base = (customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
-            .withColumn("v", F.explode(versions))
-            .filter(F.col("v").isNotNull()))
-    v = F.col("v")
-    ks = _s(k)
-    out = base.select(
-        F.when(v == 2, ks).otherwise(F.concat(F.lit(" "), ks, F.lit(" "))).alias("customer_id"),
-        F.when(v == 0, F.concat(F.lit(" "), F.lower("c_name")))
-         .when(v == 1, F.concat(F.lit(" "), F.upper("c_name")))
-         .otherwise(F.concat(F.lower("c_name"), F.lit(" jr"))).alias("customer_name"),
-        F.concat(F.lit("user"), ks, F.lit("@example.com ")).alias("email"),
-        F.when(v != 0, F.lower("n_name"))
-         .when(k % 17 == 0, F.lit("  "))
-         .when(k % 19 == 0, F.lit(None).cast("string"))
-         .otherwise(F.lower("n_name")).alias("city"),
-        F.lower("n_name").alias("state"),
-        F.lower("r_name").alias("region"),
-        F.lower("c_mktsegment").alias("customer_segment"),
-        F.when(v == 0, F.when(F.col("c_acctbal") < 0, F.lit("n")).otherwise(F.lit(" y ")))
-         .when(v == 1, F.when(k % 10 == 0, F.lit("n")).otherwise(F.lit("y")))
-         .otherwise(F.lit("Y")).alias("is_active"),
-        _day_text("2020-01-01", k % 365).alias("signup_date"),
-        _day_text("1960-01-01", k % 9000).alias("date_of_birth"),
-        F.when(v == 1, F.when(k % 15 == 0, F.lit(None).cast("string"))
-                        .otherwise(F.lit("2024-01-02 00:00:00")))
-         .otherwise(F.lit("2024-01-01 00:00:00")).alias("updated_at"),
-        F.when(v == 2, F.lit("0"))
-         .otherwise(_s(F.floor(F.abs(F.col("c_acctbal"))).cast("bigint"))).alias("loyalty_points"),
-    )
-    return out.select(*CUSTOMER_COLUMNS)
+            .selectExpr("*", CUSTOMER_VERSIONS)
+            .filter("v IS NOT NULL"))
+    return _project(base, CUSTOMER_EXPRS).select(*CUSTOMER_COLUMNS)
 
 
 def products_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """products_*.csv: one row per part, prices as text with bad values."""
     part = spread(read_table(spark, sf_dir, "part"), ["p_partkey"])
-    k = F.col("p_partkey")
-    price = F.col("p_retailprice").cast("decimal(12,2)")
-    out = part.select(
-        F.when(k % 11 == 0, F.concat(F.lit(" "), _s(k))).otherwise(_s(k)).alias("product_id"),
-        F.when(k % 4 == 0, F.upper("p_name")).otherwise(F.col("p_name")).alias("product_name"),
-        F.lower("p_type").alias("category"),
-        F.lower("p_brand").alias("subcategory"),
-        F.concat(F.lit("supplier "), _s(k % 100)).alias("supplier_name"),
-        F.when(F.col("p_size") % 10 == 0, F.lit("n")).otherwise(F.lit(" y")).alias("active_flag"),
-        F.when(k % 23 == 0, F.lit("abc"))
-         .when(k % 29 == 0, F.lit("-1.00"))
-         .otherwise(_s(price)).alias("unit_price"),
-        F.when(k % 31 == 0, F.lit(None).cast("string"))
-         .otherwise(_s((price * F.lit(0.8).cast("decimal(1,1)")).cast("decimal(12,2)")))
-         .alias("cost_price"),
-        _s(F.col("p_size")).alias("stock_quantity"),
-        _day_text("2015-01-01", k % 1000).alias("launch_date"),
-        F.concat(_s(F.floor((k % 50) / 10).cast("bigint")), F.lit("."), _s(k % 10)).alias("product_rating"),
-    )
-    return out.select(*PRODUCT_COLUMNS)
+    return _project(part, PRODUCT_EXPRS).select(*PRODUCT_COLUMNS)
 
 
 def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,35 +170,7 @@ def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = spread(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
     orders = spread(read_table(spark, sf_dir, "orders"), ["o_orderkey"])
     j = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    ok = F.col("l_orderkey")
-    hh = F.lpad(_s(ok % 24), 2, "0")
-    mm = F.lpad(_s(ok % 60), 2, "0")
-    status = (F.when(ok % 101 == 0, F.lit(None).cast("string"))
-              .when(F.col("o_orderstatus") == "F", F.lit("completed"))
-              .when(F.col("o_orderstatus") == "P", F.lit(" pending"))
-              .when(F.col("l_returnflag") == "R", F.lit("cancelled"))
-              .when(F.col("l_returnflag") == "A", F.lit("Returned"))
-              .otherwise(F.lit("shipped")))
-    ln = F.col("l_linenumber")
-    out = j.select(
-        F.concat(_s(ok), F.lit("-"), _s(ln)).alias("order_id"),
-        _s(F.col("o_custkey")).alias("customer_id"),
-        _s(F.col("l_partkey")).alias("product_id"),
-        F.lower("o_orderpriority").alias("payment_method"),
-        status.alias("order_status"),
-        F.when(ln % 3 == 0, F.lit(" online")).when(ln % 3 == 1, F.lit("store "))
-         .otherwise(F.lit("mobile")).alias("sales_channel"),
-        F.concat(F.lit("w"), _s(F.col("l_suppkey") % 7)).alias("warehouse_id"),
-        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" "), hh, F.lit(":"), mm,
-                 F.lit(":00")).alias("order_timestamp"),
-        F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 30), "yyyy-MM-dd")
-         .alias("promised_delivery_date"),
-        F.when(F.col("l_linestatus") == "O", F.lit(None).cast("string"))
-         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("actual_delivery_date"),
-        _s(F.col("l_quantity").cast("int") - 2).alias("quantity"),
-        _s(F.round(F.col("l_discount") * 100).cast("int")).alias("discount_pct"),
-    )
-    return out.select(*ORDER_COLUMNS)
+    return _project(j, ORDER_EXPRS).select(*ORDER_COLUMNS)
 
 
 def raw_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
