@@ -138,6 +138,16 @@ def parse_rejects(bronze: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def rejected_rows(bronze: DataFrame, dataset: str) -> DataFrame:
+    """The raw rows of ``dataset`` that a strict parse would fail on, with the
+    offending column names in ``reject_reasons`` (a row-level filter, no
+    shuffle), to route aside when running with ``on_bad="null"``."""
+    reasons = F.array_compact(F.array(*[
+        F.when(F.col(c).isNotNull() & _lenient(c, kind).isNull(), F.lit(c))
+        for c, kind in PARSED_COLUMNS[dataset].items()]))
+    return bronze.withColumn("reject_reasons", reasons).filter(F.size("reject_reasons") > 0)
+
+
 def status_distribution(typed_orders: DataFrame) -> DataFrame:
     """Q3: rows per order_status before the quantity filter."""
     return typed_orders.groupBy("order_status").count()

@@ -128,3 +128,11 @@ def test_parse_rejects_counts_unparseable_text(spark):
            for r in parse_rejects(bronze).collect() if r.rejected_rows}
     assert got == {("customers", "signup_date"): 1, ("customers", "loyalty_points"): 1,
                    ("products", "unit_price"): 1, ("sales_orders", "quantity"): 1}
+
+
+def test_rejected_rows_carry_reasons(spark):
+    from ledgerlake.plans.quality import rejected_rows
+    bronze = spark.createDataFrame([o_row("ok"), o_row("bad", qty="two", promised="2024-02-30"),
+                                    o_row("open", actual=None)], ORDERS_RAW)
+    got = {r.order_id: r.reject_reasons for r in rejected_rows(bronze, "sales_orders").collect()}
+    assert got == {"bad": ["promised_delivery_date", "quantity"]}
