@@ -9,7 +9,8 @@ driver (only observed row counts come back):
 2. bronze: all-string scan + lineage columns, stored (D1-D3);
 3. silver: cleaned, deduplicated tables, stored (D4-D6);
 4. gold: enriched fact + marts from the stored fact (D8-D13, D17, D18);
-5. validation summary from the stored bronze tables (D23);
+5. data quality from the stored bronze tables: validation summary (D23),
+   duplicate keys, parse rejects;
 6. export: gold extract to CSV (K4), re-read (S5), published (K5);
 7. consume: streaming drain of the topic into JSON lines (T2-T4).
 
@@ -27,8 +28,8 @@ import json
 from pyspark.sql import SparkSession
 
 from ledgerlake.plans.bronze import EXTRACT_FILES, land_extracts, read_bronze
-from ledgerlake.plans.medallion import build_gold, build_silver, write_layer
-from ledgerlake.plans.quality import stage_counts
+from ledgerlake.plans.medallion import build_gold, build_silver, run_concurrently, write_layer
+from ledgerlake.plans.quality import duplicate_keys, parse_rejects, stage_counts
 from ledgerlake.plans.silver import type_customers, type_orders, type_products
 from ledgerlake.session import cluster_conf, get_session, scratch_dir
 from ledgerlake.sources.extracts import raw_extracts
@@ -68,10 +69,17 @@ def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | No
     counts.update(silver.counts)
     counts.update(build_gold(spark, silver, root, fmt))
 
-    summary = stage_counts(type_customers(bronze["customers"]), type_products(bronze["products"]),
-                           type_orders(bronze["sales_orders"]))
-    counts["validation_summary"] = int(
-        write_layer(summary, f"{root}/validation_summary", fmt).get["rows"])
+    typed = (type_customers(bronze["customers"]), type_products(bronze["products"]),
+             type_orders(bronze["sales_orders"]))
+    quality_tables = {
+        "validation_summary": stage_counts(*typed),
+        "duplicate_keys": duplicate_keys(*typed),
+        "parse_rejects": parse_rejects(bronze),
+    }
+    counts.update(run_concurrently({
+        name: (lambda df=df, name=name:
+               int(write_layer(df, f"{root}/{name}", fmt).get["rows"]))
+        for name, df in quality_tables.items()}))
 
     monthly = spark.read.format(fmt).load(f"{root}/gold_monthly_category_sales")
     export = f"{root}/export/monthly_category_sales.csv"

@@ -18,6 +18,9 @@ def test_weekly_job(spark):
     summary = {r.dataset: r for r in spark.table("ledgerlake_test.validation_summary").collect()}
     assert summary["orders"].bronze_rows == c["bronze_sales_orders"]
     assert summary["customers"].silver_rows == c["silver_customers"]
+    assert c["duplicate_keys"] == 3 and c["parse_rejects"] == 14
+    rejects = spark.table("ledgerlake_test.parse_rejects").filter("rejected_rows > 0")
+    assert [r.column_name for r in rejects.collect()] == ["unit_price"]
     # silver kept the bronze lineage columns (withColumn-style cleaning)
     assert "source_file" in spark.table("ledgerlake_test.silver_orders").columns
 
