@@ -98,14 +98,14 @@ def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | No
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.split("\n")[0])
-    ap.add_argument("--sf-dir")
-    ap.add_argument("--landing")
-    ap.add_argument("--root")
-    ap.add_argument("--namespace")
-    ap.add_argument("--format", default="parquet")
+    ap.add_argument("--sf-dir", help="folder of the provided tables (extracts are derived)")
+    ap.add_argument("--landing", help="folder holding the three CSV extracts")
+    ap.add_argument("--root", help="run folder (default: new folder in spark.checkpoint.dir)")
+    ap.add_argument("--namespace", help="register every stored table in this schema")
+    ap.add_argument("--format", default="parquet", help="table format (parquet, delta, ...)")
     ap.add_argument("--files", default="",
                     help="landing file names, e.g. customers=customers_500.csv,products=...")
-    ap.add_argument("--master")
+    ap.add_argument("--master", help="Spark master when no session is active")
     ap.add_argument("--input-bytes", type=int,
                     help="size the shuffle/scan settings for this much input")
     a = ap.parse_args(argv)
