@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.plans import gold, quality, sqlforms
 from ledgerlake.plans.bronze import land_extracts, read_bronze
-from ledgerlake.plans.medallion import StoredSilver, build_silver
+from ledgerlake.plans.medallion import StoredSilver, build_silver, write_layer
 from ledgerlake.plans.silver import type_customers, type_orders, type_products
 from ledgerlake.session import run_dir, scratch_dir
 from ledgerlake.sources.extracts import customers_extract, orders_extract, raw_extracts
@@ -199,9 +199,13 @@ def _landing(spark, sf_dir) -> str:
 
 
 def q_bronze_roundtrip(spark, sf_dir):
-    """Sales orders landed as CSV, read back all-string and tagged (without
-    the load time, which differs per run)."""
-    return read_bronze(spark, _landing(spark, sf_dir), "sales_orders").drop("ingestion_timestamp")
+    """Sales orders landed as CSV, read back all-string and tagged, stored as
+    the bronze table and read back (without the load time, which differs per
+    run)."""
+    bronze = read_bronze(spark, _landing(spark, sf_dir), "sales_orders")
+    table = f"{run_dir(spark, 'bronze', os.path.abspath(sf_dir))}/bronze_sales_orders"
+    write_layer(bronze, table)
+    return spark.read.schema(bronze.schema).parquet(table).drop("ingestion_timestamp")
 
 
 def q_source_manifest(spark, sf_dir):
