@@ -22,7 +22,7 @@ from ledgerlake.plans import gold, quality, sqlforms
 from ledgerlake.plans.bronze import land_extracts, read_bronze
 from ledgerlake.plans.medallion import StoredSilver, build_silver, write_layer
 from ledgerlake.plans.silver import type_customers, type_orders, type_products
-from ledgerlake.session import run_dir, scratch_dir
+from ledgerlake.session import app_id, run_dir, scratch_dir
 from ledgerlake.sources.extracts import customers_extract, orders_extract, raw_extracts
 from ledgerlake.sources.landing import source_manifest
 from ledgerlake.streaming import events as ev
@@ -36,7 +36,7 @@ _LOCK = threading.Lock()
 def silver(spark: SparkSession, sf_dir: str, refresh: bool = False) -> StoredSilver:
     """The stored silver layer for ``sf_dir`` (built on first use; ``refresh``
     rebuilds it in place, overwriting the same folder)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
         if refresh or key not in _STORED:
             root = run_dir(spark, "silver", key[1])

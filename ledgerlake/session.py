@@ -49,6 +49,29 @@ def get_session(master: str | None = None, app_name: str = "ledgerlake",
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id (also on sessions without a SparkContext handle)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", "app")
+
+
+def _context_checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:
+        return None
+
+
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        master = spark.sparkContext.master
+    except Exception:
+        master = spark.conf.get("spark.master", "")
+    return master.startswith("local")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
@@ -56,16 +79,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     neither is set (local tests) a folder under the system temp dir is
     created and registered, so later calls and ``DataFrame.checkpoint`` agree.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if _context_checkpoint_dir(spark) is None:
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # no SparkContext handle: the conf entry is enough here
+            pass
     return root.rstrip("/")
 
 
@@ -86,8 +110,7 @@ def run_dir(spark: SparkSession, name: str, *keys: str) -> str:
     checkpoint root: rebuilding overwrites it instead of leaving a copy."""
     root = checkpoint_root(spark)
     tag = hashlib.sha1("|".join(keys).encode()).hexdigest()[:12] if keys else "run"
-    app = spark.sparkContext.applicationId
-    return _ensure_local(f"{root}/ledgerlake/{name}-{app}-{tag}")
+    return _ensure_local(f"{root}/ledgerlake/{name}-{app_id(spark)}-{tag}")
 
 
 def cluster_conf(input_bytes: int, total_cores: int,
