@@ -46,10 +46,3 @@ def read_bronze(spark: SparkSession, landing: str, name: str,
     if missing:
         raise ValueError(f"{file_name}: missing columns {missing}")
     return raw.transform(add_bronze_metadata, file_name if literal_source else None)
-
-
-def bronze_tables(spark: SparkSession, landing: str,
-                  files: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    files = files or {}
-    return {name: read_bronze(spark, landing, name, file_name=files.get(name))
-            for name in EXTRACT_FILES}

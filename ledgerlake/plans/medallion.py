@@ -34,10 +34,6 @@ from ledgerlake.plans.silver import (clean_customers, clean_orders, clean_produc
                                      financial_orders)
 from ledgerlake.session import scratch_dir
 
-SILVER_TABLES = ("silver_customers", "silver_products", "silver_orders",
-                 "silver_sales_enriched")
-
-
 def write_layer(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: list[str] | None = None) -> Observation:
     """Overwrite ``path`` with ``df``; the row count rides on the write (Q2)."""

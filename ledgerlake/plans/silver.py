@@ -44,17 +44,6 @@ PRODUCT_TRIM = ["product_id", "product_name", "category", "subcategory", "suppli
 ORDER_TRIM = ["order_id", "customer_id", "product_id", "payment_method", "order_status",
               "sales_channel", "warehouse_id"]
 
-ENRICHED_COLUMNS = [
-    "order_id", "order_timestamp", "order_month",
-    "customer_id", "customer_name", "city", "state", "region", "customer_segment",
-    "product_id", "product_name", "category", "subcategory",
-    "quantity", "unit_price", "cost_price", "discount_pct",
-    "gross_amount", "discount_amount", "net_amount", "net_sales", "profit_per_unit",
-    "promised_delivery_date", "actual_delivery_date", "delivery_days", "late_delivery_flag",
-    "order_status", "payment_method", "sales_channel", "warehouse_id",
-]
-
-
 # ---------------------------------------------------------------- customers
 def type_customers(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     df = trim_columns(bronze, CUSTOMER_TRIM)

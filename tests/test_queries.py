@@ -63,3 +63,10 @@ def test_invariants(spark):
     top = gold.top_products_by_category(e)
     assert (top.filter("revenue_rank = 1").select("category").distinct().count()
             == e.select("category").distinct().count())
+
+
+@pytest.mark.parametrize("name", ["customers", "products", "sales_orders"])
+def test_raw_extracts_match_the_oracle_adapter(spark, con, name):
+    from ledgerlake.oracle import RAW_EXTRACT_SQL
+    res = compare(R.raw_extracts(spark, SF_SMALL)[name], con, RAW_EXTRACT_SQL[name])
+    assert res["match"], res
