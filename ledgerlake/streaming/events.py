@@ -17,6 +17,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators.latest import keep_latest
@@ -116,8 +117,16 @@ def read_consumed(spark: SparkSession, sink_path: str) -> DataFrame:
 
 def latest_events(consumed: DataFrame) -> DataFrame:
     """Weekly runs re-send the same event ids with new totals; the raw log
-    keeps every copy. This view keeps one row per ``event_id`` (largest
-    totals on a tie, since the log has no publish time)."""
-    return keep_latest(consumed, ["event_id"], [], tie_break=[
+    keeps every copy. This view keeps one row per ``event_id``: the copy in
+    the newest sink file (every drain writes new files), then the largest
+    totals. The file time comes from ``_metadata`` when ``consumed`` is a
+    direct scan of the sink (``read_consumed``)."""
+    written = "__written_at"
+    try:
+        with_time = consumed.withColumn(written, F.col("_metadata.file_modification_time"))
+    except AnalysisException:
+        with_time = consumed.withColumn(written, F.lit(None).cast("timestamp"))
+    latest = keep_latest(with_time, ["event_id"], [written], tie_break=[
         "order_count", "total_quantity", "total_revenue", "event_type", "sales_month",
         "category"])
+    return latest.drop(written)

@@ -59,3 +59,18 @@ def test_bronze_reads_columns_by_header_name(spark):
     assert "extra_col" in back.columns
     assert diff_counts(ex, back.select(*ex.columns)).first() == (0, 0)
     assert back.select("source_file").distinct().first()[0] == "products_500.csv"
+
+
+def test_latest_events_prefers_the_newer_publish(spark):
+    events = R.q_sales_events(spark, SF_SMALL)
+    root = scratch_dir(spark, "events-newer")
+    topic, sink, ckpt = f"{root}/topic", f"{root}/consumed", f"{root}/ckpt"
+    ev.publish(events, topic)
+    ev.consume(spark, topic, sink, ckpt).awaitTermination()
+    # next week's run re-sends the same ids with smaller totals
+    newer = events.withColumns({"order_count": F.col("order_count") - 1,
+                                "total_revenue": F.col("total_revenue") - 1.0})
+    ev.publish(newer, topic)
+    ev.consume(spark, topic, sink, ckpt).awaitTermination()
+    latest = ev.latest_events(ev.read_consumed(spark, sink))
+    assert diff_counts(newer, latest.select(*newer.columns)).first() == (0, 0)
