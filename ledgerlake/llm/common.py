@@ -145,12 +145,9 @@ def text_chunks(column, target: int = 1 << 20):
         i = j
 
 
-def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of a chunk, and where each row's words begin
-    (length rows + 1)."""
+def word_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a chunk begin and end; no word crosses rows."""
     n = len(data)
-    if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offs), np.int64)
     isw = ~_FLAGS[data]
     cut = np.zeros(n + 1, bool)
     cut[offs] = True
@@ -161,7 +158,16 @@ def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     after = np.empty(n, bool)
     after[-1] = False
     after[:-1] = isw[1:]
-    ends = np.flatnonzero(isw & (~after | cut[1:])) + 1
+    return starts, np.flatnonzero(isw & (~after | cut[1:])) + 1
+
+
+def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of a chunk, and where each row's words begin
+    (length rows + 1)."""
+    n = len(data)
+    if n == 0:
+        return np.zeros(0, np.uint64), np.zeros(len(offs), np.int64)
+    starts, ends = word_bounds(data, offs)
     p, inv = _powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_LOWER[data].astype(np.uint64) * p[:n], out=total[1:])

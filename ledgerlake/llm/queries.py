@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import (decontaminate, langid, quality, sharding, urlrules, vectors, warc)
+from ledgerlake.llm import (decontaminate, jaccard, langid, mixing, quality, sharding, urlrules, vectors, warc)
 from ledgerlake.llm.common import fold, stash
 
 # (host, path, verdict) of the url contract
@@ -26,6 +26,11 @@ def op1_decontaminate(spark, sf_dir):
                                     table(spark, sf_dir, "benchmark"))
 
 
+def op2_jaccard(spark, sf_dir):
+    """Components of documents linked at Jaccard 0.85 on 4-word shingles."""
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op3_shard(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     out = sharding.kd_shards(docs, ["lang", "n_chars"], n_shards=40)
@@ -37,6 +42,23 @@ def op4_vectors(spark, sf_dir):
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+# Shares of the tokens that the mix should hold of each labelled domain.
+MIX_WEIGHTS = {"clean": 0.9, "low": 0.05, "toxic": 0.05}
+
+
+def op5_mixing(spark, sf_dir):
+    """Rates whose expected domain totals meet MIX_WEIGHTS, for every document."""
+    docs, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(
+        F.col("quality") == 1, "clean")
+    model = mixing.learn_domains(docs, labels.select("doc_id", domain.alias("domain")))
+    members = stash(mixing.memberships(docs, model), "mix-members")
+    mixing.fit_rates(members, model, MIX_WEIGHTS)
+    out = mixing.rated(members, model)
+    return out.select("doc_id", "tokens", *[F.col("posterior")[i].alias(f"p_{d}")
+                                            for i, d in enumerate(model.domains)], "rate", "copies")
+
+
 def op6_quality(spark, sf_dir):
     stats = quality.with_statistics(table(spark, sf_dir, "documents"))
     stats = stash(stats, "quality-stats").withColumn("held_out", fold(F.col("doc_id"), 3) == 1)
@@ -66,8 +88,10 @@ def op10_url_rules(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_jaccard": op2_jaccard,
     "op3_shard": op3_shard,
     "op4_vectors": op4_vectors,
+    "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
     "op7_langid": op7_langid,
     "op9_warc": op9_warc,
