@@ -108,7 +108,7 @@ class DomainModel:
 
 def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", domain_col: str = "domain", sample: int = 20_000,
-                  n_features: int = 200, least_z: float = 8.0, passes: int = 7) -> DomainModel:
+                  n_features: int = 240, least_z: float = 6.0, passes: int = 7) -> DomainModel:
     """``labels``: rows (id_col, domain_col)."""
     named = (labels.filter(labels[id_col].isNotNull() & labels[domain_col].isNotNull())
              .select(labels[id_col].alias("l_id"), labels[domain_col].cast("string").alias("d"))
@@ -155,15 +155,23 @@ def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     wide = counted.groupBy("g").agg(F.sum("n").alias("n"), *[
         F.sum(F.when(F.col("d") == d, F.col("n")).otherwise(0)).alias(f"n{i}")
         for i, d in enumerate(domains)])
-    z = [F.abs(F.col(f"n{i}") - F.col("n") * (k / max(total, 1)))
-         / F.sqrt(F.col("n") * max(k / max(total, 1) * (1 - k / max(total, 1)), 1e-9))
-         for i, k in enumerate(n_d)]
-    top = (wide.withColumn("z", F.greatest(*z)).filter((F.col("z") >= least_z) & (F.col("n") >= 10))
-           .orderBy(F.desc("z"), "g").limit(n_features).collect())
+    # each domain's own words: more of them in it than chance would put there
+    part = [min(max(n / max(total, 1), 1e-9), 1 - 1e-9) for n in n_d]
+    wide = stash(wide.filter(F.col("n") >= 10).withColumns({
+        f"z{i}": (F.col(f"n{i}") - F.col("n") * q) / F.sqrt(F.col("n") * (q * (1 - q)))
+        for i, q in enumerate(part)}), "mix-tokens")
+    top: set = set()
+    for i in range(len(domains)):
+        best = (wide.filter(F.col(f"z{i}") >= least_z).orderBy(F.desc(f"z{i}"), "g")
+                .limit(n_features // len(domains)).select("g").collect())
+        top |= {r["g"] for r in best}
     if not top:
         return model
-    model.grams = np.sort(np.array([r["g"] for r in top], np.int64).view(np.uint64))
+    model.grams = np.sort(np.array(sorted(top), np.int64).view(np.uint64))
     _train(rows, model, total, passes)
+    # the sample's shares of the domains give way to those of the whole table
+    model.bias = model.bias + np.log(prior / (1 - prior)) - np.log(
+        np.array(part) / (1 - np.array(part)))
     return model
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import (decontaminate, jaccard, langid, mixing, quality, sharding, urlrules, vectors, warc)
+from ledgerlake.llm import (decontaminate, jaccard, katz, langid, mixing, quality, sharding, urlrules, vectors, warc)
 from ledgerlake.llm.common import fold, stash
 
 # (host, path, verdict) of the url contract
@@ -75,6 +75,10 @@ def op7_langid(spark, sf_dir):
         "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op8_katz(spark, sf_dir):
+    return katz.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark, sf_dir):
     root = warc.write_archive(table(spark, sf_dir, "pages"))
     return warc.read_archive(spark, root).select("page_id", "payload_bytes", "payload_digest",
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
     "op7_langid": op7_langid,
+    "op8_katz": op8_katz,
     "op9_warc": op9_warc,
     "op10_url_rules": op10_url_rules,
 }
