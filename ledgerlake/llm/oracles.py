@@ -10,18 +10,18 @@ from __future__ import annotations
 
 _WORDS = ("list_filter(string_split_regex(translate(coalesce(text, ''), "
           "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
-          "'[ \\t\\n\\x0B\\f\\r]+'), x -> x <> '')")
+          "'[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')")
 
 OP1 = f"""
 WITH item_words AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
 item AS (SELECT DISTINCT item_id, least(len(ws), 5) AS w,
                 unnest(list_transform(range(1, len(ws) - least(len(ws), 5) + 2),
-                    i -> array_to_string(ws[i:i + least(len(ws), 5) - 1], ' '))) AS shingle
+                    lambda i: array_to_string(ws[i:i + least(len(ws), 5) - 1], ' '))) AS shingle
          FROM item_words WHERE len(ws) > 0),
 size AS (SELECT item_id, count(*) AS n_item FROM item GROUP BY item_id),
 doc_words AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
 doc AS (SELECT DISTINCT doc_id, w, unnest(list_transform(range(1, len(ws) - w + 2),
-                    i -> array_to_string(ws[i:i + w - 1], ' '))) AS shingle
+                    lambda i: array_to_string(ws[i:i + w - 1], ' '))) AS shingle
         FROM doc_words, (SELECT DISTINCT w FROM item) WHERE len(ws) >= w),
 hit AS (SELECT doc_id, item_id, count(*) AS n_shared
         FROM doc JOIN item USING (w, shingle) GROUP BY doc_id, item_id)

@@ -37,6 +37,13 @@ TOP = (1 << COORD_BITS) - 2
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
+def _literal(spark, rows: list[tuple], names: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+    """A small table as part of the plan."""
+    structs = [F.struct(*[F.lit(v).cast(k).alias(n) for v, n, k in zip(r, names, kinds)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def _coordinates(thin: DataFrame, dims: Sequence[str]) -> DataFrame:
     """Add c0..ck: 24-bit coordinates of the columns ``dims``."""
     kinds = dict(thin.dtypes)
@@ -74,10 +81,11 @@ def _cuts(rows: DataFrame, nodes: dict, leaf: float, tol: float, group_share: fl
              for n in nodes}
     done: dict = {}
     while state:
-        ranges = spark.createDataFrame(
-            [(n, nodes[n][0], s["phase"], s["lo"], s["hi"], s["key"] or 0,
-              float(nodes[n][1] * nodes[n][2] - s["before"])) for n, s in state.items()],
-            "r_node int, dim int, phase int, lo bigint, hi bigint, fixed bigint, want double")
+        ranges = _literal(
+            spark, [(n, nodes[n][0], s["phase"], s["lo"], s["hi"], s["key"] or 0,
+                     float(nodes[n][1] * nodes[n][2] - s["before"])) for n, s in state.items()],
+            ("r_node", "dim", "phase", "lo", "hi", "fixed", "want"),
+            ("int", "int", "int", "bigint", "bigint", "bigint", "double"))
         x = rows.join(F.broadcast(ranges), F.col("node") == F.col("r_node"))
         key = (F.element_at("coords", F.col("dim") + 1) * (1 << 32) + F.col("text_crc32"))
         x = x.withColumn("key", key).filter("phase = 0 OR key = fixed")
@@ -175,16 +183,16 @@ def kd_shards(docs: DataFrame, dims: Sequence[str], n_shards: int | None = None,
                 moves.append((n, nodes[n][0], *cuts[n]))
         tree = grown
         # as many rows as the level has nodes, known from the number of shards
-        table = spark.createDataFrame(moves or [(-1, 0, 0, 0)],
-                                      "m_node int, dim int, cut bigint, cut_tie bigint")
+        table = _literal(spark, moves or [(-1, 0, 0, 0)], ("m_node", "dim", "cut", "cut_tie"),
+                         ("int", "int", "bigint", "bigint"))
         key = F.element_at("coords", F.col("dim") + 1) * (1 << 32) + F.col("text_crc32")
         right = ((key > F.col("cut")) | ((key == F.col("cut")) & (F.col("tie") > F.col("cut_tie"))))
         rows = stash(rows.join(F.broadcast(table), F.col("node") == F.col("m_node"), "left")
                      .withColumn("node", (F.col("node") * 2 + F.coalesce(right.cast("int"), F.lit(0)))
                                  .cast("int"))
                      .drop("m_node", "dim", "cut", "cut_tie"), "shard-nodes")
-    leaves = spark.createDataFrame([(n, first) for n, (first, _) in tree.items()],
-                                   "l_node int, shard int")
+    leaves = _literal(spark, [(n, first) for n, (first, _) in tree.items()],
+                      ("l_node", "shard"), ("int", "int"))
     placed = (rows.join(F.broadcast(leaves), F.col("node") == F.col("l_node"))
               .select(id_col, "size", "text_crc32", "shard", "tie",
                       *[f"__k_{c}" for c in keep]))
