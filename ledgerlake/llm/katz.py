@@ -153,6 +153,27 @@ def _unpack(blob: bytes):
     return np.repeat(h, run), w, doc, n
 
 
+def _pack_rows(idx, *cols) -> bytes:
+    """The documents of a batch that a part met: u16 places, then columns."""
+    import pyarrow as pa
+    raw = idx.astype(np.uint16).tobytes() + b"".join(c.tobytes() for c in cols)
+    return np.int64(len(raw)).tobytes() + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpack_rows(blob: bytes, n_float: int, n_int: int):
+    import pyarrow as pa
+    size = int(np.frombuffer(blob, np.int64, 1)[0])
+    raw = pa.decompress(blob[8:], size, "zstd", asbytes=True)
+    m = size // (2 + 8 * n_float + 4 * n_int)
+    idx = np.frombuffer(raw, np.uint16, m).astype(np.int64)
+    out, at = [], 2 * m
+    for kind, k in ((np.float64, n_float), (np.uint32, n_int)):
+        for _ in range(k):
+            out.append(np.frombuffer(raw, kind, m, at).astype(float))
+            at += m * np.dtype(kind).itemsize
+    return idx, np.stack(out, axis=1)
+
+
 def part_of(h: np.ndarray, w: np.ndarray, parts: int, hot: np.ndarray, ways: np.ndarray) -> np.ndarray:
     """The part of each bigram; histories in ``hot`` (sorted) go to ``ways`` parts."""
     p = mix(h ^ np.uint64(0xC2B2AE3D)) % np.uint64(parts)
@@ -167,13 +188,12 @@ def _spread(parts, hot, ways, batch_docs):
     """Task code: blobs of (document, bigram) rows per part and document batch."""
     def run(batches):
         import pyarrow as pa
-        import uuid
         ids, held, got, size = [], [], [], 0
 
+        from pyspark import TaskContext
+        task, number = TaskContext.get().partitionId(), 0
+
         def out():
-            # the batch is named by its content's first id and size and a random
-            # tag: a task that runs again sends one consistent set of blobs
-            tag = uuid.uuid4().hex
             h, w, doc = (np.concatenate(x) for x in zip(*got))
             order = np.lexsort((doc, w, h))
             h, w, doc = h[order], w[order], doc[order]
@@ -181,6 +201,7 @@ def _spread(parts, hot, ways, batch_docs):
             new[1:] = (h[1:] != h[:-1]) | (w[1:] != w[:-1]) | (doc[1:] != doc[:-1])
             first = np.flatnonzero(new)
             n = np.diff(np.append(first, len(h)))
+            tokens = np.bincount(doc, minlength=len(ids)).astype(np.int32)
             h, w, doc = h[first], w[first], doc[first]
             big = np.flatnonzero(n > 65535)
             p = part_of(h, w, parts, hot, ways)
@@ -200,13 +221,16 @@ def _spread(parts, hot, ways, batch_docs):
                 if len(s):
                     names.append(k)
                     blobs.append(_pack(h[s], w[s], doc[s], n[s]))
+            # the ids travel with the first blob of the batch
+            none = np.array([i is None for i in ids])
+            head = (np.array([0 if i is None else i for i in ids], np.int64).tobytes()
+                    + tokens.tobytes() + np.packbits(none).tobytes())
             m = len(names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names + [-1], pa.int32()), pa.array([tag] * (m + 1)),
-                 pa.array(blobs + [np.packbits(np.array(held)).tobytes()], pa.binary()),
-                 pa.array([None] * m + [ids], pa.list_(pa.int64())),
-                 pa.array([len(ids)] * (m + 1), pa.int32())],
-                names=["part", "batch", "blob", "ids", "docs"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int32()), pa.array([f"{task}-{number}"] * m), pa.array(blobs, pa.binary()),
+                 pa.array([np.packbits(np.array(held)).tobytes()] * m, pa.binary()),
+                 pa.array([head] + [None] * (m - 1), pa.binary()), pa.array([len(ids)] * m, pa.int32())],
+                names=["part", "batch", "blob", "held", "head", "docs"])
 
         for b in batches:
             own = b.column(0).to_pylist()
@@ -225,7 +249,8 @@ def _spread(parts, hot, ways, batch_docs):
                 for s in range(0, k, 16384):
                     e = min(s + 16384, k)
                     if ids and len(ids) + e - s > 65535:
-                        yield from out()
+                        yield out()
+                        number += 1
                         ids, held, got, size = [], [], [], 0
                     x = slice(begin[s], begin[e])
                     got.append((prev[x], nxt[x],
@@ -234,30 +259,19 @@ def _spread(parts, hot, ways, batch_docs):
                     held += _held(own[first + s:first + e], *batch_docs[1:]).tolist()
                     size += begin[e] - begin[s]
                 if size > batch_docs[0]:
-                    yield from out()
+                    yield out()
+                    number += 1
                     ids, held, got, size = [], [], [], 0
         if ids:
-            yield from out()
+            yield out()
     return run
 
 
-def _score_part(model, top, hot):
+def _score_part(model, top, hot, slices=6):
     """Task code of one part: kinds of rows out (see ``_OUT``)."""
-    def run(pdf):
-        import pandas as pd
-        blobs = [_unpack(b) for b in pdf["blob"]]
-        held = [np.unpackbits(np.frombuffer(b, np.uint8)).astype(bool) for b in pdf["held"]]
-        docs = pdf["docs"].tolist()
-        base = np.concatenate([[0], np.cumsum(docs)])
-        h = np.concatenate([b[0] for b in blobs])
-        w = np.concatenate([b[1] for b in blobs])
-        doc = np.concatenate([b[2].astype(np.int32) + base[i] for i, b in enumerate(blobs)])
-        n = np.concatenate([b[3] for b in blobs]).astype(np.int64)
-        del blobs
-        train = ~np.concatenate([x[:k] for x, k in zip(held, docs)])
+    def score_slice(h, w, doc, n, train, table, met, coc, base, batches):
         order = np.lexsort((w, h))
         h, w, doc, n = h[order], w[order], doc[order], n[order]
-        del order
         pair = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])]))
         c_pair = np.add.reduceat(n * train[doc], pair)
         reps = np.diff(np.append(pair, len(h)))
@@ -270,64 +284,86 @@ def _score_part(model, top, hot):
         if len(hot[0]):  # counts of histories that several parts share
             at = np.minimum(np.searchsorted(hot[0], names), len(hot[0]) - 1)
             c_hist = np.where(hot[0][at] == names, hot[1][at], c_hist)
-        total_docs = int(base[-1])
         c_of = np.repeat(np.repeat(c_hist, per), reps)
-        seen = r > 0
+        seen, size = r > 0, len(train)
 
-        # per document: the fixed part, tokens by r, base score, known tokens
-        fixed = np.bincount(doc[seen], n[seen] * np.log10(r[seen] / c_of[seen]), total_docs)
-        by_r = [np.bincount(doc[r == k], n[r == k], total_docs) for k in range(1, top + 1)]
+        # per document: the fixed part, base score, known tokens, tokens by r
+        table[0] += np.bincount(doc[seen], n[seen] * np.log10(r[seen] / c_of[seen]), size)
         word = h != START  # a word is the history of the token after it
-        own = np.log10((c_of[word] + 1) / model["base"])
-        base_score = np.bincount(doc[word], n[word] * own, total_docs)
-        known = np.bincount(doc[word], n[word] * (c_of[word] > 0), total_docs)
-        tokens = np.bincount(doc, n, total_docs)
-        table = np.stack([fixed, base_score, known, tokens, *by_r], axis=1)
-        rows = []
-        for i, batch in enumerate(pdf["batch"]):
-            rows.append({"kind": 0, "batch": batch, "x": table[base[i]:base[i + 1]].ravel()})
-        # counts of counts
-        coc = np.bincount(np.minimum(c_pair, top + 2), minlength=top + 3)[1:top + 2]
-        rows.append({"kind": 1, "x": coc.astype(float)})
+        table[1] += np.bincount(doc[word], n[word] * np.log10((c_of[word] + 1) / model["base"]), size)
+        table[2] += np.bincount(doc[word], n[word] * (c_of[word] > 0), size)
+        for k in range(1, top + 1):
+            table[2 + k] += np.bincount(doc[r == k], n[r == k], size)
+        met[doc] = True
+        coc += np.bincount(np.minimum(c_pair, top + 2), minlength=top + 3)[1:top + 2]
 
         # unseen bigrams, and the sums of their histories over seen successors
         gone = np.flatnonzero(~seen)
-        if len(gone):
-            need = np.unique(h[gone])
-            at = np.searchsorted(names, need)
-            which = np.full(len(names), -1)
-            which[at] = np.arange(len(need))
-            of_pair = np.repeat(which, per)
-            use = (of_pair >= 0) & (c_pair > 0)
-            k, rr, ww = of_pair[use], c_pair[use], pw[use]
-            stat = np.zeros((len(need), top + 2))
-            for q in range(1, top + 1):
-                stat[:, q - 1] = np.bincount(k, rr == q, len(need))
-            stat[:, top] = np.bincount(k, rr * (rr > top), len(need))
-            place = np.minimum(np.searchsorted(model["words"], ww), max(len(model["words"]) - 1, 0))
-            common = (model["words"][place] == ww) if len(model["words"]) else np.zeros(len(ww), bool)
-            stat[:, top + 1] = np.bincount(k[common], model["p"][place[common]], len(need))
-            rows.append({"kind": 2, "h": need.view(np.int64), "n": c_hist[at], "x": stat.ravel()})
-            rare = ~common
-            rows.append({"kind": 3, "h": need[k[rare]].view(np.int64), "w": ww[rare].view(np.int64)})
-            which_batch = np.searchsorted(base, doc[gone], side="right") - 1
-            for i, batch in enumerate(pdf["batch"]):
-                s = gone[which_batch == i]
-                if len(s):
-                    rows.append({"kind": 4, "batch": batch, "h": h[s].view(np.int64),
-                                 "w": w[s].view(np.int64), "n": n[s], "doc": doc[s] - base[i]})
-        out = {c: [x.get(c) for x in rows] for c in ("kind", "batch", "h", "w", "n", "doc", "x")}
+        if not len(gone):
+            return []
+        need = np.unique(h[gone])
+        at = np.searchsorted(names, need)
+        which = np.full(len(names), -1)
+        which[at] = np.arange(len(need))
+        of_pair = np.repeat(which, per)
+        use = (of_pair >= 0) & (c_pair > 0)
+        k, rr, ww = of_pair[use], c_pair[use], pw[use]
+        stat = np.zeros((len(need), top + 2))
+        for q in range(1, top + 1):
+            stat[:, q - 1] = np.bincount(k, rr == q, len(need))
+        stat[:, top] = np.bincount(k, rr * (rr > top), len(need))
+        place = np.minimum(np.searchsorted(model["words"], ww), max(len(model["words"]) - 1, 0))
+        common = (model["words"][place] == ww) if len(model["words"]) else np.zeros(len(ww), bool)
+        stat[:, top + 1] = np.bincount(k[common], model["p"][place[common]], len(need))
+        rows = [{"kind": 2, "h": need.view(np.int64), "n": c_hist[at], "x": stat.ravel()},
+                {"kind": 3, "h": need[k[~common]].view(np.int64), "w": ww[~common].view(np.int64)}]
+        which_batch = np.searchsorted(base, doc[gone], side="right") - 1
+        for i, batch in enumerate(batches):
+            s = gone[which_batch == i]
+            if len(s):
+                rows.append({"kind": 4, "batch": batch, "h": h[s].view(np.int64),
+                             "w": w[s].view(np.int64), "n": n[s], "doc": doc[s] - base[i]})
+        return rows
+
+    def run(pdf):
+        import pandas as pd
+        blobs = [_unpack(b) for b in pdf["blob"]]
+        held = [np.unpackbits(np.frombuffer(b, np.uint8)).astype(bool) for b in pdf["held"]]
+        docs = pdf["docs"].tolist()
+        base = np.concatenate([[0], np.cumsum(docs)])
+        train = ~np.concatenate([x[:k] for x, k in zip(held, docs)])
+        table = [np.zeros(int(base[-1])) for _ in range(3 + top)]
+        met, coc, rows = np.zeros(int(base[-1]), bool), np.zeros(top + 1), []
+        # histories in slices of their hash range: less memory at a time
+        edges = [np.uint64((1 << 64) * k // slices) for k in range(slices)] + [None]
+        for lo, hi in zip(edges, edges[1:]):
+            cut = [(int(np.searchsorted(b[0], lo)),
+                    len(b[0]) if hi is None else int(np.searchsorted(b[0], hi))) for b in blobs]
+            h, w, doc, n = (np.concatenate([b[j][x:z] for b, (x, z) in zip(blobs, cut)])
+                            for j in range(4))
+            if len(h):
+                doc = doc.astype(np.int64) + np.repeat(base[:-1], [z - x for x, z in cut])
+                rows += score_slice(h, w, doc, n.astype(np.int64), train, table, met, coc, base,
+                                    pdf["batch"])
+        counts = [x.astype(np.uint32) for x in table[2:]]
+        for i, batch in enumerate(pdf["batch"]):
+            at = np.flatnonzero(met[base[i]:base[i + 1]])
+            rows.append({"kind": 0, "batch": batch, "head": pdf["head"].iloc[i], "rows": _pack_rows(
+                at, *(x[base[i] + at] for x in (*table[:2], *counts)))})
+        rows.append({"kind": 1, "x": coc})
+        out = {c: [x.get(c) for x in rows]
+               for c in ("kind", "batch", "h", "w", "n", "doc", "x", "head", "rows")}
         return pd.DataFrame(out)
     return run
 
 
 _OUT = ("kind int, batch string, h array<bigint>, w array<bigint>, n array<bigint>, "
-        "doc array<int>, x array<double>")
+        "doc array<int>, x array<double>, head binary, rows binary")
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     modulus: int = 7, rest: int = 2, top_discount: int = 5,
-                    common: int = 1_000_000, part_rows: int = 1_500_000,
+                    common: int = 400_000, part_rows: int = 4_000_000,
                     batch_tokens: int = 1_500_000) -> DataFrame:
     """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for every row; documents whose id's crc32 is ``rest`` modulo ``modulus``
@@ -360,23 +396,22 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             if left <= common:
                 break
             least, left = r["c"] + 1, left - r["count"]
-    frequent = uni.filter(F.col("c") >= least).toPandas() if vocab else None
-    if frequent is not None and len(frequent) > common:
-        frequent = frequent.nlargest(common, "c")
-    words = frequent["w"].to_numpy(np.int64).view(np.uint64) if vocab else np.zeros(0, np.uint64)
+    frequent = uni.filter(F.col("c") >= least).toArrow()
+    words = frequent["w"].to_numpy().astype(np.int64).view(np.uint64)
+    counts = frequent["c"].to_numpy().astype(np.int64)
+    if len(words) > common:
+        pick = np.argsort(-counts, kind="stable")[:common]
+        words, counts = words[pick], counts[pick]
     order = np.argsort(words)
-    counts = frequent["c"].to_numpy(np.int64)[order] if vocab else np.zeros(0, np.int64)
+    counts = counts[order]
     held = spark.sparkContext.broadcast({"base": float(total + vocab + 1), "words": words[order],
                                          "p": first.p(counts)})
 
-    sent = stash(base.mapInArrow(_spread(parts, hot, ways, (batch_tokens, modulus, rest)),
-                                 "part int, batch string, blob binary, ids array<bigint>, docs int"),
-                 "katz-bigrams")
-    heads = sent.filter("part = -1").select(F.col("batch").alias("b"), "ids", F.col("blob").alias("held"))
+    sent = base.mapInArrow(
+        _spread(parts, hot, ways, (batch_tokens, modulus, rest)),
+        "part int, batch string, blob binary, held binary, head binary, docs int")
     score_part = _score_part_with(held, top, (hot, hot_c))
-    work = (sent.filter("part >= 0").select("part", "batch", "blob", "docs")
-            .join(heads.select("b", "held"), F.col("batch") == F.col("b")).drop("b"))
-    out = stash(work.groupBy("part").applyInPandas(score_part, _OUT), "katz-scores")
+    out = stash(sent.groupBy("part").applyInPandas(score_part, _OUT), "katz-scores")
 
     got = out.filter("kind = 1").agg(*[F.sum(F.col("x")[i]) for i in range(top + 1)]).first()
     d = discounts([float(v or 0) for v in got], top)
@@ -408,26 +443,36 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .groupBy(F.col("batch").alias("ub"), F.col("doc").alias("ud"))
               .agg(F.sum(F.col("n") * F.log10("p")).alias("backed")))
 
+    names = [f"x{i}" for i in range(3 + top)]
+
     def add(pdf):
         import pandas as pd
-        return pd.DataFrame({"batch": pdf["batch"].iloc[:1],
-                             "x": [np.sum(np.stack(pdf["x"]), axis=0)]})
-
-    wide = 4 + top
-    sums = (out.filter("kind = 0").select("batch", "x").groupBy("batch")
-            .applyInPandas(add, "batch string, x array<double>"))
-    per_doc = (sums.join(heads.select("b", "ids"), F.col("batch") == F.col("b"))
-               .select("batch", "x", F.posexplode("ids").alias("doc", "id"))
-               .select("batch", "doc", "id", *[F.col("x")[F.col("doc") * wide + i].alias(f"x{i}")
-                                               for i in range(wide)]))
-    fixed = F.col("x0") + sum(F.col(f"x{3 + r}") * float(math.log10(d[r - 1]))
+        head = next(x for x in pdf["head"] if x is not None)
+        k = len(head) * 8 // 97
+        while 12 * k + (k + 7) // 8 < len(head):
+            k += 1
+        total = np.zeros((k, 3 + top))
+        for x in pdf["rows"]:
+            idx, cols = _unpack_rows(x, 2, 1 + top)
+            total[idx] += cols
+        none = np.unpackbits(np.frombuffer(head, np.uint8, offset=12 * k))[:k].astype(bool)
+        ids = pd.array(np.frombuffer(head, np.int64, k), dtype="Int64")
+        ids[none] = pd.NA
+        res = pd.DataFrame(total, columns=names)
+        return res.assign(batch=pdf["batch"].iloc[0], doc=np.arange(k, dtype=np.int32), id=ids,
+                          tokens=np.frombuffer(head, np.int32, k, 8 * k).astype(np.int64))
+
+    per_doc = (out.filter("kind = 0").select("batch", "head", "rows").groupBy("batch").applyInPandas(
+        add, ", ".join(f"{x} double" for x in names)
+        + ", batch string, doc int, id bigint, tokens bigint"))
+    fixed = F.col("x0") + sum(F.col(f"x{2 + r}") * float(math.log10(d[r - 1]))
                               for r in range(1, top + 1))
     end_base = math.log10((end_count + 1) / (total + vocab + 1))
     out_rows = per_doc.join(backed, (F.col("batch") == F.col("ub")) & (F.col("doc") == F.col("ud")), "left")
     held_out = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit(""))) % modulus == rest
     return out_rows.select(
         F.col("id").alias(id_col), held_out.alias("held_out"),
-        F.round("x3").cast("bigint").alias("n_tokens"),
+        F.col("tokens").alias("n_tokens"),
         (F.round("x2") + (1 if end_count else 0)).cast("bigint").alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("x1") + end_base).alias("base_score"),
