@@ -14,11 +14,13 @@ similarity is at least ``percent`` / 100, decided in integers on the sets.
    member). Tiles that this puts into one component are done: a group of near
    copies costs its size, not its square.
 4. In the other tiles everything outside the largest component meets all
-   members, in chunks of ``chunk_rows``. Each task packs its points, the counts
-   of shingles per hash group, into an R-tree; the overlap of two boxes or
-   points is bounded by the summed minima of their coordinates, and only pairs
-   the bound leaves are verified on the sets. Pairs already connected are
-   skipped; the task returns a spanning forest.
+   members, in chunks of ``chunk_rows``.
+
+A task packs its points, the counts of shingles per hash group, into an
+R-tree; the overlap of two boxes or points is bounded by the summed minima of
+their coordinates. Only documents that the bound leaves with a partner are
+read again for their sets, on which the pairs are verified; pairs already
+connected are skipped, and the task returns a spanning forest.
 
 Alone, boxes over counts of random text prune little but size: the counts of
 unrelated documents lie close together. That is why the top level of the tree
@@ -42,7 +44,7 @@ from ledgerlake.llm.common import components, mix, shingle_hashes, stash, text_c
 
 LOAD_BITS = 18  # hash groups whose loads order the shingles
 SLICES = 64     # the load table travels in this many rows a task
-GROUPS = 64     # coordinates of a point
+GROUPS = 256    # coordinates of a point
 
 
 def _sets(column, width):
@@ -59,30 +61,41 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
+def _point(s: np.ndarray) -> bytes:
+    """Counts of shingles by hash group, a byte each where they fit, else four."""
+    c = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
+    return c.astype(np.uint8 if c.max() < 256 else np.uint32).tobytes()
+
+
+def _points(packed) -> np.ndarray:
+    return np.stack([np.frombuffer(p, np.uint8 if len(p) == GROUPS else np.uint32)
+                     for p in packed]).astype(np.int32)
+
+
 def _profile(width):
     """Task code: digests of all documents, and the loads of the task."""
     def run(batches):
         import pyarrow as pa
         load = np.zeros(1 << LOAD_BITS, np.int64)
-        names = ["id", "n", "s1", "s2", "slice", "load"]
+        names = ["id", "n", "s1", "s2", "point", "slice", "load"]
         for b in batches:
-            n, s1, s2 = [], [], []
+            n, s1, s2, points = [], [], [], []
             for _, sets in _sets(b.column(1), width):
                 for s in sets:
                     x, y = _digest(s)
-                    n.append(len(s)), s1.append(x), s2.append(y)
+                    n.append(len(s)), s1.append(x), s2.append(y), points.append(_point(s))
                 if sets:
                     at = np.concatenate(sets) & np.uint64((1 << LOAD_BITS) - 1)
                     load += np.bincount(at.astype(np.int64), minlength=1 << LOAD_BITS)
             k = b.num_rows
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()),
-                 pa.array(s2, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64()))],
+                 pa.array(s2, pa.int64()), pa.array(points, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64()))],
                 names=names)
         if load.any():
             z = pa.nulls(SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [z, z, z, z, pa.array(range(SLICES), pa.int32()),
+                [z, z, z, z, pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()),
                  pa.array(list(load.reshape(SLICES, -1)), pa.list_(pa.int64()))], names=names)
     return run
 
@@ -112,7 +125,7 @@ def _postings(width, percent, level):
         seen: set = set()
         for b in batches:
             for _, sets in _sets(b.column(0), width):
-                hs, s1, s2 = [], [], []
+                hs, s1 = [], []
                 for s in sets:
                     n = len(s)
                     d = _digest(s)
@@ -123,11 +136,11 @@ def _postings(width, percent, level):
                     lv = level[(s & np.uint64((1 << LOAD_BITS) - 1)).astype(np.int64)]
                     if lv.any():
                         s = s[np.argsort(lv, kind="stable")]
-                    hs.append(s[:lead]), s1.append(np.full(lead, d[0])), s2.append(np.full(lead, d[1]))
+                    hs.append(s[:lead]), s1.append(np.full(lead, d[0]))
                 if hs:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(s1)),
-                         pa.array(np.concatenate(s2))], names=["h", "s1", "s2"])
+                        [pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(s1))],
+                        names=["h", "s1"])
                 if len(seen) > 1_000_000:
                     seen.clear()  # a set met again is a posting twice, no harm
     return run
@@ -140,7 +153,7 @@ def _full_sets(width):
             for first, sets in _sets(b.column(1), width):
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(first, len(sets)),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "shingles"])
+                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["r", "shingles"])
     return run
 
 
@@ -181,19 +194,42 @@ class RTree:
         return at[passes(self.points[at], size, size)]
 
 
-def _join(percent):
-    """Task code: forests of the tasks in one bucket. ``side``: 1 left, 2
-    right, 0 both; left points meet right ones."""
+def _bound(percent):
+    """Task code: of the members of each task in a bucket, those that the
+    R-tree's bound leaves with a partner in another component. ``side``: 1
+    left, 2 right, 0 both; left points meet right ones."""
+    def run(pdf):
+        kept = []
+        for _, t in pdf.groupby(["tile", "part"], sort=False):
+            points = _points(t["point"])
+            sizes = points.sum(axis=1)
+            comp, side = t["comp"].to_numpy(), t["side"].to_numpy()
+            right = np.flatnonzero(side != 1)
+            if len(t) < 2 or not len(right):
+                continue
+            tree = RTree(points[right], sizes[right])
+            use = np.zeros(len(t), bool)
+            for i in np.flatnonzero(side != 2):
+                j = right[tree.near(points[i], sizes[i], percent)]
+                j = j[comp[j] != comp[i]]
+                use[j] = True
+                use[i] |= len(j) > 0
+            kept.append(t[use])
+        import pandas as pd
+        out = pd.concat(kept) if kept else pdf.iloc[:0]
+        return out[["tile", "part", "rep", "side", "comp"]]
+    return run
+
+
+def _verify(percent):
+    """Task code: forests of the tasks in a bucket, pairs checked on the sets."""
     def run(pdf):
         import pandas as pd
         edges = []
         for _, t in pdf.groupby(["tile", "part"], sort=False):
-            if len(t) < 2:
-                continue
             sets = [np.frombuffer(x, np.uint64) for x in t["shingles"]]
-            sizes = np.array([len(s) for s in sets])
-            points = np.stack([np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
-                               for s in sets]).astype(np.int32)
+            points = _points([_point(s) for s in sets])
+            sizes = points.sum(axis=1)
             rep, comp, side = t["rep"].to_numpy(), t["comp"].to_numpy().copy(), t["side"].to_numpy()
             right = np.flatnonzero(side != 1)
             if not len(right):
@@ -217,19 +253,21 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(id_col, n_shingles, component_id) for every row of ``docs``."""
     base = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("t"))
     prof = stash(base.mapInArrow(
-        _profile(width), "id bigint, n bigint, s1 bigint, s2 bigint, slice int, load array<bigint>"),
+        _profile(width), "id bigint, n bigint, s1 bigint, s2 bigint, point binary, slice int, "
+        "load array<bigint>"),
         "jaccard-sets")
-    sets = prof.filter("slice IS NULL").select("id", "n", "s1", "s2")
+    sets = prof.filter("slice IS NULL").select("id", "n", "s1", "s2", "point")
     level = _levels(prof.filter("slice IS NOT NULL").select("slice", "load"))
     classes = stash(sets.filter("n > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n")
-                    .agg(F.min("id").alias("rep")), "jaccard-classes")
+                    .agg(F.min("id").alias("rep"), F.min("point").alias("point")), "jaccard-classes")
 
     post = stash(base.select("t").mapInArrow(_postings(width, percent, level),
-                                             "h bigint, s1 bigint, s2 bigint"), "jaccard-postings")
+                                             "h bigint, s1 bigint"), "jaccard-postings")
     live = post.groupBy("h").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).filter("x < y")
-    keys = classes.select(F.col("s1").alias("c1"), F.col("s2").alias("c2"), "rep")
+    # classes that share half a digest all join the tile, which does no harm
+    keys = classes.select(F.col("s1").alias("c1"), "rep")
     tiles = (post.join(live.select(F.col("h").alias("lh")), F.col("h") == F.col("lh"), "left_semi")
-             .distinct().join(keys, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")))
+             .distinct().join(keys, F.col("s1") == F.col("c1"))
              .select("h", "rep").distinct())
     tiles = stash(tiles, "jaccard-live")
     # one tile for each distinct list of members
@@ -240,21 +278,26 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     tiles = stash(tiles.join(one, F.col("h") == F.col("tile")).select("tile", "m", "hub", "rep"),
                   "jaccard-tiles")
 
-    # the sets of documents in any tile; ids are sent to all tasks only when few
-    want = stash(tiles.select("rep").distinct(), "jaccard-wanted")
-    few = want.count() <= broadcast_ids
-    picked = base.join(F.broadcast(want) if few else want, F.col("id") == F.col("rep"), "left_semi")
-    full = picked.mapInArrow(_full_sets(width), "rep bigint, shingles binary")
-    # rows repeating an id: the set of its class
-    full = stash(full.groupBy(F.col("rep").alias("r")).agg(F.min("shingles").alias("shingles")),
-                 "jaccard-full")
+    points = classes.groupBy(F.col("rep").alias("p_rep")).agg(F.min("point").alias("point"))
+
+    def bucketed(tasks: DataFrame, n: int) -> DataFrame:
+        return tasks.withColumn("bucket", F.pmod(F.xxhash64("tile", "part"),
+                                                 F.lit(max(1, n // bucket_rows))))
 
     def compare(tasks: DataFrame) -> DataFrame:
+        """Edges (a, b): the bound first, then the sets of what it leaves."""
         tasks = stash(tasks, "jaccard-tasks")
-        buckets = max(1, tasks.count() // bucket_rows)
-        tasks = tasks.withColumn("bucket", F.pmod(F.xxhash64("tile", "part"), F.lit(buckets)))
-        return (tasks.join(full, F.col("rep") == F.col("r")).drop("r")
-                .groupBy("bucket").applyInPandas(_join(percent), "a bigint, b bigint"))
+        left = stash(bucketed(tasks, tasks.count()).join(points, F.col("rep") == F.col("p_rep"))
+                     .drop("p_rep").groupBy("bucket").applyInPandas(
+                         _bound(percent), "tile bigint, part string, rep bigint, side int, comp bigint"),
+                     "jaccard-left")
+        want = stash(left.select(F.col("rep").alias("r")).distinct(), "jaccard-wanted")
+        few = want.count() <= broadcast_ids  # else both sides are shuffled
+        picked = base.join(F.broadcast(want) if few else want, F.col("id") == F.col("r"), "left_semi")
+        full = (picked.mapInArrow(_full_sets(width), "r bigint, shingles binary")
+                .groupBy("r").agg(F.min("shingles").alias("shingles")))
+        return (bucketed(left, left.count()).join(full, F.col("rep") == F.col("r")).drop("r")
+                .groupBy("bucket").applyInPandas(_verify(percent), "a bigint, b bigint"))
 
     # first pass: every member against the smallest of its tile
     pairs = tiles.select("hub", "rep").distinct().filter("hub != rep")
@@ -289,7 +332,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     tasks = (left.withColumn("side", F.lit(1)).unionByName(right.withColumn("side", F.lit(2)))
              .groupBy("tile", "l", "r", "rep", "comp").agg(F.sum("side").alias("s"))
              .select("tile", F.concat_ws("-", "l", "r").alias("part"), "rep",
-                     F.when(F.col("s") == 3, 0).otherwise(F.col("s")).alias("side"), "comp"))
+                     F.when(F.col("s") == 3, 0).otherwise(F.col("s")).cast("int").alias("side"), "comp"))
     second = compare(tasks)
     parts = components(first.unionAll(second), "jaccard-components")
 
