@@ -20,7 +20,8 @@ A task packs its points, the counts of shingles per hash group, into an
 R-tree; the overlap of two boxes or points is bounded by the summed minima of
 their coordinates. Only documents that the bound leaves with a partner are
 read again for their sets, on which the pairs are verified; pairs already
-connected are skipped, and the task returns a spanning forest.
+connected are skipped, a pair that several tiles hold is compared in the first
+of them, and the task returns a spanning forest.
 
 Alone, boxes over counts of random text prune little but size: the counts of
 unrelated documents lie close together. That is why the top level of the tree
@@ -194,6 +195,28 @@ class RTree:
         return at[passes(self.points[at], size, size)]
 
 
+def _elsewhere(tile: int, leads) -> np.ndarray | None:
+    """Members x earlier tiles they are in: two members that share one are
+    compared there."""
+    ids = np.unique(np.concatenate([np.asarray(x, np.int64) for x in leads]))
+    ids = ids[ids < tile]
+    if not len(ids):
+        return None
+    out = np.zeros((len(leads), len(ids)), np.float32)
+    for i, x in enumerate(leads):
+        x = np.asarray(x, np.int64)
+        out[i, np.searchsorted(ids, x[x < tile])] = 1
+    return out
+
+
+def _partners(tree, right, points, sizes, comp, met, i, percent):
+    j = right[tree.near(points[i], sizes[i], percent)]
+    j = j[comp[j] != comp[i]]
+    if met is not None and len(j):
+        j = j[(met[j] @ met[i]) == 0]
+    return j
+
+
 def _bound(percent):
     """Task code: of the members of each task in a bucket, those that the
     R-tree's bound leaves with a partner in another component. ``side``: 1
@@ -208,16 +231,16 @@ def _bound(percent):
             if len(t) < 2 or not len(right):
                 continue
             tree = RTree(points[right], sizes[right])
+            met = _elsewhere(int(t["tile"].iloc[0]), t["lead"].tolist())
             use = np.zeros(len(t), bool)
             for i in np.flatnonzero(side != 2):
-                j = right[tree.near(points[i], sizes[i], percent)]
-                j = j[comp[j] != comp[i]]
+                j = _partners(tree, right, points, sizes, comp, met, i, percent)
                 use[j] = True
                 use[i] |= len(j) > 0
             kept.append(t[use])
         import pandas as pd
         out = pd.concat(kept) if kept else pdf.iloc[:0]
-        return out[["tile", "part", "rep", "side", "comp"]]
+        return out[["tile", "part", "rep", "side", "comp", "lead"]]
     return run
 
 
@@ -235,8 +258,9 @@ def _verify(percent):
             if not len(right):
                 continue
             tree = RTree(points[right], sizes[right])
+            met = _elsewhere(int(t["tile"].iloc[0]), t["lead"].tolist())
             for i in np.flatnonzero(side != 2):
-                for j in right[tree.near(points[i], sizes[i], percent)].tolist():
+                for j in _partners(tree, right, points, sizes, comp, met, i, percent).tolist():
                     if comp[i] == comp[j]:
                         continue
                     both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
@@ -289,7 +313,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         tasks = stash(tasks, "jaccard-tasks")
         left = stash(bucketed(tasks, tasks.count()).join(points, F.col("rep") == F.col("p_rep"))
                      .drop("p_rep").groupBy("bucket").applyInPandas(
-                         _bound(percent), "tile bigint, part string, rep bigint, side int, comp bigint"),
+                         _bound(percent), "tile bigint, part string, rep bigint, side int, comp bigint, "
+                         "lead array<bigint>"),
                      "jaccard-left")
         want = stash(left.select(F.col("rep").alias("r")).distinct(), "jaccard-wanted")
         few = want.count() <= broadcast_ids  # else both sides are shuffled
@@ -307,8 +332,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.col("hub").alias("tile"), chunk.cast("string").alias("part"), "rep")
     hubs = spokes.select("tile", "part").distinct().select(
         "tile", "part", F.col("tile").alias("rep"), F.lit(1).alias("side"))
+    none = F.array().cast("array<bigint>")
     first = stash(compare(spokes.withColumn("side", F.lit(2)).select("tile", "part", "rep", "side")
-                          .unionAll(hubs).withColumn("comp", F.col("rep"))), "jaccard-edges")
+                          .unionAll(hubs).withColumns({"comp": F.col("rep"), "lead": none})), "jaccard-edges")
     parts = components(first, "jaccard-components")
 
     # second pass: tiles still in several components
@@ -333,7 +359,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
              .groupBy("tile", "l", "r", "rep", "comp").agg(F.sum("side").alias("s"))
              .select("tile", F.concat_ws("-", "l", "r").alias("part"), "rep",
                      F.when(F.col("s") == 3, 0).otherwise(F.col("s")).cast("int").alias("side"), "comp"))
-    second = compare(tasks)
+    # a pair in several tiles is compared in the first of them
+    leads = (both.select("rep", "tile").distinct().groupBy(F.col("rep").alias("l_rep"))
+             .agg(F.collect_list("tile").alias("lead")))
+    second = compare(tasks.join(leads, F.col("rep") == F.col("l_rep")).drop("l_rep"))
     parts = components(first.unionAll(second), "jaccard-components")
 
     best = classes.select(F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("rep")) \

@@ -75,7 +75,7 @@ def _count_unigrams(modulus, rest):
                 if use.any():
                     parts.append(np.unique(h[use], return_counts=True))
                     size += len(parts[-1][0])
-            if size > 3_000_000:
+            if size > 1_000_000:
                 yield out()
                 parts, size = [], 0
         if parts:
@@ -267,7 +267,7 @@ def _spread(parts, hot, ways, batch_docs):
     return run
 
 
-def _score_part(model, top, hot, slices=6):
+def _score_part(model, top, hot, slices=8):
     """Task code of one part: kinds of rows out (see ``_OUT``)."""
     def score_slice(h, w, doc, n, train, table, met, coc, base, batches):
         order = np.lexsort((w, h))
@@ -363,8 +363,8 @@ _OUT = ("kind int, batch string, h array<bigint>, w array<bigint>, n array<bigin
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     modulus: int = 7, rest: int = 2, top_discount: int = 5,
-                    common: int = 400_000, part_rows: int = 4_000_000,
-                    batch_tokens: int = 1_500_000) -> DataFrame:
+                    common: int = 400_000, part_rows: int = 2_500_000,
+                    batch_tokens: int = 1_000_000) -> DataFrame:
     """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for every row; documents whose id's crc32 is ``rest`` modulo ``modulus``
     are held out of the counts."""
