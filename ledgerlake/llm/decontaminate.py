@@ -15,7 +15,8 @@ verified by counting the item's shingles among their own, as word sequences.
 Only DataFrame functions run. The sketch table is broadcast only while its
 rows stay under ``broadcast_rows``; beyond that the join shuffles both sides.
 
-Defined results: null or wordless items and documents match nothing; equal
+Defined results: null or wordless items and documents match nothing, nor do
+those without an id; equal
 items match alike, each under its own id; rows repeating an id are one
 document (or item) whose sets are united; an empty table on either side gives
 no rows; further columns are ignored.
