@@ -13,7 +13,8 @@ depends on how many values in the group are greater, so the work splits:
    buckets. Without an explicit count AQE merges adjacent ranges up to the
    advisory partition size, so the number of buckets follows the size of
    the distinct-value table. Merged partitions are still contiguous, ordered
-   ranges: the bucket is the partition id.
+   ranges: the bucket is the partition id, written with
+   the values to the shared folder and read back by both following steps.
 3. Rank the values inside each (group, bucket) with a window -- balanced
    partitions now -- and add the rows (rank) or distinct values
    (dense_rank) of the group's earlier buckets, taken from a per-bucket
@@ -31,6 +32,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.session import scratch_dir
+
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                     how: str = "inner") -> DataFrame:
@@ -64,7 +67,12 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order_col: str,
         vals = vals.repartitionByRange(*ordered)
     else:
         vals = vals.repartitionByRange(max(1, buckets), *ordered)
+    # Stored once: both reads below see the same bucket of every value,
+    # whatever the planner reuses or AQE merges.
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "rank-buckets")
     vals = vals.withColumn("__b", F.spark_partition_id())
+    vals.write.mode("overwrite").parquet(path)
+    vals = spark.read.schema(vals.schema).parquet(path)
 
     # Rows and distinct values of the group in all earlier buckets.
     stats = vals.groupBy(*g, "__b").agg(F.sum("__n").alias("__rows"),

@@ -17,6 +17,7 @@ import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.plans import gold, quality, sqlforms
 from ledgerlake.plans.bronze import land_extracts, read_bronze
@@ -235,15 +236,18 @@ def q_sales_events_stream(spark, sf_dir):
 
 
 def q_consumed_latest_events(spark, sf_dir):
-    """Two weekly runs publish the same event ids; the consumer appends both
-    copies to its raw log, and the latest view keeps one row per event id."""
+    """Two weekly runs publish the same event ids, the first with larger
+    totals, and one drain appends both copies to the raw log; the latest view
+    keeps the second run's row per event id."""
     root = scratch_dir(spark, "events-latest")
     topic, sink, ckpt = f"{root}/topic", f"{root}/consumed", f"{root}/checkpoint"
     events = q_sales_events(spark, sf_dir)
-    for _ in range(2):
-        ev.publish(events, topic)
-        ev.consume(spark, topic, sink, ckpt).awaitTermination()
-    return ev.latest_events(ev.read_consumed(spark, sink))
+    earlier = events.withColumns({"order_count": F.col("order_count") + 1,
+                                  "total_revenue": F.col("total_revenue") + 100.0})
+    for batch in (earlier, events):
+        ev.publish(batch, topic)
+    ev.consume(spark, topic, sink, ckpt).awaitTermination()
+    return ev.latest_events(ev.read_log(spark, sink))
 
 
 QUERIES: dict[str, Query] = {

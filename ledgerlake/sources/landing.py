@@ -21,6 +21,8 @@ CSV_WRITE_OPTIONS = {
 CSV_READ_OPTIONS = {
     "header": "true",
     "inferSchema": "false",
+    # a file whose header differs from the scan's columns raises on a full read
+    "enforceSchema": "false",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }

@@ -13,17 +13,22 @@ nothing (exactly-once into the file sink).
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerlake.operators.latest import keep_latest
-from ledgerlake.schemas import EVENT_ID_PREFIX, EVENT_TYPE, SALES_EVENT, all_string
+from ledgerlake.schemas import EVENT_ID_PREFIX, EVENT_TYPE, SALES_EVENT
 from ledgerlake.sources.landing import export_csv, read_csv_as_strings
 
+# When a message was published (ns since the epoch, one value per publish).
+PUBLISHED = "published_at"
+LOGGED_EVENT = StructType([*SALES_EVENT.fields, StructField(PUBLISHED, LongType())])
+
 EXPORT_COLUMNS = ["sales_month", "category", "order_count", "total_quantity", "total_revenue"]
 
 
@@ -56,9 +61,10 @@ def encode(events: DataFrame) -> DataFrame:
         F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def decode(messages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
+def decode(messages: DataFrame, mode: str = "FAILFAST",
+           schema: StructType = SALES_EVENT) -> DataFrame:
     """``value`` (string or Kafka bytes) back to the typed event fields."""
-    parsed = F.from_json(F.col("value").cast("string"), SALES_EVENT, {"mode": mode})
+    parsed = F.from_json(F.col("value").cast("string"), schema, {"mode": mode})
     return messages.select(parsed.alias("e")).select("e.*")
 
 
@@ -68,10 +74,13 @@ def publish(events: DataFrame, topic: str, fmt: str = "text",
 
     ``fmt="kafka"`` needs ``kafka.bootstrap.servers`` in ``options`` and
     ``topic`` is the topic name; ``fmt="text"`` appends a JSON-lines folder.
-    The count is observed on the write itself (no second job).
+    The count is observed on the write itself (no second job). Messages carry
+    the time of the publish, so a later copy of an event can be told from an
+    earlier one however the topic is drained.
     """
     obs = Observation(f"published-{uuid.uuid4().hex[:8]}")
-    msgs = encode(events).observe(obs, F.count(F.lit(1)).alias("events"))
+    stamped = events.withColumn(PUBLISHED, F.lit(time.time_ns()).cast("bigint"))
+    msgs = encode(stamped).observe(obs, F.count(F.lit(1)).alias("events"))
     if fmt == "kafka":
         msgs.write.format("kafka").options(**(options or {})).option("topic", topic).save()
     else:
@@ -88,8 +97,9 @@ def export_gold_csv(gold_monthly: DataFrame, path: str) -> None:
 
 
 def read_gold_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The exported CSV read back; every value is text until P28 casts."""
-    return read_csv_as_strings(spark, path, all_string(EXPORT_COLUMNS))
+    """The exported CSV read back by its header; every value is text until
+    P28 casts."""
+    return read_csv_as_strings(spark, path).select(*EXPORT_COLUMNS)
 
 
 def consume(spark: SparkSession, topic: str, sink_path: str, checkpoint: str,
@@ -101,7 +111,7 @@ def consume(spark: SparkSession, topic: str, sink_path: str, checkpoint: str,
                   .option("startingOffsets", "earliest").load())
     else:
         source = reader.load(topic)
-    return (decode(source).writeStream
+    return (decode(source, schema=LOGGED_EVENT).writeStream
             .format("json")
             .outputMode("append")
             .option("path", sink_path)
@@ -110,23 +120,21 @@ def consume(spark: SparkSession, topic: str, sink_path: str, checkpoint: str,
             .start())
 
 
+def read_log(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The raw log: consumed events with their publish time, every copy (the
+    sink's committed files only)."""
+    return spark.read.schema(LOGGED_EVENT).json(sink_path)
+
+
 def read_consumed(spark: SparkSession, sink_path: str) -> DataFrame:
-    """The consumed JSON lines as typed events (the sink's committed files only)."""
-    return spark.read.schema(SALES_EVENT).json(sink_path)
+    """The consumed JSON lines as typed events."""
+    return read_log(spark, sink_path).drop(PUBLISHED)
 
 
-def latest_events(consumed: DataFrame) -> DataFrame:
+def latest_events(log: DataFrame) -> DataFrame:
     """Weekly runs re-send the same event ids with new totals; the raw log
-    keeps every copy. This view keeps one row per ``event_id``: the copy in
-    the newest sink file (every drain writes new files), then the largest
-    totals. The file time comes from ``_metadata`` when ``consumed`` is a
-    direct scan of the sink (``read_consumed``)."""
-    written = "__written_at"
-    try:
-        with_time = consumed.withColumn(written, F.col("_metadata.file_modification_time"))
-    except AnalysisException:
-        with_time = consumed.withColumn(written, F.lit(None).cast("timestamp"))
-    latest = keep_latest(with_time, ["event_id"], [written], tie_break=[
+    (``read_log``) keeps every copy. This view keeps one row per ``event_id``:
+    the copy published last, then the largest totals."""
+    return keep_latest(log, ["event_id"], [PUBLISHED], tie_break=[
         "order_count", "total_quantity", "total_revenue", "event_type", "sales_month",
-        "category"])
-    return latest.drop(written)
+        "category"]).drop(PUBLISHED)

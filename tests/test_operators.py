@@ -134,3 +134,22 @@ def test_rank_within_groups_with_aqe_merged_buckets(spark, advisory):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_rank_without_exchange_reuse(spark):
+    from pyspark.sql import Window
+
+    df = spark.range(20_000).selectExpr("id % 3 AS g", "(id * 7919) % 9001 AS v")
+    want = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())))
+    conf = {"spark.sql.exchange.reuse": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.execution.rangeExchange.sampleSizePerPartition": "5"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = rank_within_groups(df, ["g"], "v", "r", buckets=40)
+        assert diff_counts(want, got.select(*want.columns)).first() == (0, 0)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
