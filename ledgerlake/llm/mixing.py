@@ -19,7 +19,8 @@ Defined results: null or empty text has no tokens and the prior as posterior;
 its rate is that of the prior. Labels that name several domains for an id
 count once for each; null ids and domains are left out. Documents that repeat
 an id are rated row by row. Without labels all documents form one domain. A
-domain without a target weight gets weight 0. An empty table gives an empty
+domain without a target weight gets weight 0; one without a labelled document
+here is left out. An empty table gives an empty
 result. Further columns are kept by ``apply_rates`` and ignored elsewhere.
 """
 
@@ -113,6 +114,9 @@ def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     named = (labels.filter(labels[id_col].isNotNull() & labels[domain_col].isNotNull())
              .select(labels[id_col].alias("l_id"), labels[domain_col].cast("string").alias("d"))
              .distinct())
+    # only what is labelled and among these documents counts
+    ids = docs.select(docs[id_col].alias("have")).distinct()
+    named = stash(named.join(ids, F.col("l_id") == F.col("have"), "left_semi"), "mix-named")
     share = {r["d"]: r["count"] for r in named.groupBy("d").count().collect()}
     domains = sorted(share) or ["all"]
     prior = np.array([share.get(d, 1) for d in domains], float)
