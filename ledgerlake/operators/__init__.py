@@ -1,12 +1,11 @@
-from ledgerlake.operators.diff import diff_counts, net_row_counts
+from ledgerlake.operators.diff import compare_counts, diff_counts, net_row_counts
 from ledgerlake.operators.latest import keep_latest
 from ledgerlake.operators.measures import MEASURES, group_measures
 from ledgerlake.operators.rank import rank_within_groups
 from ledgerlake.operators.running import running_total
-from ledgerlake.operators.skew import hot_keys, salted_join
 from ledgerlake.operators.topk import top_n_per_group, with_rank
 
 __all__ = [
-    "diff_counts", "net_row_counts", "keep_latest", "MEASURES", "group_measures",
-    "rank_within_groups", "running_total", "hot_keys", "salted_join", "top_n_per_group", "with_rank",
+    "compare_counts", "diff_counts", "net_row_counts", "keep_latest", "MEASURES", "group_measures",
+    "rank_within_groups", "running_total", "top_n_per_group", "with_rank",
 ]

@@ -34,3 +34,20 @@ def diff_counts(left: DataFrame, right: DataFrame, left_name: str = "left",
         F.coalesce(F.sum(F.when(F.col("net") < 0, -F.col("net"))), F.lit(0))
          .cast("bigint").alias(f"only_in_{right_name}"),
     )
+
+
+def compare_counts(left: DataFrame, right: DataFrame, left_name: str = "left",
+                   right_name: str = "right") -> DataFrame:
+    """One row: the rows of each side, those that match, and those on one
+    side only, all with multiplicity, from one shuffle."""
+    cols = left.columns
+    both = (left.select(*cols, F.lit(1).alias(_TAG))
+            .unionByName(right.select(*cols, F.lit(-1).alias(_TAG))))
+    sides = both.groupBy(*cols).agg(F.count_if(F.col(_TAG) == 1).alias("__l"),
+                                    F.count_if(F.col(_TAG) == -1).alias("__r"))
+    n, m = F.col("__l"), F.col("__r")
+    counts = {f"{left_name}_rows": n, f"{right_name}_rows": m, "matching_rows": F.least(n, m),
+              f"only_in_{left_name}": F.greatest(n - m, F.lit(0)),
+              f"only_in_{right_name}": F.greatest(m - n, F.lit(0))}
+    return sides.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(name)
+                       for name, c in counts.items()])

@@ -381,11 +381,29 @@ def oracle_queries() -> dict[str, str]:
         SELECT * FROM (SELECT *, CAST(DENSE_RANK() OVER (PARTITION BY state
             ORDER BY lifetime_revenue DESC) AS INTEGER) AS customer_rank FROM customer_value)
         WHERE customer_rank <= 3"""
+    # the SQL side from its own statement: sums in cents, averages from sums and counts
     q["sql_vs_api_diff"] = _with(MONTHLY) + """
-        SELECT CAST((SELECT COUNT(*) FROM (SELECT * FROM monthly EXCEPT ALL SELECT * FROM monthly))
-                    AS BIGINT) AS only_in_api,
-               CAST((SELECT COUNT(*) FROM (SELECT * FROM monthly EXCEPT ALL SELECT * FROM monthly))
-                    AS BIGINT) AS only_in_sql"""
+        , cents AS (
+            SELECT order_month, category, order_id, quantity,
+                CAST(net_sales * 100 AS BIGINT) AS c FROM enriched),
+        stated AS (
+            SELECT order_month, category, COUNT(order_id) AS order_count,
+                CAST(SUM(quantity) AS BIGINT) AS total_quantity,
+                CAST(SUM(c) AS HUGEINT) AS revenue, MIN(c) AS low, MAX(c) AS high
+            FROM cents GROUP BY order_month, category),
+        agreed AS (
+            SELECT COUNT(*) AS n FROM monthly m JOIN stated s
+                ON m.order_month IS NOT DISTINCT FROM s.order_month
+                AND m.category IS NOT DISTINCT FROM s.category
+            WHERE m.order_count = s.order_count
+                AND m.total_quantity IS NOT DISTINCT FROM s.total_quantity
+                AND CAST(m.total_revenue * 100 AS HUGEINT) IS NOT DISTINCT FROM s.revenue
+                AND CAST(m.min_order_value * 100 AS BIGINT) IS NOT DISTINCT FROM s.low
+                AND CAST(m.max_order_value * 100 AS BIGINT) IS NOT DISTINCT FROM s.high)
+        SELECT (SELECT COUNT(*) FROM monthly) AS api_rows, (SELECT COUNT(*) FROM stated) AS sql_rows,
+            n AS matching_rows, (SELECT COUNT(*) FROM monthly) - n AS only_in_api,
+            (SELECT COUNT(*) FROM stated) - n AS only_in_sql
+        FROM agreed"""
     q["definition_gap"] = _with(MONTHLY, COMPLETED, SQL_MONTHLY) + """
         SELECT COALESCE(a.order_month, s.order_month) AS order_month,
             COALESCE(a.category, s.category) AS category,

@@ -9,7 +9,7 @@ Silver is written once and everything downstream reads the stored tables:
 * both inputs of the enriched joins are fresh scans, so each join gets its
   own shuffles and AQE can split a skewed key (a hot customer or product)
   on either join; with in-memory frames the dedup's partitioning would be
-  reused and block that split (see ``operators.skew``).
+  reused and block that split.
 
 Tables are written unsorted (a table has no row order) straight from the
 tasks that compute them. Partitioning the enriched fact by ``order_month``
@@ -95,7 +95,7 @@ class StoredSilver:
 
     def join_enriched(self) -> DataFrame:
         """D8 from the three stored tables (fresh scans on both join sides)."""
-        return enrich(self.financial_orders, self.products, self.customers, skew_safe=False)
+        return enrich(self.financial_orders, self.products, self.customers)
 
     @property
     def enriched(self) -> DataFrame:

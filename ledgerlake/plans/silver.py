@@ -19,8 +19,7 @@ Rules (same as the reference pipeline):
 Extra input columns (e.g. bronze lineage) pass through the cleaning steps.
 Joins carry no hints: AQE broadcasts a dimension only when its runtime size
 is under the threshold. Over stored silver tables (``plans.medallion``) both
-join inputs are fresh shuffles and AQE splits a skewed key; over in-memory
-frames the customer join is salted instead (see ``enrich``).
+join inputs are fresh shuffles and AQE splits a skewed key.
 """
 
 from __future__ import annotations
@@ -33,7 +32,6 @@ from ledgerlake.functions.cleaning import (blank_to_default, cast_col, safe_deci
 from ledgerlake.functions.money import (discount_amount, gross_amount, net_amount,
                                         unit_profit)
 from ledgerlake.operators.latest import keep_latest
-from ledgerlake.operators.skew import salted_join
 from ledgerlake.schemas import (ACTIVE_FLAG, CUSTOMER_COLUMNS, MONTH_PATTERN,
                                 NON_FINANCIAL_STATUSES)
 
@@ -132,22 +130,15 @@ def financial_orders(silver_orders: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- enriched
-def enrich(orders_fin: DataFrame, products: DataFrame, customers: DataFrame,
-           skew_safe: bool = True) -> DataFrame:
+def enrich(orders_fin: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """silver_sales_enriched.
 
     Inner joins on customer_id and product_id (join order does not change an
-    inner join's result). The customer side is the output of the dedup
-    aggregate, already partitioned on customer_id, so AQE could not split a
-    hot customer there: that join is salted (``skew_safe``). The product
-    join follows on two fresh shuffles, where AQE's skew split applies.
+    inner join's result). Over the stored tables both sides of each join are
+    fresh shuffles, where AQE splits a hot customer or product.
     """
     o, p, c = orders_fin.alias("o"), products.alias("p"), customers.alias("c")
-    if skew_safe:
-        oc = salted_join(o, c, "customer_id", "inner")
-    else:
-        oc = o.join(c, on="customer_id", how="inner")
-    j = oc.join(p, on="product_id", how="inner")
+    j = o.join(c, on="customer_id", how="inner").join(p, on="product_id", how="inner")
     gross = gross_amount(F.col("o.quantity"), F.col("p.unit_price"))
     disc = discount_amount(gross, F.col("o.discount_pct"))
     net = net_amount(gross, disc)
@@ -170,38 +161,3 @@ def enrich(orders_fin: DataFrame, products: DataFrame, customers: DataFrame,
         F.col("o.order_status"), F.col("o.payment_method"), F.col("o.sales_channel"),
         F.col("o.warehouse_id"),
     )
-
-
-class Silver:
-    """The silver layer as lazy in-memory frames over three bronze (or raw)
-    frames. The layered job stores these tables instead
-    (``plans.medallion.build_silver``) so every consumer reads them once;
-    here each consumer recomputes its lineage, and the enriched join salts
-    hot customers because the dedup's partitioning is reused."""
-
-    def __init__(self, customers_bronze: DataFrame, products_bronze: DataFrame,
-                 orders_bronze: DataFrame, on_bad: str = "fail"):
-        self.customers_bronze = customers_bronze
-        self.products_bronze = products_bronze
-        self.orders_bronze = orders_bronze
-        self.on_bad = on_bad
-
-    @property
-    def customers(self) -> DataFrame:
-        return clean_customers(self.customers_bronze, self.on_bad)
-
-    @property
-    def products(self) -> DataFrame:
-        return clean_products(self.products_bronze, self.on_bad)
-
-    @property
-    def orders(self) -> DataFrame:
-        return clean_orders(self.orders_bronze, self.on_bad)
-
-    @property
-    def financial_orders(self) -> DataFrame:
-        return financial_orders(self.orders)
-
-    @property
-    def enriched(self) -> DataFrame:
-        return enrich(self.financial_orders, self.products, self.customers)

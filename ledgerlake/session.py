@@ -50,26 +50,13 @@ def get_session(master: str | None = None, app_name: str = "ledgerlake",
 
 
 def app_id(spark: SparkSession) -> str:
-    """The application id (also on sessions without a SparkContext handle)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return spark.conf.get("spark.app.id", "app")
+    return spark.sparkContext.applicationId
 
 
-def _context_checkpoint_dir(spark: SparkSession) -> str | None:
-    try:
-        return spark.sparkContext.getCheckpointDir()
-    except Exception:
-        return None
-
-
-def _is_local(spark: SparkSession) -> bool:
-    try:
-        master = spark.sparkContext.master
-    except Exception:
-        master = spark.conf.get("spark.master", "")
-    return master.startswith("local")
+def _in_one_process(spark: SparkSession) -> bool:
+    """Driver and executors are one process (``local-cluster`` has its own executors)."""
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -79,17 +66,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     neither is set (local tests) a folder under the system temp dir is
     created and registered, so later calls and ``DataFrame.checkpoint`` agree.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not _is_local(spark):
+        if not _in_one_process(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if _context_checkpoint_dir(spark) is None:
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # no SparkContext handle: the conf entry is enough here
-            pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

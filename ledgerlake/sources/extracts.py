@@ -38,25 +38,6 @@ TABLE_SCHEMAS = {
 }
 
 
-def spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Spread a scan that would keep fewer than half of the cluster's cores
-    busy (e.g. one file with one row group) so the per-row parsing downstream
-    runs on every core. A no-op for a large table, whose scan already has
-    more splits than there are cores; the check only plans the scan (file
-    listing) and runs no job.
-
-    Rows are hash-partitioned on the table's key columns: deterministic (a
-    retried task re-sends the same rows to the same places) without the
-    local sort a round-robin repartition needs for that, and the scan still
-    reads only the columns a query uses plus the keys."""
-    try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Connect session): leave the scan as is
-        return df
-    return df if 2 * splits > parallelism else df.repartition(parallelism, *keys)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in TABLE_SCHEMAS:
@@ -146,13 +127,11 @@ def customers_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     version 1: k % 5 == 0, one day later (NULL time when k % 15 == 0).
     version 2: k % 7 == 0, unpadded id, same time as version 0 (a tie).
     """
-    customer = spread(read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), ["c_custkey"])
-    geo = F.broadcast(
-        read_table(spark, sf_dir, "nation").join(
-            read_table(spark, sf_dir, "region"),
-            F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", "n_name", "r_name"))
+    customer = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    geo = (read_table(spark, sf_dir, "nation")
+           .join(read_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+           .select("n_nationkey", "n_name", "r_name"))
     base = (customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
             .selectExpr("*", CUSTOMER_VERSIONS)
             .filter("v IS NOT NULL"))
@@ -161,14 +140,14 @@ def customers_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """products_*.csv: one row per part, prices as text with bad values."""
-    part = spread(read_table(spark, sf_dir, "part"), ["p_partkey"])
+    part = read_table(spark, sf_dir, "part")
     return _project(part, PRODUCT_EXPRS).select(*PRODUCT_COLUMNS)
 
 
 def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sales_orders_*.csv: one row per line item, joined to its order."""
-    lineitem = spread(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
-    orders = spread(read_table(spark, sf_dir, "orders"), ["o_orderkey"])
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    orders = read_table(spark, sf_dir, "orders")
     j = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return _project(j, ORDER_EXPRS).select(*ORDER_COLUMNS)
 

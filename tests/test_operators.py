@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import (diff_counts, keep_latest, net_row_counts, rank_within_groups,
+from ledgerlake.operators import (compare_counts, diff_counts, keep_latest, net_row_counts, rank_within_groups,
                                   running_total, top_n_per_group)
 
 
@@ -73,6 +73,8 @@ def test_diff_counts_equals_except_all(spark):
     got = diff_counts(a, b, "a", "b").first()
     assert got == (a.exceptAll(b).count(), b.exceptAll(a).count()) == (2, 2)
     assert net_row_counts(a, a).count() == 0
+    assert compare_counts(a, b, "a", "b").first() == (4, 4, 2, 2, 2)
+    assert compare_counts(a.limit(0), a.limit(0)).first() == (0, 0, 0, 0, 0)
 
 
 def test_running_total_last_value_is_group_total(spark):

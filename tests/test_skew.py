@@ -1,11 +1,10 @@
-"""A customer holding a third of all orders: both skew paths split it and
-return exactly the plain join's rows."""
+"""A customer holding a third of all orders: AQE splits it between stored
+tables and the rows are the plain join's."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from ledgerlake.operators import diff_counts, salted_join
 from ledgerlake.plans.medallion import write_layer
 from ledgerlake.plans.silver import clean_customers, clean_orders, financial_orders
 from ledgerlake.session import scratch_dir
@@ -21,21 +20,6 @@ def skewed(spark):
     return orders, customers
 
 
-def test_salted_join_equals_plain_join(spark, skewed):
-    orders, customers = skewed
-    plain = orders.join(customers, "customer_id")
-    salted = salted_join(orders, customers, "customer_id", min_rows=100)
-    assert salted.count() == plain.count() > 0
-    assert diff_counts(plain, salted.select(*plain.columns)).first() == (0, 0)
-    left = salted_join(orders, customers, "customer_id", how="left", min_rows=100)
-    assert left.count() == orders.count()
-    # the hot customer gets one salt per ~100 rows; slices stay near that size
-    from ledgerlake.operators import hot_keys
-    hot = {r["customer_id"]: r["__salts"] for r in hot_keys(orders, "customer_id", 100).collect()}
-    n_hot = orders.filter("customer_id = '1'").count()
-    assert hot["1"] == -(-n_hot // 100)
-
-
 def test_stored_inputs_let_aqe_split_the_hot_key(spark, skewed):
     orders, customers = skewed
     root = scratch_dir(spark, "skew-test")
@@ -70,21 +54,3 @@ def test_stored_inputs_let_aqe_split_the_hot_key(spark, skewed):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-
-
-def test_in_memory_enrich_with_salting_equals_stored_fact(spark):
-    from ledgerlake import registry as R
-    from ledgerlake.plans.silver import Silver
-    from ledgerlake.sources.extracts import raw_extracts
-
-    ex = raw_extracts(spark, SF_SMALL)
-    spark.conf.set("ledgerlake.skew.hotKeyRows", "3")  # most customers count as hot here
-    spark.conf.set("ledgerlake.skew.maxSalts", "4")
-    try:
-        in_memory = Silver(ex["customers"], ex["products"], ex["sales_orders"]).enriched
-        stored = R.silver(spark, SF_SMALL).enriched
-        assert in_memory.count() == stored.count() > 0
-        assert diff_counts(stored, in_memory.select(*stored.columns)).first() == (0, 0)
-    finally:
-        spark.conf.unset("ledgerlake.skew.hotKeyRows")
-        spark.conf.unset("ledgerlake.skew.maxSalts")
