@@ -31,7 +31,7 @@ from ledgerlake.plans.bronze import EXTRACT_FILES, land_extracts, read_bronze
 from ledgerlake.plans.medallion import build_gold, build_silver, run_concurrently, write_layer
 from ledgerlake.plans.quality import duplicate_keys, parse_rejects, stage_counts
 from ledgerlake.plans.silver import type_customers, type_orders, type_products
-from ledgerlake.session import cluster_conf, get_session, scratch_dir
+from ledgerlake.session import cluster_conf, get_session, scratch_dir, stored_bytes
 from ledgerlake.sources.extracts import raw_extracts
 from ledgerlake.sources.landing import create_namespace
 from ledgerlake.streaming import events as ev
@@ -107,13 +107,14 @@ def main(argv: list[str] | None = None) -> None:
                     help="landing file names, e.g. customers=customers_500.csv,products=...")
     ap.add_argument("--master", help="Spark master when no session is active")
     ap.add_argument("--input-bytes", type=int,
-                    help="size the shuffle/scan settings for this much input")
+                    help="size the settings for this much input (default: the bytes found)")
     a = ap.parse_args(argv)
     spark = get_session(a.master)
-    if a.input_bytes:
-        cores = spark.sparkContext.defaultParallelism
-        for key, value in cluster_conf(a.input_bytes, cores).items():
-            spark.conf.set(key, value)
+    if not (a.landing or a.sf_dir):
+        ap.error("give --landing or --sf-dir")
+    input_bytes = a.input_bytes or stored_bytes(spark, a.landing or a.sf_dir)
+    for key, value in cluster_conf(input_bytes, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
     files = dict(kv.split("=", 1) for kv in a.files.split(",") if kv)
     out = run_weekly(spark, a.sf_dir, a.landing, a.root, a.namespace, a.format, files)
     print(json.dumps(out))

@@ -466,6 +466,10 @@ def oracle_queries() -> dict[str, str]:
     q["parse_rejects"] = _with() + " " + " UNION ALL ".join(rejects)
     q["status_distribution"] = _with() + """
         SELECT order_status, COUNT(*) AS count FROM typed_orders GROUP BY order_status"""
+    q["bronze_customers"] = _with() + """
+        SELECT *, 'customers.csv' AS source_file FROM raw_customers"""
+    q["bronze_products"] = _with() + """
+        SELECT *, 'products.csv' AS source_file FROM raw_products"""
     q["bronze_roundtrip"] = _with() + """
         SELECT *, 'sales_orders.csv' AS source_file FROM raw_orders"""
     q["sales_events"] = _with(MONTHLY, EVENTS) + " SELECT * FROM sales_events"

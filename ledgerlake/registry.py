@@ -24,7 +24,8 @@ from ledgerlake.plans.bronze import land_extracts, read_bronze
 from ledgerlake.plans.medallion import StoredSilver, build_silver, write_layer
 from ledgerlake.plans.silver import type_customers, type_orders, type_products
 from ledgerlake.session import app_id, run_dir, scratch_dir
-from ledgerlake.sources.extracts import customers_extract, orders_extract, raw_extracts
+from ledgerlake.sources.extracts import (customers_extract, orders_extract, products_extract,
+                                        raw_extracts)
 from ledgerlake.sources.landing import source_manifest
 from ledgerlake.streaming import events as ev
 
@@ -192,21 +193,35 @@ def q_status_distribution(spark, sf_dir):
     return quality.status_distribution(type_orders(orders_extract(spark, sf_dir)))
 
 
-def _landing(spark, sf_dir) -> str:
-    """Sales orders landed as CSV in this application's landing folder
+def _landing(spark, sf_dir, name="sales_orders") -> str:
+    """An extract landed as CSV in this application's landing folder
     (overwritten on every call)."""
-    landing = run_dir(spark, "landing", os.path.abspath(sf_dir))
-    return land_extracts(spark, {"sales_orders": orders_extract(spark, sf_dir)}, landing)
+    build = {"customers": customers_extract, "products": products_extract,
+             "sales_orders": orders_extract}[name]
+    landing = run_dir(spark, f"landing-{name}", os.path.abspath(sf_dir))
+    return land_extracts(spark, {name: build(spark, sf_dir)}, landing)
+
+
+def _bronze(spark, sf_dir, name):
+    """An extract landed as CSV, read back all-string and tagged, stored
+    as the bronze table and read back (without the load time, which differs
+    per run)."""
+    bronze = read_bronze(spark, _landing(spark, sf_dir, name), name)
+    table = f"{run_dir(spark, 'bronze', os.path.abspath(sf_dir))}/bronze_{name}"
+    write_layer(bronze, table)
+    return spark.read.schema(bronze.schema).parquet(table).drop("ingestion_timestamp")
+
+
+def q_bronze_customers(spark, sf_dir):
+    return _bronze(spark, sf_dir, "customers")
+
+
+def q_bronze_products(spark, sf_dir):
+    return _bronze(spark, sf_dir, "products")
 
 
 def q_bronze_roundtrip(spark, sf_dir):
-    """Sales orders landed as CSV, read back all-string and tagged, stored as
-    the bronze table and read back (without the load time, which differs per
-    run)."""
-    bronze = read_bronze(spark, _landing(spark, sf_dir), "sales_orders")
-    table = f"{run_dir(spark, 'bronze', os.path.abspath(sf_dir))}/bronze_sales_orders"
-    write_layer(bronze, table)
-    return spark.read.schema(bronze.schema).parquet(table).drop("ingestion_timestamp")
+    return _bronze(spark, sf_dir, "sales_orders")
 
 
 def q_source_manifest(spark, sf_dir):
@@ -276,6 +291,8 @@ QUERIES: dict[str, Query] = {
     "status_distribution": q_status_distribution,
     "duplicate_keys": q_duplicate_keys,
     "parse_rejects": q_parse_rejects,
+    "bronze_customers": q_bronze_customers,
+    "bronze_products": q_bronze_products,
     "bronze_roundtrip": q_bronze_roundtrip,
     "source_manifest": q_source_manifest,
     "sales_events": q_sales_events,

@@ -11,11 +11,13 @@ session has none, as in tests.
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Settings the pipeline relies on, used when ``get_session`` builds a session.
 DEFAULT_CONF = {
@@ -97,19 +99,25 @@ def run_dir(spark: SparkSession, name: str, *keys: str) -> str:
     return _ensure_local(f"{root}/ledgerlake/{name}-{app_id(spark)}-{tag}")
 
 
-def cluster_conf(input_bytes: int, total_cores: int,
-                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under ``path``, from the file listing (no content is read)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path))
+    return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 ** 2,
+                 block_bytes: int = 64 * 1024) -> dict[str, str]:
     """Settings sized for an input of ``input_bytes`` on ``total_cores``.
 
-    AQE can merge small shuffle partitions but not split ordinary ones, so
-    the initial shuffle partition count is sized for the data (about one
-    ``target_partition_bytes`` partition per input slice, at least two per
-    core) and AQE coalesces what turns out smaller. Scan splits and
-    post-shuffle partitions use the same target, so a task's working set
-    stays well inside executor memory and sorts spill in large runs.
-    Example: 100 TB on 8,000 cores gives about 400,000 shuffle partitions.
+    A shuffle of all rows between as many map as reduce tasks makes
+    (input / target)^2 blocks of target^2 / input bytes, so the target grows
+    with the root of the input once blocks would fall under ``block_bytes``.
+    Scan splits and shuffle partitions share it; sorts spill in large runs
+    and AQE merges what turns out smaller. Example: 100 TB on 8,000 cores
+    gives 2.7 GB a partition, about 41,000 partitions.
     """
-    target = max(16 * 1024 ** 2, int(target_partition_bytes))
+    target = max(16 * 1024 ** 2, int(target_partition_bytes),
+                 math.isqrt(int(input_bytes) * block_bytes))
     partitions = max(2 * total_cores, -(-int(input_bytes) // target))
     return {
         "spark.sql.shuffle.partitions": str(partitions),

@@ -103,12 +103,20 @@ def test_rank_within_groups_property(spark, rows, buckets, method):
     assert diff_counts(expected, got.select(*expected.columns)).first() == (0, 0)
 
 
-def test_cluster_conf_sizes_partitions_to_data():
-    from ledgerlake.session import cluster_conf
-    conf = cluster_conf(100 * 1024 ** 4, 8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
-    assert int(cluster_conf(10 * 1024 ** 2, 64)["spark.sql.shuffle.partitions"]) == 128
-    assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+def test_cluster_conf_sizes_partitions_to_data(spark):
+    from conftest import SF_SMALL
+    from ledgerlake.session import cluster_conf, stored_bytes
+
+    def partitions(n, cores):
+        return int(cluster_conf(n, cores)["spark.sql.shuffle.partitions"])
+
+    for tb in (1, 10, 100, 1000):
+        n = tb * 1024 ** 4
+        reducers, split = partitions(n, 64), int(cluster_conf(n, 64)["spark.sql.files.maxPartitionBytes"])
+        assert n / (reducers * (n / split)) > 60 * 1024  # bytes a shuffle block
+    assert partitions(100 * 1024 ** 4, 8000) == 40960
+    assert partitions(10 * 1024 ** 2, 64) == 128
+    assert stored_bytes(spark, SF_SMALL) > 100_000
 
 
 @pytest.mark.parametrize("advisory", ["2k", "8k"])
