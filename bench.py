@@ -27,7 +27,7 @@ sys.path.insert(0, ROOT)
 from ledgerlake.session import get_session  # noqa: E402
 
 HEADLINE = [
-    "sales_enriched",             # D8: two joins + 30 derived columns
+    "sales_enriched",             # D8: scan of the stored fact
     "monthly_category_sales",     # D9: flagship mart
     "top_products_by_category",   # D12: aggregate + top-5 with ties
     "running_revenue",            # D17: month totals + running window
