@@ -63,12 +63,19 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
     Alternating large-star / small-star contraction: each round is a grouped
     minimum (combined map-side, so a hub with a third of all edges is one row
     a task) and a join AQE may split. Rounds grow with the logarithm of the
-    longest path; each is written to the shared folder.
+    longest path; each is written to the shared folder. Edges point from the
+    larger to the smaller vertex, so they are done once they form stars: no
+    vertex has two edges out, or one out and one in.
     """
     e = (edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
          .filter("a != b").distinct())
-    e, last = stash(e, name), None
+    e = stash(e, name)
     for _ in range(max_rounds):
+        ends = e.select(F.col("a").alias("v"), F.lit(1).alias("o"), F.lit(0).alias("i")).unionAll(
+            e.select(F.col("b").alias("v"), F.lit(0).alias("o"), F.lit(1).alias("i")))
+        of = ends.groupBy("v").agg(F.sum("o").alias("o"), F.max("i").alias("i"))
+        if not of.agg(F.max(F.col("o") + F.when(F.col("o") > 0, F.col("i")).otherwise(0)) > 1).first()[0]:
+            break
         # large star: larger neighbours of each vertex go to its smallest neighbour
         both = e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -78,15 +85,8 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
         # small star: smaller neighbours and the vertex itself go to its smallest neighbour
         least = star.groupBy("a").agg(F.min("b").alias("m"))
         tied = star.join(least.withColumnRenamed("a", "u"), F.col("a") == F.col("u"))
-        nxt = stash(tied.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
-                    .unionAll(least.select("a", F.col("m").alias("b"))).distinct(), name)
-        # a star forest holds each vertex once and maps onto itself
-        now = nxt.agg(F.count(F.lit(1)), F.countDistinct("a"),
-                      F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        e = nxt
-        if now == last:
-            break
-        last = now
+        e = stash(tied.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
+                  .unionAll(least.select("a", F.col("m").alias("b"))).distinct(), name)
     else:
         raise RuntimeError("components did not settle")
     roots = e.select(F.col("b").alias("v")).distinct().select("v", F.col("v").alias("component"))
