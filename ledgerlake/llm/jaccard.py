@@ -8,8 +8,11 @@ similarity is at least ``percent`` / 100, decided in integers on the sets.
 2. Shingles are ordered by the load of the hash group they fall in, common
    groups last. Two linked sets share a shingle among the first
    ``n - ceil(percent * n / 100) + 1`` of either, so the postings of those
-   leading shingles form tiles that together hold every linked pair. Tiles
-   with the same members are one tile.
+   leading shingles form tiles that together hold every linked pair. In the
+   smaller set it is even among the first ``n - ceil(2 * percent * n /
+   (100 + percent)) + 1``, its inner ones: an overlap reaches that part of
+   twice the smaller size. Tiles without an inner shingle of a member are left
+   out, tiles with the same members are one tile.
 3. Members of a tile are first checked against its smallest member (one pair a
    member). Tiles that this puts into one component are done: a group of near
    copies costs its size, not its square.
@@ -126,7 +129,7 @@ def _postings(width, percent, level):
         seen: set = set()
         for b in batches:
             for _, sets in _sets(b.column(0), width):
-                hs, s1 = [], []
+                hs, s1, inner = [], [], []
                 for s in sets:
                     n = len(s)
                     d = _digest(s)
@@ -137,11 +140,13 @@ def _postings(width, percent, level):
                     lv = level[(s & np.uint64((1 << LOAD_BITS) - 1)).astype(np.int64)]
                     if lv.any():
                         s = s[np.argsort(lv, kind="stable")]
+                    short = n + 1 + -2 * percent * n // (100 + percent)
                     hs.append(s[:lead]), s1.append(np.full(lead, d[0]))
+                    inner.append(np.arange(lead) < short)
                 if hs:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(s1))],
-                        names=["h", "s1"])
+                        [pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(s1)),
+                         pa.array(np.concatenate(inner))], names=["h", "s1", "inner"])
                 if len(seen) > 1_000_000:
                     seen.clear()  # a set met again is a posting twice, no harm
     return run
@@ -286,8 +291,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     .agg(F.min("id").alias("rep"), F.min("point").alias("point")), "jaccard-classes")
 
     post = stash(base.select("t").mapInArrow(_postings(width, percent, level),
-                                             "h bigint, s1 bigint"), "jaccard-postings")
-    live = post.groupBy("h").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).filter("x < y")
+                                             "h bigint, s1 bigint, inner boolean"), "jaccard-postings")
+    live = post.groupBy("h").agg(F.min("s1").alias("x"), F.max("s1").alias("y"),
+                                 F.max("inner").alias("inner")).filter("x < y AND inner")
+    post = post.select("h", "s1")
     # classes that share half a digest all join the tile, which does no harm
     keys = classes.select(F.col("s1").alias("c1"), "rep")
     tiles = (post.join(live.select(F.col("h").alias("lh")), F.col("h") == F.col("lh"), "left_semi")
