@@ -1,6 +1,6 @@
 """The weekly job, end to end, as one Spark application.
 
-Stages run in the reference's order -- bronze, silver/gold, windows, export,
+Stages run in the reference's order -- bronze, silver/gold, windows, SQL, export,
 publish, consume -- but every hand-off is a stored table or folder under one
 run root in the shared checkpoint folder, and no stage collects data to the
 driver (only observed row counts come back):
@@ -10,9 +10,11 @@ driver (only observed row counts come back):
 3. silver: cleaned, deduplicated tables, stored (D4-D6);
 4. gold: enriched fact + marts from the stored fact (D8-D13, D17, D18);
 5. data quality from the stored bronze tables: validation summary (D23),
-   duplicate keys, parse rejects;
-6. export: gold extract to CSV (K4), re-read (S5), published (K5);
-7. consume: streaming drain of the topic into JSON lines (T2-T4).
+   duplicate keys, parse rejects, rows per order status (Q3);
+6. the SQL forms over views of the stored tables (D19-D22), the comparison of
+   the two forms (Q4) and the gap between their definitions;
+7. export: gold extract to CSV (K4), re-read (S5), published (K5);
+8. consume: streaming drain of the topic into JSON lines (T2-T4).
 
 Optionally every stored table is registered in a catalog namespace
 (``CREATE SCHEMA`` + external tables), so ``spark.table("ns.t")`` works.
@@ -25,11 +27,14 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.plans import sqlforms
 from ledgerlake.plans.bronze import EXTRACT_FILES, land_extracts, read_bronze
-from ledgerlake.plans.medallion import build_gold, build_silver, run_concurrently, write_layer
-from ledgerlake.plans.quality import duplicate_keys, parse_rejects, stage_counts
+from ledgerlake.plans.medallion import (StoredSilver, build_gold, build_silver, run_concurrently,
+                                       write_layer)
+from ledgerlake.plans.quality import (duplicate_keys, parse_rejects, stage_counts,
+                                     status_distribution)
 from ledgerlake.plans.silver import type_customers, type_orders, type_products
 from ledgerlake.session import cluster_conf, get_session, scratch_dir, stored_bytes
 from ledgerlake.sources.extracts import raw_extracts
@@ -46,6 +51,26 @@ def register_tables(spark: SparkSession, namespace: str, root: str, tables: list
         spark.sql(f"CREATE TABLE {namespace}.{t} USING {fmt} LOCATION '{root}/{t}'")
 
 
+def sql_tables(spark: SparkSession, silver: StoredSilver, root: str, fmt: str) -> dict[str, DataFrame]:
+    """Stage 6: each result of the SQL forms, over temporary views (K3)."""
+    value, stats = (spark.read.format(fmt).load(f"{root}/{t}")
+                    for t in ("gold_customer_value", "agg_category_month_stats"))
+    sqlforms.register({"silver_orders": silver.orders, "silver_customers": silver.customers,
+                       "silver_products": silver.products, "gold_customer_value": value,
+                       "silver_sales_enriched": silver.enriched})
+    completed = sqlforms.completed_orders_joined(spark)
+    sqlforms.register({"completed_orders_joined": completed})
+    monthly = sqlforms.monthly_summary(spark)
+    return {
+        "sql_completed_orders": completed,
+        "sql_monthly_summary": monthly,
+        "sql_product_rank": sqlforms.product_rank(spark),
+        "sql_top_customers": sqlforms.top_customers(spark),
+        "sql_vs_api_diff": sqlforms.sql_vs_api_diff(stats, sqlforms.category_month_stats_sql(spark)),
+        "definition_gap": sqlforms.definition_gap(stats, monthly),
+    }
+
+
 def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | None = None,
                root: str | None = None, namespace: str | None = None,
                fmt: str = "parquet", files: dict[str, str] | None = None) -> dict:
@@ -58,12 +83,13 @@ def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | No
         landing = land_extracts(spark, raw_extracts(spark, sf_dir), f"{root}/landing")
     counts: dict[str, int] = {}
 
-    bronze = {}
-    for name in EXTRACT_FILES:
-        table = f"bronze_{name}"
+    def store_bronze(name: str) -> int:
         frame = read_bronze(spark, landing, name, file_name=(files or {}).get(name))
-        counts[table] = int(write_layer(frame, f"{root}/{table}", fmt).get["rows"])
-        bronze[name] = spark.read.format(fmt).load(f"{root}/{table}")
+        return int(write_layer(frame, f"{root}/bronze_{name}", fmt).get["rows"])
+
+    counts.update({f"bronze_{name}": n for name, n in run_concurrently({
+        name: (lambda name=name: store_bronze(name)) for name in EXTRACT_FILES}).items()})
+    bronze = {name: spark.read.format(fmt).load(f"{root}/bronze_{name}") for name in EXTRACT_FILES}
 
     silver = build_silver(spark, bronze, root, fmt)
     counts.update(silver.counts)
@@ -71,15 +97,17 @@ def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | No
 
     typed = (type_customers(bronze["customers"]), type_products(bronze["products"]),
              type_orders(bronze["sales_orders"]))
-    quality_tables = {
+    derived = {
         "validation_summary": stage_counts(*typed),
         "duplicate_keys": duplicate_keys(*typed),
         "parse_rejects": parse_rejects(bronze),
+        "status_distribution": status_distribution(typed[2]),
+        **sql_tables(spark, silver, root, fmt),
     }
     counts.update(run_concurrently({
         name: (lambda df=df, name=name:
                int(write_layer(df, f"{root}/{name}", fmt).get["rows"]))
-        for name, df in quality_tables.items()}))
+        for name, df in derived.items()}))
 
     monthly = spark.read.format(fmt).load(f"{root}/gold_monthly_category_sales")
     export = f"{root}/export/monthly_category_sales.csv"

@@ -472,6 +472,10 @@ def oracle_queries() -> dict[str, str]:
         SELECT *, 'products.csv' AS source_file FROM raw_products"""
     q["bronze_roundtrip"] = _with() + """
         SELECT *, 'sales_orders.csv' AS source_file FROM raw_orders"""
+    q["landed_rows"] = _with() + """
+        SELECT 'customers' AS dataset, COUNT(*) AS landed_rows FROM raw_customers
+        UNION ALL SELECT 'products', COUNT(*) FROM raw_products
+        UNION ALL SELECT 'sales_orders', COUNT(*) FROM raw_orders"""
     q["sales_events"] = _with(MONTHLY, EVENTS) + " SELECT * FROM sales_events"
     q["sales_events_stream"] = q["sales_events"]
     q["consumed_latest_events"] = q["sales_events"]

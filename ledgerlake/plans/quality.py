@@ -3,17 +3,19 @@
 The reference prints ``count()`` after every step (one job each) and builds
 the summary from driver-side numbers. Here each dataset's counts come from
 one aggregate over its data, the three rows are unioned, and nothing is
-collected. ``observed_counts`` attaches the same counts to a write through
-an ``Observation`` so logging costs no extra job.
+collected. Row counts of stored tables ride on their writes
+(``medallion.write_layer``), so logging costs no extra job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.cleaning import cast_col, to_date_col, to_timestamp_col
-from ledgerlake.schemas import ACTIVE_FLAG, CUSTOMER_COLUMNS, NON_FINANCIAL_STATUSES
+from ledgerlake.plans.silver import (CUSTOMER_VERSION_ORDER, has_quantity, has_valid_price,
+                                     is_financial)
+from ledgerlake.schemas import ACTIVE_FLAG
 
 STAGE_COLUMNS = ["dataset", "bronze_rows", "after_dedup_or_validity_filter", "silver_rows"]
 
@@ -25,12 +27,11 @@ def _row(dataset: str, agg: DataFrame) -> DataFrame:
 
 def customer_stage_counts(typed_customers: DataFrame) -> DataFrame:
     """bronze rows, rows after the latest-version dedup, active rows kept."""
-    tie = [c for c in CUSTOMER_COLUMNS if c not in ("customer_id", "updated_at")]
     # The same latest-version pick as silver (max of the ordered struct), with
     # the version count riding along so the raw total needs no second scan.
     per_key = typed_customers.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("__n"),
-        F.max(F.struct(F.col("updated_at"), *[F.col(c) for c in tie])).alias("__latest"))
+        F.max(F.struct(*CUSTOMER_VERSION_ORDER)).alias("__latest"))
     agg = per_key.agg(
         F.sum("__n").alias("bronze_rows"),
         F.count(F.lit(1)).alias("after_dedup_or_validity_filter"),
@@ -39,8 +40,7 @@ def customer_stage_counts(typed_customers: DataFrame) -> DataFrame:
 
 
 def product_stage_counts(typed_products: DataFrame) -> DataFrame:
-    up, cp = F.col("unit_price"), F.col("cost_price")
-    valid = up.isNotNull() & (up > 0) & cp.isNotNull() & (cp > 0)
+    valid = has_valid_price()
     agg = typed_products.agg(
         F.count(F.lit(1)).alias("bronze_rows"),
         F.count_if(valid).alias("after_dedup_or_validity_filter"),
@@ -51,8 +51,8 @@ def product_stage_counts(typed_products: DataFrame) -> DataFrame:
 def order_stage_counts(typed_orders: DataFrame) -> DataFrame:
     """``silver_rows`` counts the financial subset (as the reference's summary
     does), although the stored silver_orders table keeps every status."""
-    qty_ok = F.col("quantity") > 0
-    fin = qty_ok & ~F.col("order_status").isin(*NON_FINANCIAL_STATUSES)
+    qty_ok = has_quantity()
+    fin = qty_ok & is_financial()
     agg = typed_orders.agg(
         F.count(F.lit(1)).alias("bronze_rows"),
         F.count_if(qty_ok).alias("after_dedup_or_validity_filter"),
@@ -151,9 +151,3 @@ def rejected_rows(bronze: DataFrame, dataset: str) -> DataFrame:
 def status_distribution(typed_orders: DataFrame) -> DataFrame:
     """Q3: rows per order_status before the quantity filter."""
     return typed_orders.groupBy("order_status").count()
-
-
-def observed_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Q2/Q5: a row count collected as a side effect of the next action on ``df``."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

@@ -59,14 +59,17 @@ def type_customers(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     })
 
 
-def dedup_customers(typed: DataFrame) -> DataFrame:
-    """Latest version per customer_id (updated_at desc, NULLs last).
+# Columns that order the versions of a customer, latest first: updated_at
+# (NULLs last), ties by the typed columns in extract order, so the pick is
+# reproducible.
+CUSTOMER_VERSION_ORDER = ["updated_at", *[c for c in CUSTOMER_COLUMNS
+                                          if c not in ("customer_id", "updated_at")]]
 
-    Ties on ``updated_at`` are broken by the typed columns, descending, in
-    extract order, so the pick is reproducible.
-    """
-    tie = [c for c in CUSTOMER_COLUMNS if c not in ("customer_id", "updated_at")]
-    return keep_latest(typed, ["customer_id"], ["updated_at"], tie_break=tie)
+
+def dedup_customers(typed: DataFrame) -> DataFrame:
+    """Latest version per customer_id."""
+    return keep_latest(typed, ["customer_id"], CUSTOMER_VERSION_ORDER[:1],
+                       tie_break=CUSTOMER_VERSION_ORDER[1:])
 
 
 def clean_customers(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
@@ -92,10 +95,14 @@ def type_products(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     })
 
 
-def valid_price(typed: DataFrame) -> DataFrame:
-    """both prices present and positive."""
+def has_valid_price():
+    """F2 as a column: both prices present and positive."""
     up, cp = F.col("unit_price"), F.col("cost_price")
-    return typed.filter(up.isNotNull() & (up > 0) & cp.isNotNull() & (cp > 0))
+    return up.isNotNull() & (up > 0) & cp.isNotNull() & (cp > 0)
+
+
+def valid_price(typed: DataFrame) -> DataFrame:
+    return typed.filter(has_valid_price())
 
 
 def clean_products(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
@@ -119,14 +126,23 @@ def type_orders(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     })
 
 
+def has_quantity():
+    return F.col("quantity") > 0
+
+
+def is_financial():
+    """Neither PENDING nor CANCELLED (NULL status: NULL, so filters drop it)."""
+    return ~F.col("order_status").isin(*NON_FINANCIAL_STATUSES)
+
+
 def clean_orders(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     """silver_orders (quantity > 0, every status)."""
-    return type_orders(bronze, on_bad).filter(F.col("quantity") > 0)
+    return type_orders(bronze, on_bad).filter(has_quantity())
 
 
 def financial_orders(silver_orders: DataFrame) -> DataFrame:
     """Drop PENDING and CANCELLED (and NULL status)."""
-    return silver_orders.filter(~F.col("order_status").isin(*NON_FINANCIAL_STATUSES))
+    return silver_orders.filter(is_financial())
 
 
 # ----------------------------------------------------------------- enriched

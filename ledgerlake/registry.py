@@ -4,9 +4,10 @@ Each callable reads the provided tables under ``sf_dir`` and builds its
 result over the whole tables; the checker compares each against the DuckDB
 SQL in ``ledgerlake.oracle`` (same key).
 
-Silver is built once per session and input folder and stored under the
-shared checkpoint folder (``plans.medallion``); results downstream of
-silver read the stored tables, as the layered job does.
+The extracts are landed as CSV, read back as bronze, and silver is built from
+that and stored under the shared checkpoint folder (``plans.medallion``), once
+per session and state of the input folder's files; results downstream of silver
+read the stored tables, as the layered job does.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import gold, quality, sqlforms
-from ledgerlake.plans.bronze import land_extracts, read_bronze
+from ledgerlake.plans.bronze import EXTRACT_FILES, land_extracts, read_bronze
 from ledgerlake.plans.medallion import StoredSilver, build_silver, write_layer
 from ledgerlake.plans.silver import type_customers, type_orders, type_products
-from ledgerlake.session import app_id, run_dir, scratch_dir
+from ledgerlake.schemas import EXTRACT_COLUMNS
+from ledgerlake.session import app_id, input_state, run_dir, scratch_dir
 from ledgerlake.sources.extracts import (customers_extract, orders_extract, products_extract,
                                         raw_extracts)
 from ledgerlake.sources.landing import source_manifest
@@ -31,19 +33,24 @@ from ledgerlake.streaming import events as ev
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_STORED: dict[tuple[str, str], StoredSilver] = {}
+_STORED: dict[tuple[str, str], tuple[int, StoredSilver]] = {}
 _LOCK = threading.Lock()
 
 
 def silver(spark: SparkSession, sf_dir: str, refresh: bool = False) -> StoredSilver:
-    """The stored silver layer for ``sf_dir`` (built on first use; ``refresh``
-    rebuilds it in place, overwriting the same folder)."""
+    """The stored silver layer for ``sf_dir``: built on first use, and again in
+    a new folder once the input's files changed or with ``refresh``. Frames
+    over an earlier build keep their files."""
     key = (app_id(spark), os.path.abspath(sf_dir))
+    state = input_state(spark, sf_dir)
     with _LOCK:
-        if refresh or key not in _STORED:
-            root = run_dir(spark, "silver", key[1])
-            _STORED[key] = build_silver(spark, raw_extracts(spark, sf_dir), root)
-        return _STORED[key]
+        if refresh or key not in _STORED or _STORED[key][0] != state:
+            root = scratch_dir(spark, "silver")
+            landing = land_extracts(spark, raw_extracts(spark, sf_dir), f"{root}/landing")
+            bronze = {name: read_bronze(spark, landing, name).select(*EXTRACT_COLUMNS[name])
+                      for name in EXTRACT_FILES}
+            _STORED[key] = (state, build_silver(spark, bronze, root))
+        return _STORED[key][1]
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,7 +232,16 @@ def q_bronze_roundtrip(spark, sf_dir):
 
 
 def q_source_manifest(spark, sf_dir):
-    return source_manifest(spark, f"{_landing(spark, sf_dir)}/sales_orders.csv")
+    """S8 over the three landed extracts, a row per file."""
+    parts = [source_manifest(spark, f"{_landing(spark, sf_dir, name)}/{file}")
+             .select(F.lit(name).alias("dataset"), "*") for name, file in EXTRACT_FILES.items()]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+def q_landed_rows(spark, sf_dir):
+    """Rows per dataset according to the manifest."""
+    return (q_source_manifest(spark, sf_dir).groupBy("dataset")
+            .agg(F.sum("row_count").alias("landed_rows")))
 
 
 def q_sales_events(spark, sf_dir):
@@ -295,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "bronze_products": q_bronze_products,
     "bronze_roundtrip": q_bronze_roundtrip,
     "source_manifest": q_source_manifest,
+    "landed_rows": q_landed_rows,
     "sales_events": q_sales_events,
     "sales_events_json": q_sales_events_json,
     "sales_events_stream": q_sales_events_stream,

@@ -105,6 +105,14 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
 
 
+def input_state(spark: SparkSession, path: str) -> int:
+    """A number that changes when files under ``path`` appear, go or change
+    (from the listing: name, length, time)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    one = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    return int(files.agg(F.coalesce(F.sum(one), F.lit(0))).first()[0])
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 ** 2,
                  block_bytes: int = 64 * 1024) -> dict[str, str]:
     """Settings sized for an input of ``input_bytes`` on ``total_cores``.

@@ -21,6 +21,13 @@ def test_weekly_job(spark):
     assert c["duplicate_keys"] == 3 and c["parse_rejects"] == 14
     rejects = spark.table("ledgerlake_test.parse_rejects").filter("rejected_rows > 0")
     assert [r.column_name for r in rejects.collect()] == ["unit_price"]
+    # the SQL stage: both forms agree, and each result is a table
+    diff = spark.table("ledgerlake_test.sql_vs_api_diff").first().asDict()
+    assert diff == R.q_sql_vs_api_diff(spark, SF_SMALL).first().asDict()
+    for name in ("sql_completed_orders", "sql_monthly_summary", "sql_product_rank",
+                 "sql_top_customers", "definition_gap", "status_distribution"):
+        want = R.QUERIES[name](spark, SF_SMALL)
+        assert diff_counts(want, spark.table(f"ledgerlake_test.{name}").select(*want.columns)).first() == (0, 0)
     # silver kept the bronze lineage columns (withColumn-style cleaning)
     assert "source_file" in spark.table("ledgerlake_test.silver_orders").columns
 

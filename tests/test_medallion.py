@@ -1,5 +1,9 @@
 """The layered job's stored tables equal the independently built results."""
 
+import shutil
+
+import pyarrow.parquet as pq
+
 from conftest import SF_SMALL
 from ledgerlake import registry as R
 from ledgerlake.operators import diff_counts
@@ -29,3 +33,18 @@ def test_stored_layers_match_queries(spark):
         stored = spark.read.parquet(f"{silver.root}/{table}").select(*expected.columns)
         assert counts[table] == expected.count(), table
         assert diff_counts(expected, stored).first() == (0, 0), table
+
+
+def test_silver_follows_its_input(spark, tmp_path):
+    folder = tmp_path / "tables"
+    shutil.copytree(SF_SMALL, folder)
+    first = R.silver(spark, str(folder))
+    assert R.silver(spark, str(folder)) is first
+    n = first.customers.count()
+    table = pq.read_table(folder / "customer.parquet")
+    for part in (folder, folder / "customer.parquet"):
+        part.chmod(0o755)
+    pq.write_table(table.slice(0, table.num_rows // 2), folder / "customer.parquet")
+    second = R.silver(spark, str(folder))
+    assert second.root != first.root and second.customers.count() < n
+    assert first.customers.count() == n  # frames over the earlier build keep their files
