@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.plans.medallion import run_concurrently
 from ledgerlake.schemas import EXTRACT_COLUMNS
 from ledgerlake.session import scratch_dir
 from ledgerlake.sources.landing import (add_bronze_metadata, read_csv_as_strings,
@@ -25,8 +26,9 @@ def land_extracts(spark: SparkSession, extracts: dict[str, DataFrame],
                   landing: str | None = None) -> str:
     """Write each extract as a header CSV folder ``<landing>/<file name>/``."""
     landing = landing or scratch_dir(spark, "landing")
-    for name, df in extracts.items():
-        write_csv(df, f"{landing}/{EXTRACT_FILES[name]}")
+    run_concurrently({name: (lambda name=name, df=df:
+                             write_csv(df, f"{landing}/{EXTRACT_FILES[name]}"))
+                      for name, df in extracts.items()})
     return landing
 
 

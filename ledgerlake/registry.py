@@ -37,6 +37,13 @@ _STORED: dict[tuple[str, str], tuple[int, StoredSilver]] = {}
 _LOCK = threading.Lock()
 
 
+def landed_bronze(spark: SparkSession, sf_dir: str, landing: str) -> dict[str, DataFrame]:
+    """The three extracts landed as CSV under ``landing`` and read back."""
+    land_extracts(spark, raw_extracts(spark, sf_dir), landing)
+    return {name: read_bronze(spark, landing, name).select(*EXTRACT_COLUMNS[name])
+            for name in EXTRACT_FILES}
+
+
 def silver(spark: SparkSession, sf_dir: str, refresh: bool = False) -> StoredSilver:
     """The stored silver layer for ``sf_dir``: built on first use, and again in
     a new folder once the input's files changed or with ``refresh``. Frames
@@ -46,9 +53,7 @@ def silver(spark: SparkSession, sf_dir: str, refresh: bool = False) -> StoredSil
     with _LOCK:
         if refresh or key not in _STORED or _STORED[key][0] != state:
             root = scratch_dir(spark, "silver")
-            landing = land_extracts(spark, raw_extracts(spark, sf_dir), f"{root}/landing")
-            bronze = {name: read_bronze(spark, landing, name).select(*EXTRACT_COLUMNS[name])
-                      for name in EXTRACT_FILES}
+            bronze = landed_bronze(spark, sf_dir, f"{root}/landing")
             _STORED[key] = (state, build_silver(spark, bronze, root))
         return _STORED[key][1]
 

@@ -21,6 +21,7 @@ from ledgerlake.session import get_session  # noqa: E402
 
 PATTERNS = {
     "hash shuffles": r"Exchange hashpartitioning",
+    "range shuffles": r"Exchange rangepartitioning",
     "round-robin shuffles": r"Exchange RoundRobinPartitioning",
     "single-partition shuffles": r"Exchange SinglePartition",
     "broadcasts": r"BroadcastExchange",
@@ -48,13 +49,18 @@ def main() -> None:
     from ledgerlake.registry import QUERIES
     cols = list(PATTERNS)
     print(f"# Physical plans of the registered queries\n\nInput `{sf_dir}`, "
-          "broadcast threshold off (the plan a 100 TB input gets; nation/region "
-          "keep their explicit fixed-size broadcast). Counts of operators in "
+          "broadcast threshold off (the plan a 100 TB input gets). Counts of operators in "
           "the static physical plan; queries downstream of silver read the "
           "stored silver tables.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
-    for name, fn in QUERIES.items():
+    from ledgerlake.plans.silver import clean_customers
+    from ledgerlake.registry import customers_extract, silver
+    steps = {
+        "silver: customers (dedup)": lambda s, d: clean_customers(customers_extract(s, d)),
+        "silver: enriched joins": lambda s, d: silver(s, d).join_enriched(),
+    }
+    for name, fn in {**steps, **QUERIES}.items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
