@@ -2,20 +2,27 @@
 
 ``split_url`` cuts host and path; ``given_rule`` finds the longest given rule
 (host and all subdomains, path prefix). Urls that no given rule fits are
-judged by rules mined with Spark's FP-growth: every url is a transaction of
-its tokens (host labels, path folder, file ending, query keys), and labelled urls carry a verdict token too. A url without a label
-carries none, so it counts against the confidence of any rule that covers
-it. Rules that reach the support and confidence asked for are matched through
-an inverted index from token to rule: a rule fires when all its tokens are
-met. A block needs a fired block rule of higher confidence than every fired
-allow rule; all other urls are allowed.
+judged by rules mined with Spark's FP-growth: a labelled url is a transaction of
+its tokens (host labels, path folder, file ending, query keys) and its verdict.
+Only labelled urls are transactions, so the confidence of a rule is its share
+of the labelled urls it covers. Rules that reach the support and confidence
+asked for are matched through an inverted index from token to rule: a rule
+fires when all its tokens are met. A block needs a fired block rule of higher
+confidence than every fired allow rule; all other urls are allowed.
+
+Block rules are held back that only repeat how the labels came about. The
+expected blocks of a rule are the block rates of the urls it covers, each taken
+over the labelled urls whose hosts the same given rules fit (where only block
+rules exist, that is 1 and says nothing); it must have ``least_z`` deviations
+more. And where the given rules are the labels, its blocked urls must come from
+given rules of two hosts: "/en/ is blocked on one host" is no rule for others.
 
 Only DataFrame functions and Spark ML run; no Python code runs on rows.
 
 Defined results: a null url, or one without ``://``, has empty host and path
 and is allowed; repeated rows are judged alike; repeated or null ids are kept
 row by row (ids play no part in matching); an empty table gives no rows;
-further columns are ignored. Without labelled urls nothing is mined.
+further columns are ignored. Labels other than block and allow are left out.
 """
 
 from __future__ import annotations
@@ -52,6 +59,12 @@ def given_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]
     return F.array_max(fits)
 
 
+def scope(host: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
+    """The hosts of the given rules that fit a host, as text."""
+    names = F.array(*[F.lit(h) for h in sorted({h for h, _, _ in rules})])
+    return F.array_join(F.filter(names, lambda h: (host == h) | F.endswith(host, F.concat(F.lit("."), h))), " ")
+
+
 def url_tokens(host: Column, path: Column, url: Column) -> Column:
     """Distinct tokens of a url: host labels numbered from the right (the
     fourth and further as one), first path folder, file ending, query keys."""
@@ -95,45 +108,77 @@ def mine_rules(transactions: DataFrame, min_support: float, min_confidence: floa
     return stash(mined.join(covered, "rule_id", "left_anti"), "url-rules")
 
 
+def _met(sets: DataFrame, mined: DataFrame) -> DataFrame:
+    """(items, rule_id, verdict, confidence): the rules that fire on each token set."""
+    index = mined.select("rule_id", "verdict", "confidence", F.size("tokens").alias("need"),
+                         F.explode("tokens").alias("token"))
+    return (sets.select("items", F.explode("items").alias("token")).join(index, "token")
+            .groupBy("items", "rule_id", "verdict", "confidence", "need")
+            .agg(F.count(F.lit(1)).alias("n")).filter("n = need").drop("n", "need"))
+
+
+def hold_back(mined: DataFrame, labelled: DataFrame, least_z: float, least_hosts: int) -> DataFrame:
+    """``mined`` without the block rules that the labels' origin explains.
+
+    ``labelled``: rows (items, verdict, scope, by). Longer rules that
+    ``mine_rules`` dropped for a shorter one are no loss: they cover fewer of
+    its urls, at no higher confidence."""
+    block = (F.col("verdict") == "block").cast("int")
+    rate = labelled.groupBy(F.col("scope").alias("s")).agg(F.avg(block).alias("q"))
+    seen = (labelled.groupBy(F.array_sort("items").alias("set"), "scope", "by")
+            .agg(F.count(F.lit(1)).alias("c"), F.sum(block).alias("blocks"))
+            .join(rate, F.col("scope") == F.col("s")))
+    fired = _met(seen.select(F.col("set").alias("items")).distinct(), mined.filter("verdict = 'block'"))
+    sound = (seen.join(fired, F.col("set") == F.col("items")).groupBy("rule_id").agg(
+        F.sum(F.col("blocks") - F.col("c") * F.col("q")).alias("over"),
+        F.sum(F.col("c") * F.col("q") * (1 - F.col("q"))).alias("var"),
+        F.count_distinct(F.when(F.col("blocks") > 0, F.col("by"))).alias("hosts"))
+        .filter((F.col("over") >= least_z * F.sqrt(F.greatest("var", F.lit(1.0))))
+                & (F.col("hosts") >= least_hosts)).select("rule_id"))
+    allow = mined.filter("verdict = 'allow'")
+    return stash(allow.unionByName(mined.join(sound, "rule_id", "left_semi")), "url-rules")
+
+
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], id_col: str = "page_id",
           url_col: str = "url", labels: DataFrame | None = None, min_support: float = 0.005,
-          min_rows: int = 10, min_confidence: float = 0.9) -> DataFrame:
+          min_rows: int = 10, min_confidence: float = 0.9,
+          least_z: float = 4.0) -> DataFrame:
     """Rows (id_col, host, path, rule, verdict, mined_confidence).
 
     ``labels``: rows (url, verdict) to learn from; by default the urls that a
     given rule judges, with its verdict. A rule needs ``min_support`` of the
-    transactions and ``min_rows`` of them."""
+    labelled urls and ``min_rows`` of them."""
     url = pages[url_col]
     host, path = split_url(url)
     base = pages.select(pages[id_col], url.alias("u"), host.alias("host"), path.alias("path"))
     base = base.withColumn("hit", given_rule(F.col("host"), F.col("path"), rules))
     base = stash(base.select(id_col, "host", "path", F.col("hit.rule").alias("rule"),
-                             F.col("hit.verdict").alias("given"),
+                             F.col("hit.verdict").alias("given"), F.col("hit.h").alias("by"),
+                             scope(F.col("host"), rules).alias("scope"),
                              url_tokens(F.col("host"), F.col("path"), F.col("u")).alias("items")),
                  "urls")
     if labels is None:
-        labelled = base.select("items", F.col("given").alias("verdict"))
+        labelled = base.select("items", F.col("given").alias("verdict"), "scope", "by")
     else:
         h, p = split_url(labels["url"])
         t = url_tokens(h, p, labels["url"])
-        labelled = labels.select(t.alias("items"), "verdict")
-    basket = labelled.select(F.when(F.col("verdict").isNull(), F.col("items")).otherwise(
-        F.concat(F.col("items"), F.array(F.concat(F.lit(VERDICT), F.col("verdict"))))).alias("items"))
-    basket = basket.filter(F.size("items") > 0)
-    if basket.filter(F.exists("items", lambda x: F.startswith(x, F.lit(VERDICT)))).isEmpty():
-        return base.select(id_col, "host", "path", "rule", F.lit("allow").alias("verdict"),
+        labelled = labels.select(t.alias("items"), "verdict", scope(h, rules).alias("scope"),
+                                 F.lit("labels").alias("by"))
+    labelled = stash(labelled.filter((F.size("items") > 0) & F.col("verdict").isin("block", "allow")),
+                     "url-labelled")
+    n = labelled.count()
+    if not n:
+        return base.select(id_col, "host", "path", "rule", F.coalesce("given", F.lit("allow")).alias("verdict"),
                            F.lit(None).cast("double").alias("mined_confidence"))
-    n = basket.count()
+    basket = labelled.select(
+        F.concat("items", F.array(F.concat(F.lit(VERDICT), F.col("verdict")))).alias("items"))
     mined = mine_rules(basket, min(1.0, max(min_support, min_rows / n)), min_confidence)
+    mined = hold_back(mined, labelled, least_z, 1 if labels is not None else 2)
 
     # Urls share few token sets: each set is matched once.
     open_sets = (base.filter(F.col("given").isNull()).select(F.array_sort("items").alias("items"))
-                 .distinct().withColumn("set_id", F.xxhash64("items")))
-    index = mined.select("rule_id", "verdict", "confidence", F.size("tokens").alias("need"),
-                         F.explode("tokens").alias("token"))
-    met = (open_sets.select("items", F.explode("items").alias("token")).join(index, "token")
-           .groupBy("items", "rule_id", "verdict", "confidence", "need")
-           .agg(F.count(F.lit(1)).alias("n")).filter("n = need")
+                 .distinct())
+    met = (_met(open_sets.select("items"), mined)
            .groupBy("items")
            .agg(F.max(F.when(F.col("verdict") == "block", F.col("confidence"))).alias("block"),
                 F.max(F.when(F.col("verdict") == "allow", F.col("confidence"))).alias("allow"))

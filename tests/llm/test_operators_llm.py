@@ -277,6 +277,22 @@ def test_url_rules(spark):
     assert urlrules.judge(df.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_url_rules_registered(spark, tmp_path):
+    urls = [f"http://{s}casino.example.{d}/{i}" for i in range(40) for s in ("", "m.")
+            for d in ("com/en", "net/es", "net/fr")]
+    urls += [f"http://h{i % 8}.example.com/{f}/{i}" for i in range(80) for f in ("en", "de", "es", "fr")]
+    urls += [f"http://n{i % 2}.example.net/{f}/{i}" for i in range(80) for f in ("es", "en")]
+    asked = {"http://casino.example.org/en/x": "block", "http://m.casino.example.net/en/x": "block",
+             # neither /en/ nor .net nor a host of .net alone is a reason
+             "http://new.example.org/en/x": "allow", "http://n0.example.net/en/x": "allow",
+             "http://h1.example.org/en/x": "allow", "http://new.example.net/de/x": "allow",
+             "http://new.example.net/about": "allow"}
+    spark.createDataFrame(list(enumerate([*urls, *asked])), "page_id bigint, url string") \
+        .write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r["page_id"]: r["verdict"] for r in queries.op10_url_rules(spark, str(tmp_path)).collect()}
+    assert [got[len(urls) + i] for i in range(len(asked))] == list(asked.values())
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
