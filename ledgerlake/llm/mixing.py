@@ -72,6 +72,8 @@ class DomainModel:
     weight: np.ndarray  # tokens x domains, on the log odds
     max_rate: float = 1.0
     steps: list[np.ndarray] = field(default_factory=list)
+    barred: list[int] = field(default_factory=list)  # domains that bar a document
+    bar: float = 1.0
 
     def hits(self, h, shape, at) -> tuple[np.ndarray, np.ndarray]:
         """(row, token) of the model's tokens present in each row."""
@@ -104,6 +106,8 @@ class DomainModel:
         r = np.full(len(post), min(1.0, self.max_rate))
         for g in self.steps:
             r = np.clip(r - post @ g, 0.0, self.max_rate)
+        if self.barred:
+            r = np.where(post[:, self.barred].sum(axis=1) > self.bar, 0.0, r)
         return r
 
 
@@ -265,12 +269,16 @@ def memberships(docs: DataFrame, model: DomainModel, id_col: str = "doc_id",
 
 def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float],
               total_tokens: float | None = None, max_rate: float = 4.0, passes: int = 30,
-              close: float = 1e-4) -> DomainModel:
+              close: float = 1e-4, bar: float | None = None) -> DomainModel:
     """Set the model's steps so that rates meet the targets ``weights`` (shares
-    of ``total_tokens``; by default as many as there are)."""
+    of ``total_tokens``; by default as many as there are). With ``bar``, a
+    document whose posterior of the domains without weight is above it gets
+    rate 0, however rare such documents are."""
     model.max_rate, model.steps = max_rate, []
     k = len(model.domains)
     target = np.array([float(weights.get(d, 0.0)) for d in model.domains])
+    model.barred = [] if bar is None else np.flatnonzero(target == 0).tolist()
+    model.bar = 1.0 if bar is None else bar
     target = target / target.sum() if target.sum() else np.full(k, 1 / k)
 
     def sums(batches):

@@ -293,6 +293,19 @@ def test_url_rules_registered(spark, tmp_path):
     assert [got[len(urls) + i] for i in range(len(asked))] == list(asked.values())
 
 
+def test_pipeline_toxic(spark, tmp_path):
+    import corpus_pipeline
+
+    # 12 toxic documents, 1 % of the tokens
+    rows = [(i, f"the old house near the river number {i} stands in fog"
+             + (" zzbad zzworse" if i % 100 == 0 else "")) for i in range(1200)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    d.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 100 == 0).cast("int").alias("toxic")) \
+        .write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.mixing_stage(spark, d, str(tmp_path)).collect()}
+    assert kept == {i for i in range(1200) if i % 100}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
