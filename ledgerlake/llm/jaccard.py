@@ -156,10 +156,23 @@ def _full_sets(width):
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            for first, sets in _sets(b.column(1), width):
+            for _, sets in _sets(b.column(1), width):
+                d = [_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, len(sets)),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["r", "shingles"])
+                    [pa.array([x for x, _ in d], pa.int64()), pa.array([y for _, y in d], pa.int64()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["f1", "f2", "shingles"])
+    return run
+
+
+def _with_digests(width, at):
+    """Task code: the rows as they are and the digest of each set."""
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            d = [_digest(s) for _, sets in _sets(b.column(at), width) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array([x for x, _ in d], pa.int64()), pa.array([y for _, y in d], pa.int64())],
+                names=[*b.schema.names, "__s1", "__s2"])
     return run
 
 
@@ -276,19 +289,23 @@ def _verify(percent):
     return run
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      width: int = 4, percent: int = 85, chunk_rows: int = 256,
-                      bucket_rows: int = 2000, broadcast_ids: int = 1_000_000) -> DataFrame:
-    """(id_col, n_shingles, component_id) for every row of ``docs``."""
-    base = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("t"))
+def _linked(base: DataFrame, width: int, percent: int, chunk_rows: int, bucket_rows: int,
+            broadcast_ids: int, by_id: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of rows (id, t): the rows (id, n, s1, s2), the classes (s1, s2, n, rep,
+    least) of equal sets with a number and their least id, and the components
+    (v, component) of class numbers. ``by_id`` leaves out classes without an id
+    and joins classes that share one."""
     prof = stash(base.mapInArrow(
         _profile(width), "id bigint, n bigint, s1 bigint, s2 bigint, point binary, slice int, "
         "load array<bigint>"),
         "jaccard-sets")
     sets = prof.filter("slice IS NULL").select("id", "n", "s1", "s2", "point")
     level = _levels(prof.filter("slice IS NOT NULL").select("slice", "load"))
-    classes = stash(sets.filter("n > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n")
-                    .agg(F.min("id").alias("rep"), F.min("point").alias("point")), "jaccard-classes")
+    named = sets.filter("id IS NOT NULL") if by_id else sets
+    # an id may come with several sets: classes have numbers of their own
+    classes = stash(named.filter("n > 0").groupBy("s1", "s2", "n")
+                    .agg(F.min("id").alias("least"), F.min("point").alias("point"))
+                    .withColumn("rep", F.monotonically_increasing_id()), "jaccard-classes")
 
     post = stash(base.select("t").mapInArrow(_postings(width, percent, level),
                                              "h bigint, s1 bigint, inner boolean"), "jaccard-postings")
@@ -309,7 +326,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     tiles = stash(tiles.join(one, F.col("h") == F.col("tile")).select("tile", "m", "hub", "rep"),
                   "jaccard-tiles")
 
-    points = classes.groupBy(F.col("rep").alias("p_rep")).agg(F.min("point").alias("point"))
+    points = classes.select(F.col("rep").alias("p_rep"), "point")
 
     def bucketed(tasks: DataFrame, n: int) -> DataFrame:
         return tasks.withColumn("bucket", F.pmod(F.xxhash64("tile", "part"),
@@ -323,10 +340,17 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                          _bound(percent), "tile bigint, part string, rep bigint, side int, comp bigint, "
                          "lead array<bigint>"),
                      "jaccard-left")
-        want = stash(left.select(F.col("rep").alias("r")).distinct(), "jaccard-wanted")
+        want = left.select(F.col("rep").alias("r")).distinct()
+        want = stash(want.join(classes.select("rep", "least", "s1", "s2"), F.col("r") == F.col("rep"))
+                     .drop("rep"), "jaccard-wanted")
         few = want.count() <= broadcast_ids  # else both sides are shuffled
-        picked = base.join(F.broadcast(want) if few else want, F.col("id") == F.col("r"), "left_semi")
-        full = (picked.mapInArrow(_full_sets(width), "r bigint, shingles binary")
+        near = (lambda x: F.broadcast(x)) if few else (lambda x: x)
+        ids = near(want.select("least").distinct())
+        picked = base.join(ids, F.col("id") == F.col("least"), "left_semi")
+        if not want.filter("least IS NULL").isEmpty():
+            picked = picked.unionAll(base.filter("id IS NULL"))
+        full = (picked.mapInArrow(_full_sets(width), "f1 bigint, f2 bigint, shingles binary")
+                .join(near(want.drop("least")), (F.col("f1") == F.col("s1")) & (F.col("f2") == F.col("s2")))
                 .groupBy("r").agg(F.min("shingles").alias("shingles")))
         return (bucketed(left, left.count()).join(full, F.col("rep") == F.col("r")).drop("r")
                 .groupBy("bucket").applyInPandas(_verify(percent), "a bigint, b bigint"))
@@ -342,6 +366,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     none = F.array().cast("array<bigint>")
     first = stash(compare(spokes.withColumn("side", F.lit(2)).select("tile", "part", "rep", "side")
                           .unionAll(hubs).withColumns({"comp": F.col("rep"), "lead": none})), "jaccard-edges")
+    if by_id:
+        first = first.unionAll(_same_id(sets, classes))
     parts = components(first, "jaccard-components")
 
     # second pass: tiles still in several components
@@ -372,9 +398,35 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     second = compare(tasks.join(leads, F.col("rep") == F.col("l_rep")).drop("l_rep"))
     parts = components(first.unionAll(second), "jaccard-components")
 
-    best = classes.select(F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("rep")) \
-        .join(parts, F.col("rep") == F.col("v"), "left") \
-        .select("c1", "c2", F.coalesce("component", "rep").alias("comp"))
+    return sets, classes, parts
+
+
+def _same_id(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) between the classes of each id that comes with several."""
+    one = F.struct("s1", "s2")
+    several = (sets.filter("n > 0 AND id IS NOT NULL").groupBy(F.col("id").alias("i"))
+               .agg(F.min(one).alias("lo"), F.max(one).alias("hi")).filter("lo != hi"))
+    several = stash(several, "jaccard-several")
+    other = sets.filter("n > 0").join(several, F.col("id") == F.col("i")).select(
+        F.col("lo.s1").alias("l1"), F.col("lo.s2").alias("l2"), "s1", "s2").distinct()
+    number = lambda c: classes.select(F.col("s1").alias("x"), F.col("s2").alias("y"), F.col("rep").alias(c))
+    return stash(other.join(number("a"), (F.col("l1") == F.col("x")) & (F.col("l2") == F.col("y"))).drop("x", "y")
+                 .join(number("b"), (F.col("s1") == F.col("x")) & (F.col("s2") == F.col("y")))
+                 .filter("a != b").select("a", "b"), "jaccard-edges")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      width: int = 4, percent: int = 85, chunk_rows: int = 256,
+                      bucket_rows: int = 2000, broadcast_ids: int = 1_000_000) -> DataFrame:
+    """(id_col, n_shingles, component_id) for every row of ``docs``."""
+    base = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("t"))
+    sets, classes, parts = _linked(base, width, percent, chunk_rows, bucket_rows, broadcast_ids, True)
+    # components go by their least id
+    parts = parts.join(classes.select("rep", "least"), F.col("v") == F.col("rep")).drop("rep")
+    label = parts.groupBy(F.col("component").alias("c")).agg(F.min("least").alias("label"))
+    label = stash(parts.join(label, F.col("component") == F.col("c")).select("v", "label"), "jaccard-labels")
+    best = classes.join(label, F.col("rep") == F.col("v"), "left").select(
+        F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.coalesce("label", "least").alias("comp"))
     out = sets.join(best, (F.col("n") > 0) & (F.col("s1") == F.col("c1"))
                     & (F.col("s2") == F.col("c2")), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),

@@ -86,6 +86,18 @@ def test_jaccard_odd(spark):
     assert jaccard.similar_documents(odd(spark).limit(0)).count() == 0
 
 
+def test_jaccard_repeated_ids(spark):
+    """An id with two texts is one vertex; the links of both texts count."""
+    text = lambda a: " ".join(f"{a}{j}" for j in range(60))
+    rows = []
+    for k in range(8):  # id 10k + 5: a near copy of 10k + 6 and one of 10k + 7
+        a, b = text(f"a{k}x"), text(f"b{k}x")
+        rows += [(10 * k + 5, a, 0), (10 * k + 5, b, 0), (10 * k + 6, a + " end", 0), (10 * k + 7, b + " end", 0)]
+    got = jaccard.similar_documents(spark.createDataFrame(rows, ODD_SCHEMA)).collect()
+    assert len(got) == 32 and {(r[0], r[2]) for r in got} == {
+        (10 * k + i, 10 * k + 5) for k in range(8) for i in (5, 6, 7)}
+
+
 def test_decontaminate_odd(spark):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "one two"), (4, "two THREE four five six")],
                                   "item_id bigint, text string")
