@@ -43,6 +43,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerlake.llm.common import components, mix, shingle_hashes, stash, text_chunks, word_hashes
 
@@ -431,3 +432,46 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     & (F.col("s2") == F.col("c2")), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.when(F.col("id").isNotNull(), F.coalesce("comp", "id")).alias("component_id"))
+
+
+def first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 width: int = 4, percent: int = 85, chunk_rows: int = 256,
+                 bucket_rows: int = 2000, broadcast_ids: int = 1_000_000) -> DataFrame:
+    """One row of ``docs`` for each component, all columns: that of the least id
+    (rows without one last). Decided per row: rows are told apart by id and set,
+    rows alike in both are copies; texts without words stay once for each id."""
+    base = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("t"))
+    sets, classes, parts = _linked(base, width, percent, chunk_rows, bucket_rows, broadcast_ids, False)
+    keys = stash(sets.groupBy("id", "s1", "s2").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("rows")),
+                 "jaccard-keys")
+    comp = classes.join(parts, F.col("rep") == F.col("v"), "left").select(
+        F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.coalesce("component", "rep").alias("comp"))
+    named = stash(keys.filter("n > 0").join(comp, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")))
+                  .select("id", "s1", "s2", "comp"), "jaccard-named")
+    best = (named.groupBy(F.col("comp").alias("c"))
+            .agg(F.min(F.struct(F.isnull("id").alias("no_id"), "id", "s1", "s2")).alias("best"),
+                 F.count(F.lit(1)).alias("k")).filter("k > 1"))
+    same = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("s1") == F.col("best.s1")) \
+        & (F.col("s2") == F.col("best.s2"))
+    key = ("id", "s1", "s2")
+    lost = stash(named.join(best, F.col("comp") == F.col("c")).filter(~same).select(*key), "jaccard-lost")
+    twice = keys.filter("rows > 1").select(*key)
+
+    marked = docs.mapInArrow(_with_digests(width, docs.columns.index(text_col)),
+                             StructType([*docs.schema.fields, StructField("__s1", LongType()),
+                                         StructField("__s2", LongType())]))
+
+    def of(other: DataFrame, left: DataFrame, an_id, s1: str, s2: str, how: str) -> DataFrame:
+        other = other.select(*[F.col(c).alias(f"__o_{c}") for c in key])
+        return left.join(other, an_id.eqNullSafe(F.col("__o_id")) & (F.col(s1) == F.col("__o_s1"))
+                         & (F.col(s2) == F.col("__o_s2")), how)
+
+    row_id = F.col(id_col).cast("bigint")
+    once = of(lost.unionAll(twice), marked, row_id, "__s1", "__s2", "left_anti").drop("__s1", "__s2")
+    twice = stash(of(lost, twice, F.col("id"), "s1", "s2", "left_anti"), "jaccard-twice")
+    if twice.isEmpty():
+        return once
+    again = (of(twice, marked, row_id, "__s1", "__s2", "left_semi")
+             .groupBy(row_id.alias("__id"), "__s1", "__s2")
+             .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
+    return once.unionByName(again)

@@ -365,7 +365,11 @@ def apply_rates(docs: DataFrame, model: DomainModel, id_col: str = "doc_id",
         for b in batches:
             if b.num_rows:
                 _, post = model.posteriors(b.column(at))
-                n = copies(model.rates(post), b.column(ids).to_pylist())
+                # a row without an id is drawn by its text
+                names = [t or "" if i is None else i for i, t in
+                         zip(b.column(ids).to_pylist(), b.column(at).to_pylist())] \
+                    if b.column(ids).null_count else b.column(ids).to_pylist()
+                n = copies(model.rates(post), names)
                 yield b.take(pa.array(np.repeat(np.arange(b.num_rows), n)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -318,6 +318,30 @@ def test_pipeline_toxic(spark, tmp_path):
     assert kept == {i for i in range(1200) if i % 100}
 
 
+def test_pipeline_rows(spark, tmp_path):
+    """Null ids and repeated rows are deduplicated, decontaminated and mixed like others."""
+    import corpus_pipeline
+
+    text = lambda a, n=40: " ".join(f"{a}{j}" for j in range(n))
+    leak = text("bench", 12)
+    rows = [(1, text("a")), (1, text("a")), (2, text("a")), (None, text("a")), (None, text("a") + " more"),
+            (None, text("b")), (None, text("b")), (3, text("c")), (3, text("d")), (4, text("e") + " tail"),
+            (None, text("e")), (5, ""), (5, ""), (6, "")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [tuple(r) for r in corpus_pipeline.dedup_stage(spark, d, str(tmp_path)).collect()]
+    assert collections.Counter(got) == collections.Counter(
+        [(1, text("a")), (None, text("b")), (3, text("c")), (3, text("d")), (4, text("e") + " tail"), (5, ""), (6, "")])
+    spark.createDataFrame([(1, leak)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    d = spark.createDataFrame([(None, "x " + leak), (None, text("f")), (7, leak), (7, text("g")), (None, None)],
+                              "doc_id bigint, text string")
+    got = [tuple(r) for r in corpus_pipeline.decontaminate_stage(spark, d, str(tmp_path)).collect()]
+    assert collections.Counter(got) == collections.Counter([(None, text("f")), (7, text("g")), (None, None)])
+    model = mixing.DomainModel(["all"], np.zeros(1), np.zeros(0, np.uint64), np.zeros((0, 1)), steps=[np.array([0.5])])
+    d = spark.range(400).select(F.lit(None).cast("bigint").alias("doc_id"),
+                                F.concat(F.lit("text "), F.col("id")).alias("text"))
+    assert 150 < mixing.apply_rates(d, model).count() < 250
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
