@@ -108,20 +108,22 @@ class Unigrams:
         d = discounts(counts_of_counts, top)
         if (d == 1).all() and total:
             d[0] = 1 - 1 / (total + 1)  # leave something for unknown words
-        self.d = d
         left = sum((1 - d[r - 1]) * r * counts_of_counts[r - 1] for r in range(1, top + 1))
-        self.unknown = left / self.total if total else 1.0
+        # where no word occurs once, all counts give a little for unknown words
+        self.scale = total / (total + 1) if total and left <= 0 else 1.0
+        self.d = d
+        self.unknown = (left / self.total if left > 0 else 1 / (total + 1)) if total else 1.0
 
     def p(self, c: np.ndarray) -> np.ndarray:
         c = np.asarray(c)
         factor = np.where((c >= 1) & (c <= self.top), self.d[np.clip(c, 1, self.top) - 1], 1.0)
-        return np.where(c > 0, factor * c / self.total, self.unknown)
+        return np.where(c > 0, self.scale * factor * c / self.total, self.unknown)
 
     def column(self, c):
         """The same as a DataFrame column."""
-        out = F.when(c > self.top, c / self.total)
+        out = F.when(c > self.top, F.lit(float(self.scale)) * c / self.total)
         for r in range(1, self.top + 1):
-            out = out.when(c == r, F.lit(float(self.d[r - 1] * r / self.total)))
+            out = out.when(c == r, F.lit(float(self.scale * self.d[r - 1] * r / self.total)))
         return out.otherwise(F.lit(float(self.unknown)))
 
 

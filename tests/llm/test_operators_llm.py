@@ -232,6 +232,20 @@ def test_katz(spark):
     assert katz.score_documents(odd(spark).limit(0)).count() == 0
 
 
+def test_katz_without_singletons(spark):
+    """No word occurs once in training: a new held-out word still has a price."""
+    rows = [(i, "red green blue red green") for i in range(12)]
+    held = next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 7 == 2)
+    rows += [(held, "red unheard blue"), (held, "red green blue")]
+    got = katz.score_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    new, old = sorted(r["score"] for r in got if r["doc_id"] == held)
+    assert new < old - 1
+    want = sorted(w[5] for w in _katz(rows) if w[0] == held)
+    assert [new, old] == pytest.approx(want) and all(map(math.isfinite, want))
+    u = katz.Unigrams(60, [0.0, 0, 0, 0, 0, 0], 5)
+    assert u.unknown == pytest.approx(1 / 61) and u.p(np.array([24, 24, 12, 0])).sum() == pytest.approx(1)
+
+
 def test_mixing(spark):
     full = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r["doc_id"], "good") for r in full.select("doc_id").filter("doc_id % 2 = 0").collect()]
