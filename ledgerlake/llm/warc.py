@@ -85,9 +85,10 @@ def read_archive(spark: SparkSession, root: str) -> DataFrame:
     stated = _field("Content-Length", "([0-9]+)\\r\\n").cast("bigint")
     size = F.octet_length("payload").cast("bigint")
     whole = heads.join(bodies, F.col("key") == F.col("k"), "left")
+    digest = _field("WARC-Payload-Digest", "sha1:([0-9a-f]+)\\r\\n")
     right = (F.col("payload").isNotNull()
              & (F.sha2("payload", 256) == F.col("key"))
-             & (F.sha1("payload") == _field("WARC-Payload-Digest", "sha1:([0-9a-f]+)\\r\\n"))
+             & (F.sha1("payload") == digest)
              & (stated == F.when(kind == "revisit", F.lit(0)).otherwise(size)))
     checked = F.when(right, size).otherwise(
         F.raise_error(F.concat(F.lit("archive record does not match its digest: "),
@@ -97,7 +98,7 @@ def read_archive(spark: SparkSession, root: str) -> DataFrame:
         _field("WARC-Record-ID", "<urn:page:([-0-9]+)>").try_cast("bigint").alias("page_id"),
         F.regexp_extract("header", "\\r\\nWARC-Target-URI: ([^\\r]*)\\r\\n", 1).alias("url"),
         kind.alias("record_type"),
-        F.regexp_extract("header", "sha1:([0-9a-f]+)", 1).alias("payload_digest"),
+        digest.alias("payload_digest"),
         F.regexp_extract("header", "\\r\\nWARC-Refers-To: <urn:page:([-0-9]+)>", 1)
         .try_cast("bigint").alias("refers_to"),
         F.col("payload"), checked.alias("payload_bytes"),

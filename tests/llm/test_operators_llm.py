@@ -1,6 +1,7 @@
 """Every operator against brute force on small tables, and its edge cases."""
 
 import collections
+import hashlib
 import math
 import re
 import zlib
@@ -282,6 +283,12 @@ def test_warc(spark):
     assert spark.read.parquet(f"{root}/payloads").count() == 3
 
 
+def test_warc_digest_of_url(spark):
+    df = spark.createDataFrame([(1, "http://a/?d=sha1:beef", "text")], "page_id bigint, url string, html string")
+    row = warc.read_archive(spark, warc.write_archive(df)).first()
+    assert row["payload_digest"] == hashlib.sha1(b"text").hexdigest() and row["url"].endswith("sha1:beef")
+
+
 def test_url_rules(spark):
     urls = ["http://Example.com/en/x", "https://www.example.com/en/", "http://a.com", "http://a.net/es/1?q#f",
             "nothing", None, "ftp://b.com/z#?/", "http://xcom/a", "http://www.example.com/fr/"]
