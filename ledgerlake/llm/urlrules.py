@@ -3,7 +3,7 @@
 ``split_url`` cuts host and path; ``given_rule`` finds the longest given rule
 (host and all subdomains, path prefix). Urls that no given rule fits are
 judged by rules mined with Spark's FP-growth: a labelled url is a transaction of
-its tokens (host labels, path folder, file ending, query keys) and its verdict.
+its tokens (host labels, path segments, file ending, query) and its verdict.
 Only labelled urls are transactions, so the confidence of a rule is its share
 of the labelled urls it covers. Rules that reach the support and confidence
 asked for are matched through an inverted index from token to rule: a rule
@@ -66,19 +66,27 @@ def scope(host: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
 
 
 def url_tokens(host: Column, path: Column, url: Column) -> Column:
-    """Distinct tokens of a url: host labels numbered from the right (the
-    fourth and further as one), first path folder, file ending, query keys."""
-    labels = F.reverse(F.filter(F.split(host, "[.]"), lambda x: x != ""))
-    named = F.transform(labels, lambda x, i: F.concat(
-        F.lit("host"), F.least(i + 1, F.lit(4)).cast("string"), F.lit("="), x))
-    folder = F.regexp_extract(path, "^/([^/]*)/", 1)
-    ending = F.regexp_extract(path, "[.]([A-Za-z0-9]{1,8})$", 1)
-    one = F.filter(F.array(F.concat(F.lit("folder="), folder), F.concat(F.lit("ending="), ending)),
-                   lambda x: ~F.endswith(x, F.lit("=")))
-    query = F.regexp_extract(F.coalesce(url, F.lit("")), "[?]([^#]*)", 1)
-    keys = F.transform(F.filter(F.split(query, "&"), lambda x: x != ""),
-                       lambda x: F.concat(F.lit("key="), F.substring_index(x, "=", 1)))
-    return F.array_distinct(F.concat(named, one, keys))
+    """Distinct tokens of a url: host labels numbered from the right and folders
+    numbered from the left (the fourth and further as one), words of the last
+    path segment, file ending, query keys and key-value pairs."""
+    def parts(text, sign):
+        return F.filter(F.split(text, sign), lambda x: x != "")
+
+    def numbered(name, xs):
+        return F.transform(xs, lambda x, i: F.concat(
+            F.lit(name), F.least(i + 1, F.lit(4)).cast("string"), F.lit("="), x))
+
+    labels = numbered("host", F.reverse(parts(host, "[.]")))
+    folders = numbered("folder", parts(F.regexp_extract(path, "^(.*/)", 1), "/"))
+    last = F.regexp_extract(path, "([^/]*)$", 1)
+    ending = F.regexp_extract(last, "[.]([A-Za-z0-9]{1,8})$", 1)
+    stem = F.regexp_replace(last, "[.][A-Za-z0-9]{1,8}$", "")
+    names = F.transform(parts(F.translate(stem, UPPER, LOWER), "[-_.+,;~!%]+"), lambda x: F.concat(F.lit("word="), x))
+    endings = F.filter(F.array(F.concat(F.lit("ending="), ending)), lambda x: x != "ending=")
+    pairs = parts(F.regexp_extract(F.coalesce(url, F.lit("")), "[?]([^#]*)", 1), "&")
+    keys = F.transform(pairs, lambda x: F.concat(F.lit("key="), F.substring_index(x, "=", 1)))
+    values = F.transform(F.filter(pairs, lambda x: F.contains(x, F.lit("="))), lambda x: F.concat(F.lit("value="), x))
+    return F.array_distinct(F.concat(labels, folders, names, endings, keys, values))
 
 
 def mine_rules(transactions: DataFrame, min_support: float, min_confidence: float) -> DataFrame:

@@ -326,6 +326,19 @@ def test_url_rules_registered(spark, tmp_path):
     assert [got[len(urls) + i] for i in range(len(asked))] == list(asked.values())
 
 
+def test_url_rules_deep(spark):
+    """What decides may stand in a deeper folder, the last segment or a query value."""
+    bad = ("a/b/casino/{}", "a/b/c/d/e/casino/{}", "a/big-Casino-{}.html", "a/{}?go=casino")
+    good = ("a/b/garden/{}", "a/b/c/d/e/garden/{}", "a/big-garden-{}.html", "a/{}?go=garden")
+    seen = [(f"http://h{i % 7}.org/" + x.format(i), v) for i in range(42)
+            for xs, v in ((bad, "block"), (good, "allow")) for x in xs]
+    asked = [(i, "http://new.org/" + x.format(99)) for i, x in enumerate((*bad, *good))]
+    got = urlrules.judge(spark.createDataFrame(asked, "page_id int, url string"), queries.URL_RULES,
+                         labels=spark.createDataFrame(seen, "url string, verdict string"))
+    assert {r["page_id"]: r["verdict"] for r in got.collect()} == {
+        i: "block" if i < 4 else "allow" for i in range(8)}
+
+
 def test_pipeline_toxic(spark, tmp_path):
     import corpus_pipeline
 
