@@ -41,4 +41,20 @@ SELECT page_id, strlen(p.body)::BIGINT AS payload_bytes, sha1(p.body) AS payload
 FROM p LEFT JOIN lead ON p.body = lead.body
 """
 
-ORACLES = {"op1_decontaminate": OP1, "op9_warc": OP9}
+OP11 = """
+WITH l AS (SELECT doc_id, i AS pos, ls[i] AS line,
+                  translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+           FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+                unnest(range(1, len(ls) + 1)) AS u(i)),
+often AS (SELECT k, max(doc_id) AS keeper FROM l WHERE length(k) >= 20
+          GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT doc_id, pos, line, keeper IS NOT NULL AND doc_id <> keeper AS gone
+           FROM l LEFT JOIN often USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), ''))
+           AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLES = {"op1_decontaminate": OP1, "op9_warc": OP9, "op11_line_dedup": OP11}

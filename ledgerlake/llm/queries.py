@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import (decontaminate, jaccard, katz, langid, mixing, quality, sharding, urlrules, vectors, warc)
+from ledgerlake.llm import (decontaminate, jaccard, katz, langid, linededup, mixing, quality, sharding,
+                            urlrules, vectors, warc)
 from ledgerlake.llm.common import fold, stash
 
 # (host, path, verdict) of the url contract
@@ -90,6 +91,13 @@ def op10_url_rules(spark, sf_dir):
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op11_line_dedup(spark, sf_dir):
+    """Documents without the long lines that documents of larger ids repeat."""
+    out = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard": op2_jaccard,
@@ -101,4 +109,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_katz": op8_katz,
     "op9_warc": op9_warc,
     "op10_url_rules": op10_url_rules,
+    "op11_line_dedup": op11_line_dedup,
 }
