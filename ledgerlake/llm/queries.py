@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (decontaminate, jaccard, katz, langid, linededup, mixing, quality, sharding,
-                            urlrules, vectors, warc)
+                            spelling, urlrules, vectors, warc)
 from ledgerlake.llm.common import fold, stash
 
 # (host, path, verdict) of the url contract
@@ -98,6 +98,12 @@ def op11_line_dedup(spark, sf_dir):
                       F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op12_spelling(spark, sf_dir):
+    """Words of 7 letters or more, seen twice or more, and the forms they vary."""
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), min_chars=7, min_count=2, damage=31)
+    return spelling.variants(stash(words, "spelling-words"), factor=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard": op2_jaccard,
@@ -110,4 +116,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_url_rules": op10_url_rules,
     "op11_line_dedup": op11_line_dedup,
+    "op12_spelling": op12_spelling,
 }
