@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import (decontaminate, jaccard, katz, langid, linededup, mixing, quality, sharding,
+from ledgerlake.llm import (alignment, decontaminate, jaccard, katz, langid, linededup, mixing, quality, sharding,
                             spelling, urlrules, vectors, warc)
 from ledgerlake.llm.common import fold, stash
 
@@ -104,6 +104,11 @@ def op12_spelling(spark, sf_dir):
     return spelling.variants(stash(words, "spelling-words"), factor=10)
 
 
+def op13_alignment(spark, sf_dir):
+    """Token links between two tokenizers, scored by how many documents hold them."""
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard": op2_jaccard,
@@ -117,4 +122,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_rules": op10_url_rules,
     "op11_line_dedup": op11_line_dedup,
     "op12_spelling": op12_spelling,
+    "op13_alignment": op13_alignment,
 }
