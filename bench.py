@@ -78,7 +78,7 @@ def main() -> None:
         rows[name] = build(spark, sf_dir).count()
     gold_counts = {}
     timings["gold_build"] = _median_time(
-        lambda: gold_counts.update(build_gold(spark, stored)), runs)
+        lambda: gold_counts.update(build_gold(stored)), runs)
     rows.update(gold_counts)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {

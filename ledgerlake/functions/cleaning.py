@@ -26,6 +26,11 @@ def _check(on_bad: str) -> None:
         raise ValueError(f"on_bad must be one of {_MODES}, got {on_bad!r}")
 
 
+def empty_to_null(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The empty string as NULL (a text of blanks stays)."""
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in columns})
+
+
 def trim_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Strip spaces (only spaces; tabs and newlines stay) in one projection."""
     return df.withColumns({c: F.trim(F.col(c)) for c in columns})

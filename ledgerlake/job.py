@@ -1,23 +1,28 @@
 """The weekly job, end to end, as one Spark application.
 
 Stages run in the reference's order -- bronze, silver/gold, windows, SQL, export,
-publish, consume -- but every hand-off is a stored table or folder under one
-run root in the shared checkpoint folder, and no stage collects data to the
-driver (only observed row counts come back):
+publish, consume -- but every hand-off is a stored table or folder, and no
+stage collects data to the driver (only observed row counts come back):
 
 1. landing: the three CSV extracts (given, or derived from ``sf_dir``);
-2. bronze: all-string scan + lineage columns, stored (D1-D3);
-3. silver: cleaned, deduplicated tables, stored (D4-D6);
+2. bronze: all-string scan + lineage columns, stored; lines that are not whole
+   are stored apart (D1-D3);
+3. silver: typed in one pass that writes good, dropped and rejected rows apart
+   and counts them; latest customers (D4-D6). ``on_bad`` says what a value
+   that can't be parsed does (``plans.quarantine``);
 4. gold: enriched fact + marts from the stored fact (D8-D13, D17, D18);
-5. data quality from the stored bronze tables: validation summary (D23),
-   duplicate keys, parse rejects, rows per order status (Q3);
+5. data quality: validation summary (D23) and parse rejects from the counts of
+   the silver writes, duplicate keys and rows per order status (Q3) from the
+   stored typed rows; no stage reads bronze a second time;
 6. the SQL forms over views of the stored tables (D19-D22), the comparison of
-   the two forms (Q4) and the gap between their definitions;
+   the two forms (Q4), in total and cell by cell, and the gap between their
+   definitions;
 7. export: gold extract to CSV (K4), re-read (S5), published (K5);
 8. consume: streaming drain of the topic into JSON lines (T2-T4).
 
-Optionally every stored table is registered in a catalog namespace
-(``CREATE SCHEMA`` + external tables), so ``spark.table("ns.t")`` works.
+With a catalog ``namespace`` all tables are versions of managed tables, switched
+in at the end (``sources.store.CatalogStore``): readers of the namespace see the
+last whole run until then. Without one they are folders under the run root.
 
     python -m ledgerlake.job --sf-dir /root/testdata/sf0.01 [--namespace retail]
 """
@@ -29,34 +34,28 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.concurrency import run_concurrently
 from ledgerlake.plans import sqlforms
-from ledgerlake.plans.bronze import EXTRACT_FILES, land_extracts, read_bronze
-from ledgerlake.plans.medallion import (StoredSilver, build_gold, build_silver, run_concurrently,
-                                       write_layer)
+from ledgerlake.plans.bronze import (EXTRACT_FILES, broken_lines, land_extracts, scan_bronze,
+                                     store_bronze)
+from ledgerlake.plans.medallion import REJECTED, Store, StoredSilver, build_gold, build_silver
 from ledgerlake.plans.quality import (duplicate_keys, parse_rejects, stage_counts,
                                      status_distribution)
-from ledgerlake.plans.silver import type_customers, type_orders, type_products
+from ledgerlake.plans.quarantine import MODES, ParseFailure
 from ledgerlake.session import cluster_conf, get_session, scratch_dir, stored_bytes
 from ledgerlake.sources.extracts import raw_extracts
-from ledgerlake.sources.landing import create_namespace
+from ledgerlake.sources.store import CatalogStore, PathStore
 from ledgerlake.streaming import events as ev
 
+BROKEN_LINES = "broken_lines"
 
-def register_tables(spark: SparkSession, namespace: str, root: str, tables: list[str],
-                    fmt: str = "parquet") -> None:
-    """K2 + K1: a namespace and one external table per stored folder."""
-    create_namespace(spark, namespace)
-    for t in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {namespace}.{t}")
-        spark.sql(f"CREATE TABLE {namespace}.{t} USING {fmt} LOCATION '{root}/{t}'")
 
-
-def sql_tables(spark: SparkSession, silver: StoredSilver, root: str, fmt: str) -> dict[str, DataFrame]:
+def sql_tables(spark: SparkSession, silver: StoredSilver) -> dict[str, DataFrame]:
     """Stage 6: each result of the SQL forms, over temporary views (K3)."""
-    value, stats = (spark.read.format(fmt).load(f"{root}/{t}")
-                    for t in ("gold_customer_value", "agg_category_month_stats"))
+    stats = silver.table("agg_category_month_stats")
     sqlforms.register({"silver_orders": silver.orders, "silver_customers": silver.customers,
-                       "silver_products": silver.products, "gold_customer_value": value,
+                       "silver_products": silver.products,
+                       "gold_customer_value": silver.table("gold_customer_value"),
                        "silver_sales_enriched": silver.enriched})
     completed = sqlforms.completed_orders_joined(spark)
     sqlforms.register({"completed_orders_joined": completed})
@@ -67,49 +66,59 @@ def sql_tables(spark: SparkSession, silver: StoredSilver, root: str, fmt: str) -
         "sql_product_rank": sqlforms.product_rank(spark),
         "sql_top_customers": sqlforms.top_customers(spark),
         "sql_vs_api_diff": sqlforms.sql_vs_api_diff(stats, sqlforms.category_month_stats_sql(spark)),
+        "sql_vs_api_cells": sqlforms.sql_vs_api_cells(stats, monthly),
         "definition_gap": sqlforms.definition_gap(stats, monthly),
     }
 
 
+def _store_all(store: Store, tables: dict[str, DataFrame]) -> dict[str, int]:
+    return run_concurrently({name: (lambda df=df, name=name: store.write(name, df)["rows"])
+                             for name, df in tables.items()})
+
+
 def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | None = None,
                root: str | None = None, namespace: str | None = None,
-               fmt: str = "parquet", files: dict[str, str] | None = None) -> dict:
+               fmt: str = "parquet", files: dict[str, str] | None = None,
+               on_bad: str = "fail", buckets: int | None = None) -> dict:
     """Run every stage; ``files`` maps customers / products / sales_orders to
-    their file names under ``landing`` when they differ from the defaults."""
+    their file names under ``landing`` when they differ from the defaults.
+
+    A strict run (``on_bad="fail"``) that meets values it can't parse stores
+    (and publishes) the broken lines and the reject rows, then raises
+    ``ParseFailure``; every other table keeps its last state.
+    """
     if sf_dir is None and landing is None:
         raise ValueError("give the landing folder or the provided-table folder")
     root = root or scratch_dir(spark, "weekly")
+    store: Store = (CatalogStore(spark, namespace, fmt, buckets=buckets) if namespace
+                    else PathStore(spark, root, fmt))
     if landing is None:
         landing = land_extracts(spark, raw_extracts(spark, sf_dir), f"{root}/landing")
     counts: dict[str, int] = {}
 
-    def store_bronze(name: str) -> int:
-        frame = read_bronze(spark, landing, name, file_name=(files or {}).get(name))
-        return int(write_layer(frame, f"{root}/bronze_{name}", fmt).get["rows"])
-
-    counts.update({f"bronze_{name}": n for name, n in run_concurrently({
-        name: (lambda name=name: store_bronze(name)) for name in EXTRACT_FILES}).items()})
-    bronze = {name: spark.read.format(fmt).load(f"{root}/bronze_{name}") for name in EXTRACT_FILES}
-
-    silver = build_silver(spark, bronze, root, fmt)
+    landed = run_concurrently({name: (lambda name=name: store_bronze(
+        store, scan_bronze(spark, landing, name, file_name=(files or {}).get(name)), name))
+        for name in EXTRACT_FILES})
+    counts.update({f"bronze_{name}": n["whole_rows"] for name, n in landed.items()})
+    counts[BROKEN_LINES] = store.write(BROKEN_LINES, broken_lines(store, list(EXTRACT_FILES)))["rows"]
+    bronze = {name: store.read(f"bronze_{name}") for name in EXTRACT_FILES}
+
+    try:
+        silver = build_silver(spark, bronze, on_bad=on_bad, store=store)
+    except ParseFailure:
+        store.publish([BROKEN_LINES, REJECTED])
+        raise
     counts.update(silver.counts)
-    counts.update(build_gold(spark, silver, root, fmt))
-
-    typed = (type_customers(bronze["customers"]), type_products(bronze["products"]),
-             type_orders(bronze["sales_orders"]))
-    derived = {
-        "validation_summary": stage_counts(*typed),
-        "duplicate_keys": duplicate_keys(*typed),
-        "parse_rejects": parse_rejects(bronze),
-        "status_distribution": status_distribution(typed[2]),
-        **sql_tables(spark, silver, root, fmt),
-    }
-    counts.update(run_concurrently({
-        name: (lambda df=df, name=name:
-               int(write_layer(df, f"{root}/{name}", fmt).get["rows"]))
-        for name, df in derived.items()}))
-
-    monthly = spark.read.format(fmt).load(f"{root}/gold_monthly_category_sales")
+    counts.update(build_gold(silver))
+    counts.update(_store_all(store, {
+        "validation_summary": stage_counts(silver.metrics, spark),
+        "parse_rejects": parse_rejects(silver.metrics, spark),
+        "duplicate_keys": duplicate_keys(*silver.typed),
+        "status_distribution": status_distribution(silver.typed[2]),
+        **sql_tables(spark, silver),
+    }))
+
+    monthly = silver.table("gold_monthly_category_sales")
     export = f"{root}/export/monthly_category_sales.csv"
     ev.export_gold_csv(monthly, export)
     topic, sink = f"{root}/topic", f"{root}/consumed_events"
@@ -117,10 +126,7 @@ def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | No
                                             topic)
     ev.consume(spark, topic, sink, f"{root}/_checkpoints/consumer").awaitTermination()
     counts["consumed_events"] = ev.read_consumed(spark, sink).count()
-
-    if namespace:
-        tables = [t for t in counts if t not in ("published_events", "consumed_events")]
-        register_tables(spark, namespace, root, tables, fmt)
+    store.publish()
     return {"root": root, "counts": counts}
 
 
@@ -129,7 +135,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--sf-dir", help="folder of the provided tables (extracts are derived)")
     ap.add_argument("--landing", help="folder holding the three CSV extracts")
     ap.add_argument("--root", help="run folder (default: new folder in spark.checkpoint.dir)")
-    ap.add_argument("--namespace", help="register every stored table in this schema")
+    ap.add_argument("--namespace", help="write versioned managed tables of this schema")
+    ap.add_argument("--on-bad", default="fail", choices=MODES,
+                    help="what a value that can't be parsed does")
+    ap.add_argument("--buckets", type=int,
+                    help="bucket customers and orders by customer (with --namespace)")
     ap.add_argument("--format", default="parquet", help="table format (parquet, delta, ...)")
     ap.add_argument("--files", default="",
                     help="landing file names, e.g. customers=customers_500.csv,products=...")
@@ -144,7 +154,8 @@ def main(argv: list[str] | None = None) -> None:
     for key, value in cluster_conf(input_bytes, spark.sparkContext.defaultParallelism).items():
         spark.conf.set(key, value)
     files = dict(kv.split("=", 1) for kv in a.files.split(",") if kv)
-    out = run_weekly(spark, a.sf_dir, a.landing, a.root, a.namespace, a.format, files)
+    out = run_weekly(spark, a.sf_dir, a.landing, a.root, a.namespace, a.format, files,
+                     a.on_bad, a.buckets)
     print(json.dumps(out))
 
 

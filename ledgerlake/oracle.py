@@ -318,6 +318,49 @@ RAW_CUSTOMER_ORDER = ", ".join(
      "signup_date", "date_of_birth", "updated_at", "loyalty_points"])
 
 
+CUSTOMER_FIELDS = ["customer_id", "customer_name", "email", "city", "state", "region",
+                   "customer_segment", "is_active", "signup_date", "date_of_birth", "updated_at",
+                   "loyalty_points"]
+
+
+def _parsed(c: str, kind: str) -> str:
+    """A text column parsed as the silver rules do; what can't be parsed is NULL."""
+    if kind == "date":
+        return f"try_strptime({c}, '%Y-%m-%d')"
+    if kind == "timestamp":
+        return f"try_strptime({c}, '%Y-%m-%d %H:%M:%S')"
+    if kind == "INTEGER":  # DuckDB would round 7.5
+        return f"CASE WHEN regexp_full_match(trim({c}), '[+-]?[0-9]+') THEN TRY_CAST({c} AS INTEGER) END"
+    return f"TRY_CAST({c} AS {kind})"
+
+
+def _damaged() -> str:
+    """The common part over extracts that hold malformed values; rows whose
+    values can't be parsed stay out of the casts' way through NULL."""
+    out = PREFIX
+    for table, columns in {
+        "raw_customers": {
+            "signup_date": "CASE WHEN email LIKE '%7@%' AND is_active = 'Y' THEN '31/12/2020' "
+                           "ELSE signup_date END",
+            "loyalty_points": "CASE WHEN email LIKE '%13@%' THEN loyalty_points || '.5' "
+                              "ELSE loyalty_points END"},
+        "raw_products": {
+            "launch_date": "CASE WHEN stock_quantity = '13' THEN '2015-02-30' ELSE launch_date END"},
+        "raw_orders": {
+            "order_timestamp": "CASE WHEN order_id LIKE '%77-_' THEN replace(order_timestamp, ' ', 'T') "
+                               "ELSE order_timestamp END",
+            "quantity": "CASE WHEN order_id LIKE '%5-3' THEN 'many' ELSE quantity END",
+            "discount_pct": "CASE WHEN order_id LIKE '%9-2' THEN discount_pct || '%' "
+                            "ELSE discount_pct END"},
+    }.items():
+        changed = ", ".join(f"{e} AS {c}" for c, e in columns.items())
+        out = out.replace(f"{table} AS (", f"whole_{table} AS (", 1)
+        out = out.replace("\ntyped_customers AS (",
+                          f"\n{table} AS (SELECT * REPLACE ({changed}) FROM whole_{table}),"
+                          "\ntyped_customers AS (", 1)
+    return out
+
+
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["clean_customers"] = _with() + " SELECT * FROM silver_customers"
@@ -362,7 +405,7 @@ def oracle_queries() -> dict[str, str]:
                 customer_name DESC NULLS LAST) AS rn
               FROM enriched) WHERE rn = 1"""
     q["latest_profile"] = _with() + f"""
-        SELECT * EXCLUDE (rn, ts) FROM (
+        SELECT * EXCLUDE (rn, ts), 'customers.csv' AS source_file FROM (
             SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY ts DESC NULLS LAST,
                 {RAW_CUSTOMER_ORDER}) AS rn
             FROM (SELECT *, {_ts('updated_at')} AS ts FROM raw_customers))
@@ -453,19 +496,63 @@ def oracle_queries() -> dict[str, str]:
     }
     for dataset, (table, cols) in parsed.items():
         for c, kind in cols.items():
-            if kind == "date":
-                parsed_expr = f"try_strptime({c}, '%Y-%m-%d')"
-            elif kind == "timestamp":
-                parsed_expr = f"try_strptime({c}, '%Y-%m-%d %H:%M:%S')"
-            else:
-                parsed_expr = f"TRY_CAST({c} AS {kind})"
             rejects.append(
                 f"SELECT '{dataset}' AS dataset, '{c}' AS column_name, CAST(COUNT(*) FILTER "
-                f"(WHERE {c} IS NOT NULL AND {parsed_expr} IS NULL) AS BIGINT) AS rejected_rows "
+                f"(WHERE {c} IS NOT NULL AND {_parsed(c, kind)} IS NULL) AS BIGINT) AS rejected_rows "
                 f"FROM {table}")
     q["parse_rejects"] = _with() + " " + " UNION ALL ".join(rejects)
+    q["quarantine_rejects"] = _damaged() + " " + " UNION ALL ".join(
+        f"""SELECT '{d}' AS dataset, trim({key}, ' ') AS row_key, '{c}' AS column_name,
+            {c} AS raw_value FROM {table} WHERE {c} IS NOT NULL AND {_parsed(c, kind)} IS NULL"""
+        for d, (table, cols) in parsed.items() for c, kind in cols.items()
+        for key in [{"customers": "customer_id", "products": "product_id"}.get(d, "order_id")])
+    bad_order = " OR ".join(f"({c} IS NOT NULL AND {_parsed(c, kind)} IS NULL)"
+                            for c, kind in parsed["sales_orders"][1].items())
+    q["quarantine_orders"] = _damaged().replace(
+        "FROM raw_orders", f"FROM (SELECT * FROM raw_orders WHERE NOT ({bad_order}))"
+    ) + " SELECT * FROM silver_orders"
+    q["landing_documents"] = """
+        SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents"""
+    line = "concat_ws(',', " + ", ".join(f"coalesce({c}, '')" for c in CUSTOMER_FIELDS) + ")"
+    q["landing_broken_lines"] = _with() + f"""
+        SELECT 'customers' AS dataset, 'customers.csv' AS source_file,
+            CASE WHEN email LIKE '%3@%' THEN array_to_string(string_split({line}, ',')[1:5], ',')
+                 ELSE {line} || ',extra,values' END AS raw_line
+        FROM raw_customers WHERE email LIKE '%3@%' OR email LIKE '%8@%'"""
+    q["incremental_landing"] = _with() + """
+        SELECT is_active, COUNT(*) AS rows FROM raw_customers GROUP BY is_active"""
+    q["sql_vs_api_cells"] = _with(MONTHLY, COMPLETED, SQL_MONTHLY) + """
+        , both_sides AS (
+            SELECT COALESCE(m.order_month, s.order_month) AS order_month,
+                COALESCE(m.category, s.category) AS category, m.order_count IS NOT NULL AS in_api,
+                s.order_count IS NOT NULL AS in_sql, m.order_count AS a1, s.order_count AS b1,
+                m.total_quantity AS a2, s.total_units AS b2, m.total_revenue AS a3,
+                s.total_revenue AS b3, m.avg_order_value AS a4, s.avg_order_value AS b4,
+                m.min_order_value AS a5, s.min_order_value AS b5, m.max_order_value AS a6,
+                s.max_order_value AS b6
+            FROM monthly m FULL OUTER JOIN sql_monthly s
+                ON m.order_month = s.order_month AND m.category = s.category)
+        """ + " UNION ALL ".join(
+        f"""SELECT order_month, category, '{c}' AS column_name, CAST(a{i} AS VARCHAR) AS left_value,
+            CAST(b{i} AS VARCHAR) AS right_value
+        FROM both_sides WHERE in_api AND in_sql AND a{i} IS DISTINCT FROM b{i}"""
+        for i, c in enumerate(["order_count", "total_quantity", "total_revenue", "avg_order_value",
+                               "min_order_value", "max_order_value"], 1)) + """
+        UNION ALL SELECT order_month, category, '(rows)', CASE WHEN in_api THEN '1' ELSE '0' END,
+            CASE WHEN in_sql THEN '1' ELSE '0' END
+        FROM both_sides WHERE NOT (in_api AND in_sql)"""
     q["status_distribution"] = _with() + """
         SELECT order_status, COUNT(*) AS count FROM typed_orders GROUP BY order_status"""
+    for name, order in {
+        "status_distribution": "order_status NULLS FIRST, count",
+        "monthly_category_sales": "order_month NULLS FIRST, category NULLS FIRST",
+        "city_sales": "total_revenue DESC NULLS LAST, city NULLS FIRST, state NULLS FIRST, "
+                      "region NULLS FIRST",
+        "customer_value": "lifetime_revenue DESC NULLS LAST, customer_id, customer_name, "
+                          "customer_segment, state",
+    }.items():
+        q[f"{name}_in_order"] = (f"SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) AS position "
+                                 f"FROM ({q[name]})")
     q["bronze_customers"] = _with() + """
         SELECT *, 'customers.csv' AS source_file FROM raw_customers"""
     q["bronze_products"] = _with() + """

@@ -8,12 +8,14 @@ a machine-local temp folder, so every executor of a cluster can read them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.plans.medallion import run_concurrently
+from ledgerlake.concurrency import run_concurrently
 from ledgerlake.schemas import EXTRACT_COLUMNS
 from ledgerlake.session import scratch_dir
-from ledgerlake.sources.landing import (add_bronze_metadata, read_csv_as_strings,
+from ledgerlake.sources.landing import (BROKEN, LINEAGE, scan_csv, whole_lines, with_lineage,
                                         write_csv)
+from ledgerlake.sources.store import KINDS, CatalogStore, PathStore
 
 EXTRACT_FILES = {
     "customers": "customers.csv",
@@ -32,9 +34,10 @@ def land_extracts(spark: SparkSession, extracts: dict[str, DataFrame],
     return landing
 
 
-def read_bronze(spark: SparkSession, landing: str, name: str,
-                literal_source: bool = True, file_name: str | None = None) -> DataFrame:
-    """One bronze frame: all-string scan + ``source_file`` + load time.
+def scan_bronze(spark: SparkSession, landing: str, name: str, literal_source: bool = True,
+                file_name: str | None = None, multi_line: bool = True) -> DataFrame:
+    """One landed extract as text with ``source_file`` and load time; broken
+    lines (see ``landing.scan_csv``) are still among the rows.
 
     Columns are taken by header name (any order; extra columns pass through,
     as in the reference), and the extract's expected columns must be there.
@@ -43,8 +46,30 @@ def read_bronze(spark: SparkSession, landing: str, name: str,
     ``file_name`` overrides the file or folder name under ``landing``.
     """
     file_name = file_name or EXTRACT_FILES[name]
-    raw = read_csv_as_strings(spark, f"{landing}/{file_name}")
-    missing = [c for c in EXTRACT_COLUMNS[name] if c not in raw.columns]
-    if missing:
-        raise ValueError(f"{file_name}: missing columns {missing}")
-    return raw.transform(add_bronze_metadata, file_name if literal_source else None)
+    rows = scan_csv(spark, f"{landing}/{file_name}", EXTRACT_COLUMNS[name], multi_line)
+    return with_lineage(rows, file_name if literal_source else None)
+
+
+def read_bronze(spark: SparkSession, landing: str, name: str, literal_source: bool = True,
+                file_name: str | None = None) -> DataFrame:
+    """The whole lines of ``scan_bronze``."""
+    return whole_lines(scan_bronze(spark, landing, name, literal_source, file_name))
+
+
+def store_bronze(store: PathStore | CatalogStore, rows: DataFrame, name: str) -> dict[str, int]:
+    """Write a scanned extract in one pass as ``bronze_<name>`` and, its
+    broken lines with their raw text, ``broken_<name>``; returns the counts."""
+    kind = F.array(F.when(F.col(BROKEN).isNull(), "whole").otherwise("broken"))
+    own = [c for c in rows.columns if c != BROKEN]
+    return store.write_split(f"landed_{name}", rows.withColumn(KINDS, kind), {
+        f"bronze_{name}": (["whole"], own), f"broken_{name}": (["broken"], [*LINEAGE, BROKEN])})
+
+
+def broken_lines(store: PathStore | CatalogStore, names: list[str]) -> DataFrame:
+    """Every line that was not whole: dataset, source_file, raw_line."""
+    out = None
+    for name in names:
+        rows = store.read(f"broken_{name}").select(
+            F.lit(name).alias("dataset"), "source_file", F.col(BROKEN).alias("raw_line"))
+        out = rows if out is None else out.unionAll(rows)
+    return out

@@ -1,13 +1,13 @@
 """Gold marts and window results over the enriched sales fact.
 
-No global ``orderBy`` is applied: these frames are written as tables or
-hashed by the checker, and a table has no row order. Sorting for display is
-``sorted_for_display``'s job.
+The builders apply no global ``orderBy``: a frame has no row order. Tables that
+are shown sorted are stored in that order (``SHOWN_ORDER``, ``operators.ordered``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerlake.operators.latest import keep_latest
 from ledgerlake.operators.measures import group_measures
@@ -108,14 +108,24 @@ def latest_customer_profile(customers_bronze: DataFrame) -> DataFrame:
     return keep_latest(df, ["customer_id"], [ts], tie_break=rest).drop(ts)
 
 
-def sorted_for_display(df: DataFrame, *cols) -> DataFrame:
-    """Presentation order only (K7 previews); never applied before a write."""
-    return df.orderBy(*cols)
+# O1-O3: the order in which each result is shown.
+SHOWN_ORDER = {
+    "status_distribution": ["order_status"],
+    "gold_monthly_category_sales": ["order_month", "category"],
+    "gold_city_sales": ["total_revenue desc"],
+    "gold_customer_value": ["lifetime_revenue desc"],
+}
+
+
+def preview(df: DataFrame, n: int = 5) -> list[str]:
+    """K7 + O4: the first ``n`` rows as JSON lines (``n`` rows reach the
+    driver; a scan stops after them)."""
+    return [r[0] for r in df.limit(n).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).collect()]
 
 
 __all__ = [
     "monthly_category_sales", "category_month_stats", "city_sales", "customer_value",
     "product_sales", "top_products_by_category", "product_rank_all",
     "customers_ranked_in_state", "running_revenue", "latest_order_per_customer",
-    "latest_customer_profile", "sorted_for_display", "running_total",
+    "latest_customer_profile", "preview", "running_total", "SHOWN_ORDER",
 ]

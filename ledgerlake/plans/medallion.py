@@ -11,71 +11,54 @@ Silver is written once and everything downstream reads the stored tables:
   on either join; with in-memory frames the dedup's partitioning would be
   reused and block that split.
 
-Tables are written unsorted (a table has no row order) straight from the
-tasks that compute them. Partitioning the enriched fact by ``order_month``
-is an option for month-bounded readers; it costs a full extra shuffle of
-the fact (to size the files per month), and no mart here filters by month,
-so it is off by default.
+Each extract is parsed once: one pass writes its silver rows, the rows the
+rules drop and the rejected ones apart (``plans.quarantine``) and counts what
+the quality report states. Marts the reference shows sorted are written in
+that order (``operators.ordered``), the others straight from the tasks that
+compute them.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from ledgerlake.concurrency import run_concurrently
+from ledgerlake.operators.ordered import sorted_rows
 from ledgerlake.plans import gold
-from ledgerlake.plans.silver import (clean_customers, clean_orders, clean_products, enrich,
-                                     financial_orders)
+from ledgerlake.plans import quarantine as qr
+from ledgerlake.plans.silver import dedup_customers, enrich, financial_orders, is_active
 from ledgerlake.session import scratch_dir
+from ledgerlake.sources.store import KINDS, CatalogStore, PathStore
 
-def write_layer(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: list[str] | None = None) -> Observation:
-    """Overwrite ``path`` with ``df``; the row count rides on the write (Q2)."""
-    obs = Observation(f"{path.rsplit('/', 1)[-1]}-{uuid.uuid4().hex[:8]}")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
-    return obs
-
-
-def run_concurrently(tasks: dict[str, Callable[[], int]], workers: int | None = None
-                     ) -> dict[str, int]:
-    """Submit independent write jobs from threads so the scheduler overlaps
-    them (one job's tail stages leave executors idle that the others use)."""
-    if not tasks:
-        return {}
-    with ThreadPoolExecutor(max_workers=workers or len(tasks)) as pool:
-        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
-        return {name: f.result() for name, f in futures.items()}
+Store = PathStore | CatalogStore
+ENRICHED = "silver_sales_enriched"
+REJECTED = "rejected_rows"
 
 
-def _write_task(df: DataFrame, path: str, fmt: str,
-                partition_by: list[str] | None = None) -> Callable[[], int]:
-    return lambda: int(write_layer(df, path, fmt, partition_by).get["rows"])
+def _write_task(store: Store, name: str, df: DataFrame) -> Callable[[], int]:
+    order = gold.SHOWN_ORDER.get(name)
+    return lambda: store.write(name, sorted_rows(df, order) if order else df)["rows"]
 
 
 @dataclass
 class StoredSilver:
-    """Silver tables in ``root``; every property is a fresh scan."""
+    """The silver tables of a store; every property is a fresh scan."""
 
-    spark: SparkSession
-    root: str
-    fmt: str = "parquet"
+    store: Store
     counts: dict[str, int] = field(default_factory=dict)
-    schemas: dict[str, StructType] = field(default_factory=dict)
+    # dataset -> what its write counted (see ``quarantine.write_metrics``)
+    metrics: dict[str, dict[str, int]] = field(default_factory=dict)
+
+    @property
+    def root(self) -> str:
+        return self.store.root
 
     def table(self, name: str) -> DataFrame:
-        reader = self.spark.read.format(self.fmt)
-        if name in self.schemas:  # known from the write: no footer/partition inference
-            reader = reader.schema(self.schemas[name])
-        return reader.load(f"{self.root}/{name}")
+        return self.store.read(name)
 
     @property
     def customers(self) -> DataFrame:
@@ -93,51 +76,64 @@ class StoredSilver:
     def financial_orders(self) -> DataFrame:
         return financial_orders(self.orders)
 
+    @property
+    def rejected(self) -> DataFrame:
+        """One row per value that could not be parsed."""
+        return self.table(REJECTED)
+
+    @property
+    def typed(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """All rows of customers, products and orders, typed, whatever became
+        of them."""
+        return tuple(self.table(t) for t in ("all_customers", "typed_products", "typed_sales_orders"))
+
     def join_enriched(self) -> DataFrame:
         """D8 from the three stored tables (fresh scans on both join sides)."""
         return enrich(self.financial_orders, self.products, self.customers)
 
     @property
     def enriched(self) -> DataFrame:
-        """The stored enriched fact (falls back to the join if not stored)."""
-        if ENRICHED in self.schemas:
-            return self.table(ENRICHED).select(*self.schemas[ENRICHED].fieldNames())
-        return self.join_enriched()
-
-
-ENRICHED = "silver_sales_enriched"
+        """The stored enriched fact."""
+        return self.table(ENRICHED)
 
 
 def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None = None,
-                 fmt: str = "parquet", on_bad: str = "fail",
-                 partition_fact_by_month: bool = False) -> StoredSilver:
-    """Clean the three bronze frames and store them (D4-D6), then store the
-    enriched fact joined from the stored tables (D8).
-
-    With ``partition_fact_by_month`` the fact is written partitioned by
-    ``order_month`` after a ``REBALANCE`` on it: AQE sizes the write tasks
-    (splitting a busy month, merging quiet ones), so each month gets a few
-    right-sized files instead of one small file per task and month.
+                 fmt: str = "parquet", on_bad: str = "fail", store: Store | None = None) -> StoredSilver:
+    """Type, split and store the three bronze frames (D4-D6, one pass each),
+    keep the latest customer versions, then store the enriched fact joined
+    from the stored tables (D8).
+
+    ``on_bad`` is a mode of ``plans.quarantine``; ``"fail"`` raises
+    ``ParseFailure`` once the reject rows are stored.
     """
-    root = root or scratch_dir(spark, "silver")
-    frames = {
-        "silver_customers": clean_customers(bronze["customers"], on_bad),
-        "silver_products": clean_products(bronze["products"], on_bad),
-        "silver_orders": clean_orders(bronze["sales_orders"], on_bad),
-    }
-    counts = run_concurrently({name: _write_task(df, f"{root}/{name}", fmt)
-                               for name, df in frames.items()})
-    schemas = {name: df.schema for name, df in frames.items()}
-    stored = StoredSilver(spark, root, fmt, counts, schemas)
-    fact = stored.join_enriched()
-    if partition_fact_by_month:
-        obs = write_layer(fact.hint("rebalance", "order_month"), f"{root}/{ENRICHED}", fmt,
-                          ["order_month"])
-    else:
-        obs = write_layer(fact, f"{root}/{ENRICHED}", fmt)
-    counts[ENRICHED] = int(obs.get["rows"])
-    schemas[ENRICHED] = fact.schema  # partition column stays a string (no inference)
-    return stored
+    store = store or PathStore(spark, root or scratch_dir(spark, "silver"), fmt)
+
+    def split(name: str) -> dict[str, int]:
+        rows = qr.typed_with_kinds(bronze[name], name, on_bad)
+        # orders and customers meet on the customer
+        bucket = "customer_id" if name == "sales_orders" else None
+        return store.write_split(f"split_{name}", rows, qr.parts(name, rows.columns),
+                                 qr.write_metrics(name), bucket)
+
+    metrics = run_concurrently({name: (lambda name=name: split(name)) for name in qr.DATASETS})
+    counts = {"silver_products": metrics["products"]["good_rows"],
+              "silver_orders": metrics["sales_orders"]["good_rows"]}
+    counts[REJECTED] = store.write(REJECTED, qr.reject_rows(
+        {name: store.read(f"rejected_{name}") for name in qr.DATASETS}))["rows"]
+    if on_bad == "fail" and (failures := qr.strict_failures(metrics)):
+        raise qr.ParseFailure(f"values that can't be parsed: {failures}; see {REJECTED}")
+
+    # customers: the latest version, counted, then the active ones
+    latest = dedup_customers(store.read(qr.DATASETS["customers"].silver))
+    kinds = F.array_compact(F.array(F.when(is_active(), "active")))
+    written = store.write_split("latest_customers", latest.withColumn(KINDS, kinds), {
+        "silver_customers": (["active"], latest.columns)}, bucket_by="customer_id")
+    metrics["customers"] |= {"valid_rows": written["rows"], "silver_rows": written["active_rows"]}
+    counts["silver_customers"] = written["active_rows"]
+
+    silver = StoredSilver(store, counts, metrics)
+    counts[ENRICHED] = store.write(ENRICHED, silver.join_enriched())["rows"]
+    return silver
 
 
 # Marts built from the stored enriched fact (each one scan of its columns).
@@ -161,19 +157,13 @@ MONTH_CATEGORY_MARTS = {
 }
 
 
-def build_gold(spark: SparkSession, silver: StoredSilver, root: str | None = None,
-               fmt: str = "parquet") -> dict[str, int]:
+def build_gold(silver: StoredSilver) -> dict[str, int]:
     """Every gold / agg table from the *stored* enriched fact; independent
     marts are written concurrently."""
-    root = root or silver.root
-    fact = silver.enriched
-    marts = {name: build(fact) for name, build in FACT_MARTS.items()}
-    counts = run_concurrently({name: _write_task(df, f"{root}/{name}", fmt)
-                               for name, df in marts.items()})
-    stats_name = "agg_category_month_stats"
-    stats = (spark.read.format(fmt).schema(marts[stats_name].schema)
-             .load(f"{root}/{stats_name}"))
+    store, fact = silver.store, silver.enriched
+    counts = run_concurrently({name: _write_task(store, name, build(fact))
+                               for name, build in FACT_MARTS.items()})
+    stats = store.read("agg_category_month_stats")
     counts.update(run_concurrently({
-        name: _write_task(build(stats), f"{root}/{name}", fmt)
-        for name, build in MONTH_CATEGORY_MARTS.items()}))
+        name: _write_task(store, name, build(stats)) for name, build in MONTH_CATEGORY_MARTS.items()}))
     return counts

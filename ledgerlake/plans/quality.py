@@ -1,71 +1,33 @@
-"""Data-quality results (Q1-Q3, D23) as distributed aggregates.
+"""Data-quality results.
 
-The reference prints ``count()`` after every step (one job each) and builds
-the summary from driver-side numbers. Here each dataset's counts come from
-one aggregate over its data, the three rows are unioned, and nothing is
-collected. Row counts of stored tables ride on their writes
-(``medallion.write_layer``), so logging costs no extra job.
+The reference prints ``count()`` after every step (one job each). Here the
+counts ride on the writes: each silver write observes its conditions
+(``quarantine.write_metrics``), so the summary and the parse rejects cost no
+pass over bronze. Duplicate keys and the status distribution are aggregates
+over one column of the stored typed rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.cleaning import cast_col, to_date_col, to_timestamp_col
-from ledgerlake.plans.silver import (CUSTOMER_VERSION_ORDER, has_quantity, has_valid_price,
-                                     is_financial)
-from ledgerlake.schemas import ACTIVE_FLAG
+from ledgerlake.plans.quarantine import PARSED_COLUMNS
 
 STAGE_COLUMNS = ["dataset", "bronze_rows", "after_dedup_or_validity_filter", "silver_rows"]
 
 
-def _row(dataset: str, agg: DataFrame) -> DataFrame:
-    return agg.select(F.lit(dataset).alias("dataset"),
-                      *[F.col(c).cast("bigint").alias(c) for c in STAGE_COLUMNS[1:]])
+def stage_counts(metrics: dict[str, dict[str, int]], spark: SparkSession) -> DataFrame:
+    """3 rows x 4 columns, from what the silver writes counted.
 
-
-def customer_stage_counts(typed_customers: DataFrame) -> DataFrame:
-    """bronze rows, rows after the latest-version dedup, active rows kept."""
-    # The same latest-version pick as silver (max of the ordered struct), with
-    # the version count riding along so the raw total needs no second scan.
-    per_key = typed_customers.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.max(F.struct(*CUSTOMER_VERSION_ORDER)).alias("__latest"))
-    agg = per_key.agg(
-        F.sum("__n").alias("bronze_rows"),
-        F.count(F.lit(1)).alias("after_dedup_or_validity_filter"),
-        F.count_if(F.col("__latest.is_active") == ACTIVE_FLAG).alias("silver_rows"))
-    return _row("customers", agg)
-
-
-def product_stage_counts(typed_products: DataFrame) -> DataFrame:
-    valid = has_valid_price()
-    agg = typed_products.agg(
-        F.count(F.lit(1)).alias("bronze_rows"),
-        F.count_if(valid).alias("after_dedup_or_validity_filter"),
-        F.count_if(valid & (F.col("active_flag") == ACTIVE_FLAG)).alias("silver_rows"))
-    return _row("products", agg)
-
-
-def order_stage_counts(typed_orders: DataFrame) -> DataFrame:
-    """``silver_rows`` counts the financial subset (as the reference's summary
-    does), although the stored silver_orders table keeps every status."""
-    qty_ok = has_quantity()
-    fin = qty_ok & is_financial()
-    agg = typed_orders.agg(
-        F.count(F.lit(1)).alias("bronze_rows"),
-        F.count_if(qty_ok).alias("after_dedup_or_validity_filter"),
-        F.count_if(fin).alias("silver_rows"))
-    return _row("orders", agg)
-
-
-def stage_counts(typed_customers: DataFrame, typed_products: DataFrame,
-                 typed_orders: DataFrame) -> DataFrame:
-    """3 rows x 4 columns."""
-    return (customer_stage_counts(typed_customers)
-            .unionByName(product_stage_counts(typed_products))
-            .unionByName(order_stage_counts(typed_orders)))
+    ``silver_rows`` of orders counts the financial subset (as the reference's
+    summary does), although the stored silver_orders table keeps every status.
+    """
+    rows = [(label, m["rows"], m["valid_rows"], m["silver_rows"])
+            for label, m in (("customers", metrics["customers"]), ("products", metrics["products"]),
+                             ("orders", metrics["sales_orders"]))]
+    return spark.createDataFrame(rows, ", ".join(
+        [f"{STAGE_COLUMNS[0]} string", *[f"{c} bigint" for c in STAGE_COLUMNS[1:]]]))
 
 
 def duplicate_key_counts(dataset: str, typed: DataFrame, key: str) -> DataFrame:
@@ -96,56 +58,12 @@ def duplicate_keys(typed_customers: DataFrame, typed_products: DataFrame,
             .unionByName(duplicate_key_counts("orders", typed_orders, "order_id")))
 
 
-# How each typed column is parsed from its raw text (the silver rules).
-PARSED_COLUMNS = {
-    "customers": {"signup_date": "date", "date_of_birth": "date", "updated_at": "timestamp",
-                  "loyalty_points": "int"},
-    "products": {"unit_price": "decimal(12,2)", "cost_price": "decimal(12,2)",
-                 "stock_quantity": "int", "launch_date": "date", "product_rating": "double"},
-    "sales_orders": {"order_timestamp": "timestamp", "promised_delivery_date": "date",
-                     "actual_delivery_date": "date", "quantity": "int",
-                     "discount_pct": "decimal(5,2)"},
-}
-
-
-def _lenient(c: str, kind: str):
-    if kind == "date":
-        return to_date_col(c, "null")
-    if kind == "timestamp":
-        return to_timestamp_col(c, "null")
-    return cast_col(c, kind, "null")
-
-
-def parse_rejects(bronze: dict[str, DataFrame]) -> DataFrame:
-    """Per dataset and column: raw values present but not parseable.
-
-    These are the rows that fail the job under ``on_bad="fail"`` (or become
-    NULL prices, which the validity rule drops). One global aggregate per
-    dataset -- a count per column, combined map-side -- unpivoted to
-    (dataset, column_name, rejected_rows).
-    """
-    parts = []
-    for dataset, cols in PARSED_COLUMNS.items():
-        counts = bronze[dataset].agg(*[
-            F.count_if(F.col(c).isNotNull() & _lenient(c, kind).isNull()).alias(c)
-            for c, kind in cols.items()])
-        parts.append(counts.unpivot([], list(cols), "column_name", "rejected_rows")
-                     .select(F.lit(dataset).alias("dataset"), "column_name",
-                             F.col("rejected_rows").cast("bigint").alias("rejected_rows")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def rejected_rows(bronze: DataFrame, dataset: str) -> DataFrame:
-    """The raw rows of ``dataset`` that a strict parse would fail on, with the
-    offending column names in ``reject_reasons`` (a row-level filter, no
-    shuffle), to route aside when running with ``on_bad="null"``."""
-    reasons = F.array_compact(F.array(*[
-        F.when(F.col(c).isNotNull() & _lenient(c, kind).isNull(), F.lit(c))
-        for c, kind in PARSED_COLUMNS[dataset].items()]))
-    return bronze.withColumn("reject_reasons", reasons).filter(F.size("reject_reasons") > 0)
+def parse_rejects(metrics: dict[str, dict[str, int]], spark: SparkSession) -> DataFrame:
+    """Per dataset and column: values present but not parseable, as counted by
+    the one write of each dataset (no pass of its own)."""
+    rows = [(dataset, c, metrics[dataset][f"bad_{c}"])
+            for dataset, columns in PARSED_COLUMNS.items() for c in columns]
+    return spark.createDataFrame(rows, "dataset string, column_name string, rejected_rows bigint")
 
 
 def status_distribution(typed_orders: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ Rules (same as the reference pipeline):
 * enriched: financial orders x products (product_id) x customers
   (customer_id), inner joins, 30 columns with derived money and delivery.
 
-Extra input columns (e.g. bronze lineage) pass through the cleaning steps.
+Bronze keeps an empty string apart from NULL; the cleaning rules, like the
+reference's CSV reader, take it as NULL. Extra input columns (e.g. bronze lineage) pass through the cleaning steps.
 Joins carry no hints: AQE broadcasts a dimension only when its runtime size
 is under the threshold. Over stored silver tables (``plans.medallion``) both
 join inputs are fresh shuffles and AQE splits a skewed key.
@@ -27,14 +28,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.cleaning import (blank_to_default, cast_col, safe_decimal,
+from ledgerlake.functions.cleaning import (blank_to_default, cast_col, empty_to_null, safe_decimal,
                                            to_date_col, to_timestamp_col, trim_columns)
 from ledgerlake.functions.money import (discount_amount, gross_amount, net_amount,
                                         unit_profit)
 from ledgerlake.operators.latest import keep_latest
 from ledgerlake.schemas import (ACTIVE_FLAG, CUSTOMER_COLUMNS, MONTH_PATTERN,
-                                NON_FINANCIAL_STATUSES)
+                                NON_FINANCIAL_STATUSES, ORDER_COLUMNS, PRODUCT_COLUMNS)
 
+# The text columns each dataset trims.
 CUSTOMER_TRIM = ["customer_id", "customer_name", "email", "city", "state", "region",
                  "customer_segment", "is_active"]
 PRODUCT_TRIM = ["product_id", "product_name", "category", "subcategory", "supplier_name",
@@ -42,9 +44,10 @@ PRODUCT_TRIM = ["product_id", "product_name", "category", "subcategory", "suppli
 ORDER_TRIM = ["order_id", "customer_id", "product_id", "payment_method", "order_status",
               "sales_channel", "warehouse_id"]
 
+
 # ---------------------------------------------------------------- customers
 def type_customers(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
-    df = trim_columns(bronze, CUSTOMER_TRIM)
+    df = trim_columns(empty_to_null(bronze, CUSTOMER_COLUMNS), CUSTOMER_TRIM)
     return df.withColumns({
         "customer_name": F.initcap("customer_name"),
         "city": blank_to_default("city"),
@@ -72,15 +75,19 @@ def dedup_customers(typed: DataFrame) -> DataFrame:
                        tie_break=CUSTOMER_VERSION_ORDER[1:])
 
 
+def is_active():
+    return F.col("is_active") == ACTIVE_FLAG
+
+
 def clean_customers(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     """silver_customers."""
     latest = dedup_customers(type_customers(bronze, on_bad))
-    return latest.filter(F.col("is_active") == ACTIVE_FLAG)
+    return latest.filter(is_active())
 
 
 # ----------------------------------------------------------------- products
 def type_products(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
-    df = trim_columns(bronze, PRODUCT_TRIM)
+    df = trim_columns(empty_to_null(bronze, PRODUCT_COLUMNS), PRODUCT_TRIM)
     return df.withColumns({
         "product_name": F.initcap("product_name"),
         "category": F.initcap("category"),
@@ -112,7 +119,7 @@ def clean_products(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
 
 # ------------------------------------------------------------------- orders
 def type_orders(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
-    df = trim_columns(bronze, ORDER_TRIM)
+    df = trim_columns(empty_to_null(bronze, ORDER_COLUMNS), ORDER_TRIM)
     return df.withColumns({
         "order_timestamp": to_timestamp_col("order_timestamp", on_bad),
         "promised_delivery_date": to_date_col("promised_delivery_date", on_bad),

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.money import sql_net_amount_expr
-from ledgerlake.operators.diff import compare_counts
+from ledgerlake.operators.diff import compare_counts, keyed_diff
 from ledgerlake.operators.measures import grouped_select
 from ledgerlake.schemas import COMPLETED_STATUS, MONTH_PATTERN
 
@@ -98,6 +98,14 @@ def sql_vs_api_diff(api: DataFrame, sql: DataFrame) -> DataFrame:
     return compare_counts(api, sql.select(*api.columns), "api", "sql")
 
 
+def sql_vs_api_cells(api_stats: DataFrame, sql_summary: DataFrame) -> DataFrame:
+    """Q4, cell by cell: where the SQL monthly summary and the DataFrame marts
+    (two definitions, see above) show different values for a month and category."""
+    keys = ["order_month", "category"]
+    sql = sql_summary.withColumn("total_quantity", F.col("total_units")).drop("total_units")
+    return keyed_diff(api_stats, sql, keys, [c for c in api_stats.columns if c not in keys])
+
+
 def definition_gap(api_stats: DataFrame, sql_summary: DataFrame) -> DataFrame:
     """Order count and revenue per month/category under the two definitions.
 

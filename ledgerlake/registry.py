@@ -15,20 +15,24 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import gold, quality, sqlforms
-from ledgerlake.plans.bronze import EXTRACT_FILES, land_extracts, read_bronze
-from ledgerlake.plans.medallion import StoredSilver, build_silver, write_layer
-from ledgerlake.plans.silver import type_customers, type_orders, type_products
-from ledgerlake.schemas import EXTRACT_COLUMNS
+from ledgerlake.operators.ordered import in_stored_order, sorted_rows
+from ledgerlake.plans.bronze import (EXTRACT_FILES, broken_lines, land_extracts, read_bronze,
+                                     scan_bronze, store_bronze)
+from ledgerlake.plans.medallion import StoredSilver, build_silver
+from ledgerlake.schemas import CUSTOMER_COLUMNS, EXTRACT_COLUMNS
 from ledgerlake.session import app_id, input_state, run_dir, scratch_dir
-from ledgerlake.sources.extracts import (customers_extract, orders_extract, products_extract,
-                                        raw_extracts)
-from ledgerlake.sources.landing import source_manifest
+from ledgerlake.sources.extracts import (broken_lines_extract, customers_extract, damaged_extracts,
+                                        orders_extract, products_extract, raw_extracts, read_table)
+from ledgerlake.sources.landing import scan_csv, source_manifest, whole_lines, write_csv
+from ledgerlake.sources.ledger import Landing
+from ledgerlake.sources.store import CatalogStore, PathStore
 from ledgerlake.streaming import events as ev
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,9 +41,10 @@ _STORED: dict[tuple[str, str], tuple[int, StoredSilver]] = {}
 _LOCK = threading.Lock()
 
 
-def landed_bronze(spark: SparkSession, sf_dir: str, landing: str) -> dict[str, DataFrame]:
+def landed_bronze(spark: SparkSession, sf_dir: str, landing: str,
+                  extracts: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The three extracts landed as CSV under ``landing`` and read back."""
-    land_extracts(spark, raw_extracts(spark, sf_dir), landing)
+    land_extracts(spark, extracts or raw_extracts(spark, sf_dir), landing)
     return {name: read_bronze(spark, landing, name).select(*EXTRACT_COLUMNS[name])
             for name in EXTRACT_FILES}
 
@@ -146,7 +151,9 @@ def q_latest_order_per_customer(spark, sf_dir):
 
 
 def q_latest_profile(spark, sf_dir):
-    return gold.latest_customer_profile(customers_extract(spark, sf_dir))
+    """D14 from the stored bronze table, with its lineage (without the load
+    time, which differs per run)."""
+    return gold.latest_customer_profile(_bronze(spark, sf_dir, "customers"))
 
 
 def q_sql_completed_orders(spark, sf_dir):
@@ -184,25 +191,95 @@ def q_definition_gap(spark, sf_dir):
 
 
 def q_stage_counts(spark, sf_dir):
-    ex = raw_extracts(spark, sf_dir)
-    return quality.stage_counts(type_customers(ex["customers"]),
-                                type_products(ex["products"]),
-                                type_orders(ex["sales_orders"]))
+    """What the silver writes counted on the way."""
+    return quality.stage_counts(silver(spark, sf_dir).metrics, spark)
 
 
 def q_duplicate_keys(spark, sf_dir):
-    ex = raw_extracts(spark, sf_dir)
-    return quality.duplicate_keys(type_customers(ex["customers"]),
-                                  type_products(ex["products"]),
-                                  type_orders(ex["sales_orders"]))
+    return quality.duplicate_keys(*silver(spark, sf_dir).typed)
 
 
 def q_parse_rejects(spark, sf_dir):
-    return quality.parse_rejects(raw_extracts(spark, sf_dir))
+    """What the silver writes counted on the way."""
+    return quality.parse_rejects(silver(spark, sf_dir).metrics, spark)
 
 
 def q_status_distribution(spark, sf_dir):
-    return quality.status_distribution(type_orders(orders_extract(spark, sf_dir)))
+    return quality.status_distribution(silver(spark, sf_dir).typed[2])
+
+
+def _quarantined(spark, sf_dir) -> StoredSilver:
+    """Silver in quarantine mode from extracts that hold malformed values."""
+    root = scratch_dir(spark, "quarantine")
+    bronze = landed_bronze(spark, sf_dir, f"{root}/landing", damaged_extracts(spark, sf_dir))
+    return build_silver(spark, bronze, root, on_bad="quarantine")
+
+
+def q_quarantine_rejects(spark, sf_dir):
+    """One row per value that can't be parsed, with its column and text."""
+    return _quarantined(spark, sf_dir).rejected.drop("source_file")
+
+
+def q_quarantine_orders(spark, sf_dir):
+    """The silver orders that are left once bad rows are set aside."""
+    return _quarantined(spark, sf_dir).orders
+
+
+def q_landing_documents(spark, sf_dir):
+    """Texts with line breaks, quotes, separators and empty values landed
+    as CSV and read back as text."""
+    path = f"{scratch_dir(spark, 'landing-documents')}/documents.csv"
+    docs = read_table(spark, sf_dir, "documents")
+    write_csv(docs.select(*[F.col(c).cast("string") for c in ("doc_id", "text", "lang", "source")]), path)
+    return whole_lines(scan_csv(spark, path, ["doc_id", "text"]))
+
+
+def q_landing_broken_lines(spark, sf_dir):
+    """Lines with too few or too many values, stored apart from bronze
+    with their raw text."""
+    root = scratch_dir(spark, "landing-broken")
+    broken_lines_extract(spark, sf_dir, f"{root}/customers.csv")
+    store = PathStore(spark, root)
+    store_bronze(store, scan_bronze(spark, root, "customers"), "customers")
+    return broken_lines(store, ["customers"])
+
+
+def q_incremental_landing(spark, sf_dir):
+    """S8 + D1: two drops of the customers extract into one folder, the ledger
+    loading each file once; the rows per active flag of all loads."""
+    root = scratch_dir(spark, "incremental")
+    landing, folder = Landing(spark, root), f"{root}/in"
+    rows = customers_extract(spark, sf_dir)
+    late = F.crc32(F.col("customer_id")) % 2 == 1
+    for drop in (rows.filter(~late), rows.filter(late)):
+        write_csv(drop, folder, mode="append")
+        landing.load("customers", folder, CUSTOMER_COLUMNS)
+    landing.load("customers", folder, CUSTOMER_COLUMNS)  # nothing is new
+    return landing.read_loaded("customers", CUSTOMER_COLUMNS).groupBy("is_active").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+def _in_order(spark, name: str, df: DataFrame) -> DataFrame:
+    """O1-O3: stored in its shown order, read back with each row's place."""
+    store = PathStore(spark, scratch_dir(spark, f"ordered-{name}"))
+    store.write(name, sorted_rows(df, gold.SHOWN_ORDER[name]))
+    return in_stored_order(store.read(name))
+
+
+def q_status_distribution_in_order(spark, sf_dir):
+    return _in_order(spark, "status_distribution", q_status_distribution(spark, sf_dir))
+
+
+def q_monthly_category_sales_in_order(spark, sf_dir):
+    return _in_order(spark, "gold_monthly_category_sales", q_monthly_category_sales(spark, sf_dir))
+
+
+def q_city_sales_in_order(spark, sf_dir):
+    return _in_order(spark, "gold_city_sales", q_city_sales(spark, sf_dir))
+
+
+def q_customer_value_in_order(spark, sf_dir):
+    return _in_order(spark, "gold_customer_value", q_customer_value(spark, sf_dir))
 
 
 def _landing(spark, sf_dir, name="sales_orders") -> str:
@@ -218,10 +295,9 @@ def _bronze(spark, sf_dir, name):
     """An extract landed as CSV, read back all-string and tagged, stored
     as the bronze table and read back (without the load time, which differs
     per run)."""
-    bronze = read_bronze(spark, _landing(spark, sf_dir, name), name)
-    table = f"{run_dir(spark, 'bronze', os.path.abspath(sf_dir))}/bronze_{name}"
-    write_layer(bronze, table)
-    return spark.read.schema(bronze.schema).parquet(table).drop("ingestion_timestamp")
+    store = PathStore(spark, run_dir(spark, "bronze", os.path.abspath(sf_dir)))
+    store_bronze(store, scan_bronze(spark, _landing(spark, sf_dir, name), name), name)
+    return store.read(f"bronze_{name}").drop("ingestion_timestamp")
 
 
 def q_bronze_customers(spark, sf_dir):
@@ -271,19 +347,26 @@ def q_sales_events_stream(spark, sf_dir):
     return ev.read_consumed(spark, sink)
 
 
+def q_sql_vs_api_cells(spark, sf_dir):
+    completed = _completed_view(spark, sf_dir)
+    return sqlforms.sql_vs_api_cells(gold.category_month_stats(enriched(spark, sf_dir)),
+                                     sqlforms.monthly_summary(spark, completed))
+
+
 def q_consumed_latest_events(spark, sf_dir):
     """Two weekly runs publish the same event ids, the first with larger
-    totals, and one drain appends both copies to the raw log; the latest view
-    keeps the second run's row per event id."""
+    totals; each drain merges its batch into the keyed table, which keeps the
+    second run's row per event id."""
     root = scratch_dir(spark, "events-latest")
-    topic, sink, ckpt = f"{root}/topic", f"{root}/consumed", f"{root}/checkpoint"
+    store = CatalogStore(spark, f"events_{uuid.uuid4().hex[:12]}", location=f"{root}/tables")
+    topic, ckpt = f"{root}/topic", f"{root}/checkpoint"
     events = q_sales_events(spark, sf_dir)
     earlier = events.withColumns({"order_count": F.col("order_count") + 1,
                                   "total_revenue": F.col("total_revenue") + 100.0})
     for batch in (earlier, events):
         ev.publish(batch, topic)
-    ev.consume(spark, topic, sink, ckpt).awaitTermination()
-    return ev.latest_events(ev.read_log(spark, sink))
+        ev.maintain_latest(spark, topic, store, ckpt).awaitTermination()
+    return ev.read_latest(store)
 
 
 QUERIES: dict[str, Query] = {
@@ -312,6 +395,16 @@ QUERIES: dict[str, Query] = {
     "status_distribution": q_status_distribution,
     "duplicate_keys": q_duplicate_keys,
     "parse_rejects": q_parse_rejects,
+    "quarantine_rejects": q_quarantine_rejects,
+    "quarantine_orders": q_quarantine_orders,
+    "landing_documents": q_landing_documents,
+    "landing_broken_lines": q_landing_broken_lines,
+    "incremental_landing": q_incremental_landing,
+    "status_distribution_in_order": q_status_distribution_in_order,
+    "monthly_category_sales_in_order": q_monthly_category_sales_in_order,
+    "city_sales_in_order": q_city_sales_in_order,
+    "customer_value_in_order": q_customer_value_in_order,
+    "sql_vs_api_cells": q_sql_vs_api_cells,
     "bronze_customers": q_bronze_customers,
     "bronze_products": q_bronze_products,
     "bronze_roundtrip": q_bronze_roundtrip,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The columns of the three extracts.
 CUSTOMER_COLUMNS = [
     "customer_id", "customer_name", "email", "city", "state", "region",
     "customer_segment", "is_active", "signup_date", "date_of_birth",
@@ -38,6 +39,7 @@ def all_string(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+# Schemas of the extracts as text.
 CUSTOMERS_RAW = all_string(CUSTOMER_COLUMNS)
 PRODUCTS_RAW = all_string(PRODUCT_COLUMNS)
 ORDERS_RAW = all_string(ORDER_COLUMNS)

@@ -158,3 +158,46 @@ def raw_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "products": products_extract(spark, sf_dir),
         "sales_orders": orders_extract(spark, sf_dir),
     }
+
+
+# Malformed values on top of the extracts, for the quarantine.
+DAMAGE = {
+    "customers": {
+        "signup_date": "CASE WHEN email LIKE '%7@%' AND is_active = 'Y' THEN '31/12/2020' "
+                       "ELSE signup_date END",
+        "loyalty_points": "CASE WHEN email LIKE '%13@%' THEN concat(loyalty_points, '.5') "
+                          "ELSE loyalty_points END",
+    },
+    "products": {
+        "launch_date": "CASE WHEN stock_quantity = '13' THEN '2015-02-30' ELSE launch_date END",
+    },
+    "sales_orders": {
+        "order_timestamp": "CASE WHEN order_id LIKE '%77-_' THEN replace(order_timestamp, ' ', 'T') "
+                           "ELSE order_timestamp END",
+        "quantity": "CASE WHEN order_id LIKE '%5-3' THEN 'many' ELSE quantity END",
+        "discount_pct": "CASE WHEN order_id LIKE '%9-2' THEN concat(discount_pct, '%') "
+                        "ELSE discount_pct END",
+    },
+}
+
+
+def damaged_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The extracts with values a strict parse fails on."""
+    return {name: df.withColumns({c: F.expr(e) for c, e in DAMAGE[name].items()})
+            for name, df in raw_extracts(spark, sf_dir).items()}
+
+
+def broken_lines_extract(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Land the customers extract as raw lines, some short or long.
+
+    A line is written as it is: one column whose name is the header line, in
+    a dialect without quotes and with a separator that no value holds.
+    """
+    rows = customers_extract(spark, sf_dir)
+    line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in CUSTOMER_COLUMNS])
+    line = (F.when(F.col("email").like("%3@%"), F.substring_index(line, ",", 5))
+            .when(F.col("email").like("%8@%"), F.concat(line, F.lit(",extra,values")))
+            .otherwise(line))
+    (rows.select(line.alias(",".join(CUSTOMER_COLUMNS))).write.mode("overwrite")
+     .options(header="true", sep="\u0001", quote="\u0000", escape="\u0000",
+              ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path))

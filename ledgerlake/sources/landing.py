@@ -1,65 +1,89 @@
-"""Landing-zone IO: all-string CSV scans, bronze tagging, table and CSV sinks.
-
-Formats are parameters: managed tables default to Parquet here (a Delta jar
-is not on this classpath) and take ``format="delta"`` on a cluster that has
-one. Nothing is collected to the driver.
+"""The landing zone: CSV files in and out, every value as text.
+
+Files follow RFC 4180: values may be quoted, a quote inside one is doubled,
+line breaks, separators and backslashes inside quotes are text. An unquoted
+nothing is NULL, a quoted nothing is the empty string. A line with more or
+fewer values than the header is not guessed at: it comes with its raw text in
+``BROKEN`` and can be written apart.
+
+Quoted line breaks need ``multi_line`` (the default), which reads a file in one
+task, so large extracts should be landed as many files; plain files without
+quoted breaks can be split inside with ``multi_line=False``. A quote that is
+opened and never closed takes the rest of its file into one value.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-# CSV options used for both writing and reading landing files: keep padding
-# (the writer strips leading/trailing blanks by default) and keep the header.
-CSV_WRITE_OPTIONS = {
-    "header": "true",
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
+
+from ledgerlake.schemas import all_string
+
+BROKEN = "_broken_line"
+LINEAGE = ("source_file", "ingestion_timestamp")
+# stands for "no value" while a file is parsed, so that "" can be a value
+_ABSENT = "\u0001"
+_DIALECT = {
+    "header": "true", "quote": '"', "escape": '"',
+    # padding belongs to the values (both defaults strip on write)
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
-CSV_READ_OPTIONS = {
-    "header": "true",
-    "inferSchema": "false",
-    # a file whose header differs from the scan's columns raises on a full read
+_READ = {
+    **_DIALECT, "mode": "PERMISSIVE", "nullValue": _ABSENT, "emptyValue": "",
+    # every file's own header must name the columns of the scan
     "enforceSchema": "false",
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
+    # a line can only be counted if all of it is parsed
+    "columnPruning": "false",
 }
 
 
-def read_csv_as_strings(spark: SparkSession, path: str,
-                        schema: StructType | None = None) -> DataFrame:
-    """Header on, no inference, every column string.
+def header_columns(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> list[str]:
+    """Column names from the first line (no value is read, nothing inferred)."""
+    return spark.read.options(**_READ, multiLine=multi_line).csv(path).columns
 
-    Without ``schema`` the header names the columns (Spark reads only the
-    first line for that, since nothing is inferred); an explicit all-string
-    ``schema`` maps columns by position instead.
+
+def scan_csv(spark: SparkSession, path: str | list[str], required: Iterable[str] = (),
+             multi_line: bool = True) -> DataFrame:
+    """The header's columns as strings plus ``BROKEN``: the raw text of a
+    line whose number of values differs from the header's, else NULL.
+
+    Raises if a ``required`` column is missing from the header; other columns
+    pass through.
     """
-    reader = spark.read.options(**CSV_READ_OPTIONS)
-    if schema is not None:
-        reader = reader.schema(schema)
-    raw = reader.csv(path)
-    return raw.select([F.col(c).cast("string").alias(c) for c in raw.columns])
+    names = header_columns(spark, path, multi_line)
+    missing = [c for c in required if c not in names]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    return (spark.read.options(**_READ, multiLine=multi_line, columnNameOfCorruptRecord=BROKEN)
+            .schema(all_string([*names, BROKEN])).csv(path))
 
 
-def add_bronze_metadata(df: DataFrame, source_file: str | None = None) -> DataFrame:
-    """P2 + P3: lineage columns.
+def whole_lines(scanned: DataFrame) -> DataFrame:
+    """The rows whose line had one value for each column."""
+    # Spark refuses scans of which only the broken line is used (a bare count
+    # would be one), so the test names the first column: nullif(x, x) is NULL
+    first = F.col(scanned.columns[0])
+    return scanned.filter(F.coalesce(F.col(BROKEN), F.nullif(first, first)).isNull()).drop(BROKEN)
 
-    ``source_file`` given: a literal (as the reference tags each extract).
-    Otherwise the real file name of every row from the ``_metadata`` column,
-    which only file-based sources carry.
-    """
-    src = F.lit(source_file) if source_file is not None else F.col("_metadata.file_name")
-    return df.withColumns({
-        "source_file": src,
-        "ingestion_timestamp": F.current_timestamp(),
-    })
+
+def broken_only(scanned: DataFrame) -> DataFrame:
+    """The other rows: their raw text in ``BROKEN``."""
+    first = F.col(scanned.columns[0])
+    return scanned.filter(F.coalesce(F.col(BROKEN), F.nullif(first, first)).isNotNull())
+
+
+def with_lineage(df: DataFrame, file_label: str | None = None) -> DataFrame:
+    """P2 + P3: where a row came from and when. Without ``file_label`` the name
+    of the row's own file (file scans only)."""
+    origin = F.col("_metadata.file_name") if file_label is None else F.lit(file_label)
+    return df.select("*", origin.alias(LINEAGE[0]), F.current_timestamp().alias(LINEAGE[1]))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Land a frame as header CSV, padding preserved (one file per partition)."""
-    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+    df.write.mode(mode).options(**_DIALECT).csv(path)
 
 
 def export_csv(df: DataFrame, path: str, rename: dict[str, str] | None = None) -> None:
@@ -69,30 +93,13 @@ def export_csv(df: DataFrame, path: str, rename: dict[str, str] | None = None) -
     write_csv(df, path)
 
 
-def write_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None, path: str | None = None) -> None:
-    """K1: full-overwrite managed (or path-backed) table. No global sort first:
-    a table has no row order, so sorting before a write is wasted work."""
-    w = df.write.mode(mode).format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if path is not None:
-        w = w.option("path", path)
-    w.saveAsTable(name)
-
-
-def create_namespace(spark: SparkSession, namespace: str) -> None:
-    """K2."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
-
-
-def source_manifest(spark: SparkSession, path: str) -> DataFrame:
+def source_manifest(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """One row per landed file with its row count, size and mtime.
 
     Distributed: a group-by over the ``_metadata`` column of the CSV scan,
-    so listing a landing folder of any size never runs on the driver.
+    so the rows of a landing folder of any size are never counted on the driver.
     """
-    scan = spark.read.options(**CSV_READ_OPTIONS).csv(path)
+    scan = spark.read.options(**_READ, multiLine=multi_line).csv(path)
     return (scan.select("_metadata.file_name", "_metadata.file_size",
                         "_metadata.file_modification_time")
             .groupBy("file_name", "file_size", "file_modification_time")

@@ -8,7 +8,8 @@ Consume (T2-T4, D25) is a Structured Streaming query: read the topic,
 decode ``value`` with an explicit schema, append JSON lines to a file sink.
 ``trigger(availableNow=True)`` drains what is there and stops (the bounded
 drain), and the checkpoint records the position, so a second run appends
-nothing (exactly-once into the file sink).
+nothing (exactly-once into the file sink). ``maintain_latest`` keeps one row per
+event id in a catalog table instead, batch by batch.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerlake.operators.latest import keep_latest
 from ledgerlake.schemas import EVENT_ID_PREFIX, EVENT_TYPE, SALES_EVENT
-from ledgerlake.sources.landing import export_csv, read_csv_as_strings
+from ledgerlake.sources.landing import export_csv, scan_csv, whole_lines
+from ledgerlake.sources.store import CatalogStore
 
 # When a message was published (ns since the epoch, one value per publish).
 PUBLISHED = "published_at"
@@ -99,19 +101,21 @@ def export_gold_csv(gold_monthly: DataFrame, path: str) -> None:
 def read_gold_csv(spark: SparkSession, path: str) -> DataFrame:
     """The exported CSV read back by its header; every value is text until
     P28 casts."""
-    return read_csv_as_strings(spark, path).select(*EXPORT_COLUMNS)
+    return whole_lines(scan_csv(spark, path, EXPORT_COLUMNS)).select(*EXPORT_COLUMNS)
+
+
+def _topic(spark: SparkSession, topic: str, fmt: str, options: dict[str, str] | None) -> DataFrame:
+    """The topic as a stream of messages, from its beginning."""
+    reader = spark.readStream.format(fmt).options(**(options or {}))
+    if fmt == "kafka":
+        return reader.option("subscribe", topic).option("startingOffsets", "earliest").load()
+    return reader.load(topic)
 
 
 def consume(spark: SparkSession, topic: str, sink_path: str, checkpoint: str,
             fmt: str = "text", options: dict[str, str] | None = None) -> StreamingQuery:
     """S6 + K6: drain the topic into a JSON-lines sink and stop."""
-    reader = spark.readStream.format(fmt).options(**(options or {}))
-    if fmt == "kafka":
-        source = (reader.option("subscribe", topic)
-                  .option("startingOffsets", "earliest").load())
-    else:
-        source = reader.load(topic)
-    return (decode(source, schema=LOGGED_EVENT).writeStream
+    return (decode(_topic(spark, topic, fmt, options), schema=LOGGED_EVENT).writeStream
             .format("json")
             .outputMode("append")
             .option("path", sink_path)
@@ -131,10 +135,52 @@ def read_consumed(spark: SparkSession, sink_path: str) -> DataFrame:
     return read_log(spark, sink_path).drop(PUBLISHED)
 
 
+def _latest(log: DataFrame) -> DataFrame:
+    return keep_latest(log, ["event_id"], [PUBLISHED], tie_break=[
+        "order_count", "total_quantity", "total_revenue", "event_type", "sales_month",
+        "category"])
+
+
 def latest_events(log: DataFrame) -> DataFrame:
     """Weekly runs re-send the same event ids with new totals; the raw log
-    (``read_log``) keeps every copy. This view keeps one row per ``event_id``:
+    (``read_log``) keeps every copy. This keeps one row per ``event_id``:
     the copy published last, then the largest totals."""
-    return keep_latest(log, ["event_id"], [PUBLISHED], tie_break=[
-        "order_count", "total_quantity", "total_revenue", "event_type", "sales_month",
-        "category"]).drop(PUBLISHED)
+    return _latest(log).drop(PUBLISHED)
+
+
+LATEST = "latest_events"
+
+
+def replace_latest(store: CatalogStore, batch: DataFrame, batch_id: int, name: str = LATEST) -> bool:
+    """Merge one batch of logged events into the keyed table ``name`` (one row
+    per event id, as ``latest_events``); says whether it changed anything.
+
+    The table's new version and the id of the batch it holds are switched in
+    one catalog operation, so a batch that is replayed (or replayed after a
+    crash between the switch and the stream's own commit) is skipped. The cost
+    of a batch is the batch and the distinct ids, not the log.
+    """
+    if int(store.properties(name).get("batch", -1)) >= batch_id:
+        return False
+    rows = batch.unionByName(store.read(name)) if store.has(name) else batch
+    store.write(name, _latest(rows))
+    store.publish([name], batch=batch_id)
+    return True
+
+
+def maintain_latest(spark: SparkSession, topic: str, store: CatalogStore, checkpoint: str,
+                    fmt: str = "text", options: dict[str, str] | None = None,
+                    name: str = LATEST) -> StreamingQuery:
+    """T2/T4 + D25 as a table kept up to date: drain the topic, each batch
+    merged by ``replace_latest``."""
+    events = decode(_topic(spark, topic, fmt, options), schema=LOGGED_EVENT)
+    return (events.writeStream
+            .foreachBatch(lambda batch, batch_id: replace_latest(store, batch, batch_id, name))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start())
+
+
+def read_latest(store: CatalogStore, name: str = LATEST) -> DataFrame:
+    """The keyed table's events."""
+    return store.read(name).drop(PUBLISHED)

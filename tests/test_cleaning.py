@@ -5,10 +5,14 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlake.plans.medallion import build_silver
+from ledgerlake.plans.quarantine import ParseFailure
 from ledgerlake.plans.silver import (clean_customers, clean_orders, clean_products, enrich,
                                      financial_orders, type_customers, type_products)
 from ledgerlake.plans.sqlforms import completed_orders_joined, register
 from ledgerlake.schemas import CUSTOMERS_RAW, ORDERS_RAW, PRODUCTS_RAW
+from ledgerlake.session import scratch_dir
+from ledgerlake.sources.store import PathStore
 
 
 def cust(spark, rows):
@@ -115,24 +119,53 @@ def test_enriched_money_and_delivery(spark):
     assert sql.filter(F.col("order_id") == "late").first().net_amount == Decimal("0.10")
 
 
-def test_parse_rejects_counts_unparseable_text(spark):
-    from ledgerlake.plans.quality import parse_rejects
-    bronze = {
-        "customers": cust(spark, [c_row("1", signup="2020-13-45", points="7.9"), c_row("2")]),
-        "products": spark.createDataFrame([p_row("a", unit="abc"), p_row("b", cost=None)],
+def damaged(spark):
+    return {
+        "customers": cust(spark, [c_row("1", signup="2020-13-45", points="7.9"), c_row("2"), c_row("3", points="")]),
+        "products": spark.createDataFrame([p_row("a", unit="abc"), p_row("b", cost=None), p_row("p")],
                                           PRODUCTS_RAW),
-        "sales_orders": spark.createDataFrame([o_row("x", qty="two"), o_row("y", actual=None)],
-                                              ORDERS_RAW),
+        "sales_orders": spark.createDataFrame([
+            o_row("x", cid="2", qty="two", promised="2024-02-30"), o_row("y", cid="2", actual=None),
+            o_row("z", cid="1", qty="0"), o_row("v", cid="1", disc="5%")], ORDERS_RAW),
     }
-    got = {(r.dataset, r.column_name): r.rejected_rows
-           for r in parse_rejects(bronze).collect() if r.rejected_rows}
-    assert got == {("customers", "signup_date"): 1, ("customers", "loyalty_points"): 1,
-                   ("products", "unit_price"): 1, ("sales_orders", "quantity"): 1}
-
-
-def test_rejected_rows_carry_reasons(spark):
-    from ledgerlake.plans.quality import rejected_rows
-    bronze = spark.createDataFrame([o_row("ok"), o_row("bad", qty="two", promised="2024-02-30"),
-                                    o_row("open", actual=None)], ORDERS_RAW)
-    got = {r.order_id: r.reject_reasons for r in rejected_rows(bronze, "sales_orders").collect()}
-    assert got == {"bad": ["promised_delivery_date", "quantity"]}
+
+
+BAD = {("customers", "1", "signup_date", "2020-13-45"), ("customers", "1", "loyalty_points", "7.9"),
+       ("products", "a", "unit_price", "abc"), ("sales_orders", "x", "quantity", "two"),
+       ("sales_orders", "x", "promised_delivery_date", "2024-02-30"), ("sales_orders", "v", "discount_pct", "5%")}
+
+
+def bad_rows(df):
+    return {(r.dataset, r.row_key, r.column_name, r.raw_value) for r in df.collect()}
+
+
+@pytest.mark.parametrize("mode,orders,customers", [("null", {"y", "v"}, {"1", "2", "3"}),
+                                                   ("quarantine", {"y"}, {"2", "3"})])
+def test_rejected_values_are_stored_apart(spark, mode, orders, customers):
+    from ledgerlake.plans.quality import parse_rejects, stage_counts
+
+    silver = build_silver(spark, damaged(spark), on_bad=mode)
+    assert bad_rows(silver.rejected) == BAD
+    assert {r.order_id for r in silver.orders.collect()} == orders
+    assert {r.customer_id for r in silver.customers.collect()} == customers
+    assert [r.product_id for r in silver.products.collect()] == ["p"]
+    counted = {(r.dataset, r.column_name): r.rejected_rows
+               for r in parse_rejects(silver.metrics, spark).collect() if r.rejected_rows}
+    assert counted == {(d, c): 1 for d, _, c, _ in BAD}
+    summary = {r.dataset: tuple(r)[1:] for r in stage_counts(silver.metrics, spark).collect()}
+    assert summary["products"] == (3, 1, 1) and summary["orders"][0] == 4
+    assert summary["customers"] == ((3, 3, 3) if mode == "null" else (3, 2, 2))
+    # every row is somewhere: good or dropped
+    assert [t.count() for t in silver.typed] == [3, 3, 4]
+
+
+def test_strict_parsing_fails_after_the_rejects_are_stored(spark):
+    store = PathStore(spark, scratch_dir(spark, "strict"))
+    with pytest.raises(ParseFailure, match="sales_orders.quantity"):
+        build_silver(spark, damaged(spark), on_bad="fail", store=store)
+    assert bad_rows(store.read("rejected_rows")) == BAD
+    # a bad price alone is no failure, as in the reference
+    good = damaged(spark)
+    good["customers"] = good["customers"].filter("customer_id <> '1'")
+    good["sales_orders"] = good["sales_orders"].filter("order_id IN ('y', 'z')")
+    assert bad_rows(build_silver(spark, good).rejected) == {("products", "a", "unit_price", "abc")}

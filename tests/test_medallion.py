@@ -25,7 +25,7 @@ def test_stored_layers_match_queries(spark):
     silver = R.silver(spark, SF_SMALL)
     assert silver.counts["silver_orders"] == R.q_clean_orders(spark, SF_SMALL).count()
     counts = dict(silver.counts)
-    counts.update(build_gold(spark, silver))
+    counts.update(build_gold(silver))
     joined = silver.join_enriched()
     assert diff_counts(joined, silver.enriched.select(*joined.columns)).first() == (0, 0)
     for table, query in PAIRS.items():

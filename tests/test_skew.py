@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from ledgerlake.plans.medallion import write_layer
+from ledgerlake.sources.store import PathStore
 from ledgerlake.plans.silver import clean_customers, clean_orders, financial_orders
 from ledgerlake.session import scratch_dir
 from ledgerlake.sources.extracts import customers_extract, orders_extract
@@ -23,8 +23,9 @@ def skewed(spark):
 def test_stored_inputs_let_aqe_split_the_hot_key(spark, skewed):
     orders, customers = skewed
     root = scratch_dir(spark, "skew-test")
-    write_layer(orders.repartition(8), f"{root}/o")  # several map tasks to split along
-    write_layer(customers, f"{root}/c")
+    store = PathStore(spark, root)
+    store.write("o", orders.repartition(8))  # several map tasks to split along
+    store.write("c", customers)
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
