@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import stash
+from ledgerlake.llm.common import small_batches, stash
 
 TOKENIZER_DIR = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -466,6 +466,7 @@ def pair_counts(pieces: DataFrame, n_b: int) -> DataFrame:
 def align_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     folder: str = TOKENIZER_DIR, piece_pairs: int = 1 << 20) -> DataFrame:
     """Per row: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
+    small_batches(docs.sparkSession)
     thin = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("text"))
     pieces = stash(thin.mapInArrow(partial(_pieces, folder=folder, piece_pairs=piece_pairs), PIECE),
                    "align-pieces")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,12 +23,12 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the session names none (tests in one process) a temporary
     folder is made and set.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if spark.sparkContext.master.startswith("local") and \
                 not spark.sparkContext.master.startswith("local-cluster"):
             root = tempfile.mkdtemp(prefix="llm-shared-")
-            spark.conf.set("spark.checkpoint.dir", root)
+            spark.sparkContext.setCheckpointDir(root)  # the setting itself can't be changed
         else:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return root.rstrip("/")
@@ -45,6 +46,16 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Let rows travel to Python tasks in batches of at most ``limit`` bytes (a
+    row at least), whatever the length of their texts; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    value, unit = re.fullmatch(r"(-?\d+)([bkmgt]?)b?", spark.conf.get(name).lower()).groups()
+    now = int(value) << 10 * "bkmgt".index(unit or "b")
+    if now > limit or now <= 0:
+        spark.conf.set(name, str(limit))
+
+
 def words(text):
     """Column: the words of a text, A-Z lower-cased (null text: no words)."""
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
@@ -95,6 +106,7 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
 
 # --- numpy text hashing, run inside tasks on Arrow buffers ------------------
 
+CHUNK = 1 << 18  # bytes of text hashed at once; its arrays take some 100 times that
 _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
 _POW: dict[str, np.ndarray] = {}
@@ -106,7 +118,7 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "p" not in _POW or len(_POW["p"]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, CHUNK + 1)
         for key, base in (("p", _P), ("i", _PINV)):
             a = np.full(size, base, np.uint64)
             a[0] = 1
@@ -123,7 +135,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def text_chunks(column, target: int = 1 << 20):
+def text_chunks(column, target: int = CHUNK):
     """Slices of an Arrow string column of about ``target`` bytes (one row at
     least): (first row, byte array, offsets from 0). Null rows are empty."""
     import pyarrow as pa

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ledgerlake.llm.common import components, mix, shingle_hashes, stash, text_chunks, word_hashes
+from ledgerlake.llm.common import components, mix, shingle_hashes, small_batches, stash, text_chunks, word_hashes
 
 LOAD_BITS = 18  # hash groups whose loads order the shingles
 SLICES = 64     # the load table travels in this many rows a task
@@ -296,6 +296,7 @@ def _linked(base: DataFrame, width: int, percent: int, chunk_rows: int, bucket_r
     least) of equal sets with a number and their least id, and the components
     (v, component) of class numbers. ``by_id`` leaves out classes without an id
     and joins classes that share one."""
+    small_batches(base.sparkSession)
     prof = stash(base.mapInArrow(
         _profile(width), "id bigint, n bigint, s1 bigint, s2 bigint, point binary, slice int, "
         "load array<bigint>"),

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import stash, text_chunks, word_hashes
+from ledgerlake.llm.common import small_batches, stash, text_chunks, word_hashes
 
 STATS = ("log_bytes", "log_words", "word_bytes", "upper", "high", "digit", "bang", "bar",
          "symbol", "stop", "other_punct", "line", "distinct", "top_word", "same_next",
@@ -112,6 +112,7 @@ def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.ListArray.from_arrays(offs, flat)], names=[id_col, "stats"])
 
+    small_batches(docs.sparkSession)
     return docs.select(docs[id_col].alias(id_col), docs[text_col].alias("__text")).mapInArrow(
         run, f"`{id_col}` {kind}, stats array<double>")
 
