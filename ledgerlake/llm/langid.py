@@ -12,7 +12,7 @@ Score: 1 - distance / largest possible distance.
 Defined results: null texts and texts without a letter are ``und`` with score
 0; rows repeating an id are judged row by row; without any training text all
 are ``und``; an empty table gives an empty result; other columns are ignored.
-Characters beyond the basic plane share codes of 16 bits.
+Counts and code points are exact, whatever a text's length or script.
 """
 
 from __future__ import annotations
@@ -21,65 +21,88 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import text_chunks
+from ledgerlake.llm.common import small_batches, text_chunks
 
 GAP = 1  # the code of a run of non-letters; no letter has it
-_TABLE: dict[str, np.ndarray] = {}
-
-
-def _codes(points: np.ndarray) -> np.ndarray:
-    """16-bit codes of code points: lower-cased letters, else GAP."""
-    if "t" not in _TABLE:
-        t = np.full(1 << 16, GAP, np.uint64)
-        for i in range(1 << 16):
-            c = chr(i)
-            if c.isalpha():
-                low = c.lower()
-                t[i] = ord(low) if len(low) == 1 and ord(low) < 1 << 16 else i
-        _TABLE["t"] = t
-    out = _TABLE["t"][points & 0xFFFF]
-    wide = np.flatnonzero(points >> 16)
-    for i in wide.tolist():
-        out[i] = (int(points[i]) & 0xFFFF) if chr(int(points[i])).isalpha() else GAP
-    return out
+BITS = 21  # of a code point; an n-gram is up to three of them
+_LOWER: dict[int, int] = {}
+
+
+def _code(point: int) -> int:
+    """A letter's lower-cased code point (its own where that is no single one),
+    GAP for anything else."""
+    if point not in _LOWER:
+        c = chr(point)
+        low = c.lower()
+        _LOWER[point] = (ord(low) if len(low) == 1 else point) if c.isalpha() else GAP
+    return _LOWER[point]
+
+
+def _dense(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, codes): each character's code is codes[place]; codes ascend."""
+    there = np.zeros(0x110000, bool)
+    there[points] = True
+    found = np.flatnonzero(there)
+    codes, at = np.unique(np.array([_code(p) for p in found.tolist()], np.uint64), return_inverse=True)
+    place = np.zeros(0x110000, np.uint32)
+    place[found] = at
+    return place[points].astype(np.uint64), codes
 
 
 def ngram_counts(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, n-gram, count) arrays of a chunk of at most 65,536 rows, sorted by
-    row and n-gram."""
+    """(row, n-gram, count) arrays of a chunk, sorted by row and n-gram."""
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     lead = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=lead[1:])
     at = lead[offs]
-    c = _codes(points)
+    place, codes = _dense(points)
+    # n-grams are sorted as places from 1 on, few bits each, below their row
+    bits = int(len(codes)).bit_length()
+    block = 1 << (63 - 3 * bits)
+    parts = []
+    for a in range(0, len(at) - 1, block):
+        o = at[a:a + block + 1]
+        row, key, n = _counts(place[o[0]:o[-1]] + np.uint64(1), o - o[0],
+                              1 + int(np.searchsorted(codes, GAP)) if GAP in codes else 0, bits)
+        parts.append((row + np.uint64(a), key, n))
+    row, key, n = (np.concatenate(x) for x in zip(*parts)) if parts else (
+        np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    known = np.r_[np.uint64(0), codes]
+    low = np.uint64((1 << bits) - 1)
+    gram = np.zeros(len(key), np.uint64)
+    for i in (2, 1, 0):
+        gram = (gram << np.uint64(BITS)) | known[((key >> np.uint64(bits * i)) & low).astype(np.int64)]
+    return row, gram, n
+
+
+def _counts(c: np.ndarray, at: np.ndarray, gap_code: int, bits: int):
+    """Distinct (row, packed n-gram) pairs and their counts, sorted."""
     row = np.repeat(np.arange(len(at) - 1, dtype=np.uint64), np.diff(at))
-    gap = c == GAP
+    gap = c == gap_code
     keep = np.ones(len(c), bool)
     if len(c) > 1:
         keep[1:] = ~(gap[1:] & gap[:-1] & (row[1:] == row[:-1]))
     c, row, gap = c[keep], row[keep], gap[keep]
-    s16, s32, s48 = np.uint64(16), np.uint64(32), np.uint64(48)
-    tag = row << s48
+    one, two, three = (np.uint64(bits * i) for i in (1, 2, 3))
+    tag = row << three
     keys = [(tag | c)[~gap]]
     if len(c) > 1:
         ok = row[1:] == row[:-1]
-        keys.append((tag[1:] | (c[:-1] << s16) | c[1:])[ok])
+        keys.append((tag[1:] | (c[:-1] << one) | c[1:])[ok])
     if len(c) > 2:
         ok = row[2:] == row[:-2]
-        keys.append((tag[2:] | (c[:-2] << s32) | (c[1:-1] << s16) | c[2:])[ok])
+        keys.append((tag[2:] | (c[:-2] << two) | (c[1:-1] << one) | c[2:])[ok])
     key = np.sort(np.concatenate(keys))
-    if not len(key):
-        z = np.zeros(0, np.uint64)
-        return z, z, np.zeros(0, np.int64)
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
     count = np.diff(np.append(first, len(key)))
     key = key[first]
-    return key >> s48, key & np.uint64((1 << 48) - 1), count
+    return key >> three, key & np.uint64((1 << (3 * bits)) - 1), count
 
 
 def learn(train: DataFrame, text_col: str = "text", lang_col: str = "lang",
           size: int = 400) -> dict[str, np.ndarray]:
     """{language: n-grams by falling frequency} over all rows with a language."""
+    small_batches(train.sparkSession)
     rows = train.filter(train[lang_col].isNotNull()).select(
         train[lang_col].cast("string").alias("l"), train[text_col].alias("t"))
 
@@ -90,7 +113,7 @@ def learn(train: DataFrame, text_col: str = "text", lang_col: str = "lang",
         def out():
             for lang, d in held.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(d)), pa.array(list(d), pa.int64()),
+                    [pa.array([lang] * len(d), pa.string()), pa.array(list(d), pa.int64()),
                      pa.array(list(d.values()), pa.int64())], names=["l", "g", "n"])
             held.clear()
 
@@ -157,14 +180,16 @@ class Ranker:
         n = len(offs) - 1
         row, g, count = ngram_counts(data, offs)
         letters = np.zeros(n, np.int64)
-        single = g >> np.uint64(16) == 0
+        single = g >> np.uint64(BITS) == 0
         np.add.at(letters, row[single].astype(np.int64), count[single])
-        # by row, falling count, n-gram: the index breaks ties in n-gram order
+        # by row, falling count, n-gram (the order they come in breaks ties)
         top = np.uint64((1 << 20) - 1)
-        falling = top - np.minimum(count.astype(np.uint64), top)
-        key = np.sort((row << np.uint64(52)) | (falling << np.uint64(32))
-                      | np.arange(len(g), dtype=np.uint64))
-        order = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        if len(count) and count.max() > top:
+            order = np.lexsort((np.arange(len(g)), -count, row))
+        else:  # the same order as one number: 12 bits of row, 20 of count, 32 of place
+            key = np.sort((row << np.uint64(52)) | ((top - count.astype(np.uint64)) << np.uint64(32))
+                          | np.arange(len(g), dtype=np.uint64))
+            order = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
         row, g = row[order].astype(np.int64), g[order]
         begin = np.searchsorted(row, np.arange(n))
         rank = np.arange(len(g)) - begin[row] if len(g) else np.zeros(0, np.int64)
