@@ -8,13 +8,18 @@ of a level are cut together: one grouped histogram over (node, bin) narrows
 the cut of every node until the bin at the cut is light enough, so a pass
 returns one row per node to the driver whatever the size of the table.
 
-Order inside a node is (dimension, text checksum, hash of the id): equal
-texts lie side by side and stay in one shard, unless such a group weighs more
-than ``group_share`` of a shard; a heavier one is cut by the hash of its ids.
+Order inside a node is (dimension, text checksum, hash of the id, hash of a
+stored row number): equal texts lie side by side and stay in one shard, unless
+such a group weighs more than ``group_share`` of a shard; a heavier one is cut
+by the hashes, between any two rows, also of one id or none.
 
 Dimensions are read as 24-bit coordinates: numbers scaled between the table's
-least and largest, other types by a hash (equal values have equal places),
-null below all. Size is UTF-8 bytes of the text plus ``overhead``.
+least and largest finite ones, other types by a hash (equal values have equal
+places), null and NaN below all, infinities at the ends. Size is UTF-8 bytes of
+the text plus ``overhead``.
+
+What a level needs of its nodes (ranges, cuts, shards) is a table of a row a
+node, sent as one value; the plan does not grow with the number of shards.
 
 Defined results: null text has no bytes; null ids are placed like any other;
 rows that repeat an id are rows of their own; an empty table gives an empty
@@ -24,6 +29,7 @@ DataFrame functions run.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
@@ -34,32 +40,36 @@ from ledgerlake.llm.common import stash
 
 COORD_BITS = 24
 TOP = (1 << COORD_BITS) - 2
+RESULT = ("size", "text_crc32", "shard", "slot")
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
-def _literal(spark, rows: list[tuple], names: Sequence[str], kinds: Sequence[str]) -> DataFrame:
-    """A small table as part of the plan."""
-    structs = [F.struct(*[F.lit(v).cast(k).alias(n) for v, n, k in zip(r, names, kinds)])
-               for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+def _node_table(spark, rows: list[tuple], names: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+    """A small table from one text value, however many rows it has."""
+    text = json.dumps([dict(zip(names, r)) for r in rows])
+    schema = ", ".join(f"{n}: {k}" for n, k in zip(names, kinds))
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{schema}>>")))
 
 
 def _coordinates(thin: DataFrame, dims: Sequence[str]) -> DataFrame:
     """Add c0..ck: 24-bit coordinates of the columns ``dims``."""
     kinds = dict(thin.dtypes)
     numeric = [d for d in dims if kinds[d] in NUMBERS or kinds[d].startswith("decimal")]
+    # halves, so that no difference overflows
+    half = {d: F.col(d).cast("double") / 2 for d in numeric}
     ends = {}
     if numeric:
-        row = thin.agg(*[f(F.col(d).cast("double")).alias(f"{n}{i}") for i, d in enumerate(numeric)
+        finite = {d: F.when(F.abs(h) < float("inf"), h) for d, h in half.items()}  # NaN is above
+        row = thin.agg(*[f(finite[d]).alias(f"{n}{i}") for i, d in enumerate(numeric)
                          for n, f in (("lo", F.min), ("hi", F.max))]).first()
         ends = {d: (row[f"lo{i}"], row[f"hi{i}"]) for i, d in enumerate(numeric)}
     cols = {}
     for i, d in enumerate(dims):
         if d in numeric:
-            lo, hi = ends[d]
-            span = (hi - lo) if lo is not None and hi is not None and hi > lo else 1.0
-            scaled = (F.col(d).cast("double") - F.lit(lo or 0.0)) / F.lit(span) * F.lit(TOP)
-            c = F.floor(scaled) + 1
+            lo, hi = (0.0 if v is None else v for v in ends[d])
+            scaled = (half[d] - F.lit(lo)) / F.lit(hi - lo if hi > lo else 1.0) * F.lit(float(TOP))
+            inside = F.greatest(F.lit(0.0), F.least(F.lit(float(TOP)), scaled))
+            c = F.when(half[d].isNotNull() & ~F.isnan(half[d]), F.floor(inside) + 1)
         else:
             c = F.pmod(F.xxhash64(F.col(d).cast("string")), F.lit(TOP)) + 1
         cols[f"c{i}"] = F.coalesce(c.cast("bigint"), F.lit(0).cast("bigint"))
@@ -81,7 +91,7 @@ def _cuts(rows: DataFrame, nodes: dict, leaf: float, tol: float, group_share: fl
              for n in nodes}
     done: dict = {}
     while state:
-        ranges = _literal(
+        ranges = _node_table(
             spark, [(n, nodes[n][0], s["phase"], s["lo"], s["hi"], s["key"] or 0,
                      float(nodes[n][1] * nodes[n][2] - s["before"])) for n, s in state.items()],
             ("r_node", "dim", "phase", "lo", "hi", "fixed", "want"),
@@ -137,16 +147,19 @@ def kd_shards(docs: DataFrame, dims: Sequence[str], n_shards: int | None = None,
     text = F.coalesce(docs[text_col], F.lit(""))
     size = F.octet_length(text).cast("bigint") + overhead
     named = [docs[d].alias(f"__d{i}") for i, d in enumerate(dims)]
+    keep = [c for c in keep if c not in (id_col, *RESULT)]
     thin = docs.select(docs[id_col].alias(id_col), size.alias("size"),
                        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-                       *named, *[docs[c].alias(f"__k_{c}") for c in keep])
+                       *named, *[docs[c].alias(f"__k_{c}") for c in keep],
+                       F.monotonically_increasing_id().alias("__row"))
     thin = stash(thin, "shard-rows")
     own = [f"__d{i}" for i in range(len(dims))]
     thin = _coordinates(thin.withColumn("__size", F.log2(F.col("size").cast("double"))),
                         ["__size", *own])
     k = len(own) + 1
-    tie = F.shiftright(F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), 2)
-    tie = tie.bitwiseAND(F.lit((1 << 62) - 1))
+    # 40 bits of the id's hash, then 22 of the row's
+    tie = (F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), 24) * (1 << 22)
+           + F.shiftrightunsigned(F.xxhash64("__row"), 42))
     rows = thin.select(id_col, "size", "text_crc32", *[f"__k_{c}" for c in keep],
                        F.array(*[F.col(f"c{i}") for i in range(k)]).alias("coords"),
                        tie.alias("tie"), F.lit(0).alias("node"))
@@ -183,7 +196,7 @@ def kd_shards(docs: DataFrame, dims: Sequence[str], n_shards: int | None = None,
                 moves.append((n, nodes[n][0], *cuts[n]))
         tree = grown
         # as many rows as the level has nodes, known from the number of shards
-        table = _literal(spark, moves or [(-1, 0, 0, 0)], ("m_node", "dim", "cut", "cut_tie"),
+        table = _node_table(spark, moves or [(-1, 0, 0, 0)], ("m_node", "dim", "cut", "cut_tie"),
                          ("int", "int", "bigint", "bigint"))
         key = F.element_at("coords", F.col("dim") + 1) * (1 << 32) + F.col("text_crc32")
         right = ((key > F.col("cut")) | ((key == F.col("cut")) & (F.col("tie") > F.col("cut_tie"))))
@@ -191,7 +204,7 @@ def kd_shards(docs: DataFrame, dims: Sequence[str], n_shards: int | None = None,
                      .withColumn("node", (F.col("node") * 2 + F.coalesce(right.cast("int"), F.lit(0)))
                                  .cast("int"))
                      .drop("m_node", "dim", "cut", "cut_tie"), "shard-nodes")
-    leaves = _literal(spark, [(n, first) for n, (first, _) in tree.items()],
+    leaves = _node_table(spark, [(n, first) for n, (first, _) in tree.items()],
                       ("l_node", "shard"), ("int", "int"))
     placed = (rows.join(F.broadcast(leaves), F.col("node") == F.col("l_node"))
               .select(id_col, "size", "text_crc32", "shard", "tie",
