@@ -4,16 +4,21 @@ An item is its set of distinct ``width``-word shingles (an item of fewer words
 is one shingle of them all, searched at that width). A document holds an item
 when it has at least ``threshold`` of the item's shingles.
 
-Items are partitioned by size class (powers of two of their shingle count).
-Each class has its own sketch length: the least hashes of an item, one more
-than the number of shingles a document may lack at the largest size of the
-class. A document that holds the item must therefore have one of its sketch
-hashes, so the search loses nothing however long the document is. Documents'
-shingle hashes meet the sketches in one join; documents that meet one are
-verified by counting the item's shingles among their own, as word sequences.
-
-Only DataFrame functions run. The sketch table is broadcast only while its
-rows stay under ``broadcast_rows``; beyond that the join shuffles both sides.
+One pass over the documents keeps which of all items' shingle hashes each
+document holds: rows in proportion to the text, however many items share a
+shingle. Items are partitioned by size class (powers of two of their shingle
+count). Each class has its own sketch length: one more than the number of
+shingles a document may lack at the largest size of the class. A sketch takes
+an item's least shingles by (documents that hold it, hash), so a phrase common
+to many documents and items is in a sketch only where an item has nothing
+rarer. A document that holds the item lacks few enough shingles that a known
+number of the sketch must be among its own (``least``), so the search loses
+nothing however long the document is. Documents that reach that number are
+candidates; their shared shingles are counted by hash, and what passes is
+verified on word sequences.
+
+Only DataFrame functions run. The table of item hashes is broadcast only while
+its rows stay under ``broadcast_rows``; beyond that the join shuffles both sides.
 
 Defined results: null or wordless items and documents match nothing, nor do
 those without an id; equal
@@ -63,55 +68,62 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                threshold: float = 0.8, broadcast_rows: int = 2_000_000) -> DataFrame:
     """(id_col, item_id, n_item, n_shared, containment) for each item found."""
     hashed = F.xxhash64(F.split("shingle", " "))
-    sets = item_sets(items, item_id, item_text, width).withColumn("h", hashed)
+    sets = item_sets(items, item_id, item_text, width).filter("item_id IS NOT NULL").withColumn("h", hashed)
     sets = stash(sets, "bench-shingles")
-    # 100ths keep the share exact in integers
-    pct = round(threshold * 100)
-    sizes = sets.groupBy("item_id", "w").agg(F.count(F.lit(1)).alias("n"),
-                                             F.array_sort(F.collect_list("h")).alias("hs"))
-    # size class [2^c, 2^(c+1)): sketch length from the largest size in it
-    cls = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
-    sizes = sizes.withColumn("cls", cls)
-    top = F.pow(F.lit(2.0), F.col("cls") + 1) - 1
-    sizes = sizes.withColumn("keep", (F.floor(top * F.lit(100 - pct) / 100) + 1).cast("int"))
-    sketch = stash(sizes.select("item_id", "w", "n", "cls",
-                                F.explode(F.slice("hs", F.lit(1), F.col("keep"))).alias("h")),
-                   "bench-sketch")
-    n_sketch = sketch.count()
-    widths = sorted(r["w"] for r in sketch.select("w").distinct().collect())  # at most ``width``
-
-    base = docs.select(docs[id_col].alias("doc_id"), words(docs[text_col]).alias("ws"))
-    found = None
-    for w in widths:
-        own = sketch.filter(F.col("w") == w).select("h", "item_id", "w")
-        own = F.broadcast(own) if n_sketch <= broadcast_rows else own
-        hits = (base.select("doc_id", F.explode(F.array_distinct(_hashes(F.col("ws"), w))).alias("h"))
-                .join(own, "h").select("doc_id", "item_id", "w").distinct())
-        found = hits if found is None else found.unionAll(hits)
     schema = f"`{id_col}` {dict(docs.dtypes)[id_col]}, item_id {dict(items.dtypes)[item_id]}, " \
              "n_item bigint, n_shared bigint, containment double"
-    if found is None:
+    widths = sorted(r["w"] for r in sets.select("w").distinct().collect())  # at most ``width``
+    if not widths:
         return docs.sparkSession.createDataFrame([], schema)
-    found = stash(found, "bench-candidates")
-
-    # verification: the item's shingles among the document's, as text
-    some = found.select("doc_id").distinct().withColumnRenamed("doc_id", "cand")
-    text = base.join(some, F.col("doc_id") == F.col("cand"), "left_semi")
-    n_items = sizes.select("item_id", "w", "n")
-    need = found.join(n_items, ["item_id", "w"])
-    out = None
-    for w in widths:
-        held = text.select("doc_id", F.explode(F.array_distinct(shingles(F.col("ws"), w)))
-                           .alias("shingle"))
-        own = sets.filter(F.col("w") == w).select("shingle", "item_id")
-        own = F.broadcast(own) if n_sketch <= broadcast_rows // 10 else own
-        shared = (held.join(own, "shingle").distinct().groupBy("doc_id", "item_id")
-                  .agg(F.count(F.lit(1)).alias("n_shared")))
-        ok = (need.filter(F.col("w") == w).join(shared, ["doc_id", "item_id"])
-              .filter(F.col("n_shared") * 100 >= F.col("n") * pct)
-              .select(F.col("doc_id").alias(id_col), "item_id",
-                      F.col("n").cast("bigint").alias("n_item"),
-                      F.col("n_shared").cast("bigint").alias("n_shared"),
-                      (F.col("n_shared") / F.col("n")).alias("containment")))
-        out = ok if out is None else out.unionAll(ok)
-    return out
+    # 100ths keep the share exact in integers
+    pct = round(threshold * 100)
+
+    # which item shingles each document holds
+    base = (docs.select(docs[id_col].alias("doc_id"), words(docs[text_col]).alias("ws"))
+            .filter("doc_id IS NOT NULL"))
+    own = sets.select(F.col("h").alias("item_h")).distinct()
+    own = F.broadcast(own) if own.count() <= broadcast_rows else own
+    all_hashes = F.concat(*[F.coalesce(_hashes(F.col("ws"), w), F.array().cast("array<bigint>"))
+                            for w in widths])
+    hits = stash(base.select("doc_id", F.explode(F.array_distinct(all_hashes)).alias("h"))
+                 .join(own, F.col("h") == F.col("item_h"), "left_semi").distinct(), "bench-hits")
+
+    # sketches: the rarest shingles of each item
+    held_by = hits.groupBy(F.col("h").alias("f_h")).agg(F.count(F.lit(1)).alias("df"))
+    ranked = sets.join(held_by, F.col("h") == F.col("f_h"), "left").select(
+        "item_id", "w", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "h").alias("s"))
+    sizes = ranked.groupBy("item_id", "w").agg(F.count(F.lit(1)).alias("n"),
+                                               F.array_sort(F.collect_list("s")).alias("hs"))
+    # size class [2^c, 2^(c+1)): sketch length from the largest size in it
+    top = F.pow(F.lit(2.0), F.floor(F.log2(F.col("n").cast("double"))) + 1) - 1
+    keep = F.least(F.floor(top * F.lit(100 - pct) / 100).cast("int") + 1, F.size("hs"))
+    lack = F.floor(F.col("n") * (100 - pct) / 100).cast("int")
+    sizes = stash(sizes.select("item_id", "w", "n", F.slice("hs", F.lit(1), keep).alias("hs"),
+                               (keep - lack).alias("least")), "bench-items")
+    sketch = sizes.select("item_id", "w", "n", "least", F.explode("hs.h").alias("s_h"))
+    found = (hits.join(sketch, F.col("h") == F.col("s_h")).groupBy("doc_id", "item_id", "w", "n")
+             .agg(F.count(F.lit(1)).alias("hit"), F.first("least").alias("least"))
+             .filter("hit >= least"))
+    found = stash(found.select("doc_id", "item_id", "w", "n"), "bench-candidates")
+
+    # the candidates' shared shingles, by hash
+    enough = F.col("shared") * 100 >= F.col("n") * pct
+    theirs = sets.select(F.col("item_id").alias("t_item"), F.col("w").alias("t_w"),
+                         F.col("h").alias("t_h"), "shingle")
+    wanted = found.join(theirs, (F.col("item_id") == F.col("t_item")) & (F.col("w") == F.col("t_w")))
+    mine = hits.select(F.col("doc_id").alias("m_doc"), F.col("h").alias("m_h"))
+    near = (wanted.join(mine, (F.col("doc_id") == F.col("m_doc")) & (F.col("t_h") == F.col("m_h")), "left_semi")
+            .groupBy("doc_id", "item_id", "w", "n").agg(F.count(F.lit(1)).alias("shared")).filter(enough))
+    near = stash(near.drop("shared"), "bench-near")
+
+    # and as text
+    some = near.select(F.col("doc_id").alias("cand")).distinct()
+    texts = base.join(some, F.col("doc_id") == F.col("cand"), "left_semi")
+    sequences = F.concat(*[shingles(F.col("ws"), w) for w in widths])
+    held = texts.select(F.col("doc_id").alias("h_doc"), F.explode(F.array_distinct(sequences)).alias("held"))
+    asked = near.join(theirs, (F.col("item_id") == F.col("t_item")) & (F.col("w") == F.col("t_w")))
+    return (asked.join(held.distinct(), (F.col("doc_id") == F.col("h_doc")) & (F.col("shingle") == F.col("held")))
+            .groupBy("doc_id", "item_id", "w", "n").agg(F.count(F.lit(1)).alias("shared")).filter(enough)
+            .select(F.col("doc_id").alias(id_col), "item_id", F.col("n").cast("bigint").alias("n_item"),
+                    F.col("shared").cast("bigint").alias("n_shared"),
+                    (F.col("shared") / F.col("n")).alias("containment")))
