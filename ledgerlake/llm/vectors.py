@@ -15,7 +15,8 @@ checks each candidate's cosine in double precision, and counts a pair only in
 the first block that finds it, so pairs are never listed or made distinct:
 tasks return link counts and a spanning forest.
 
-Equal vectors of a label are one class, compared once and counted by its size.
+Equal vectors of a label (equal up to a power of two) are one class, compared
+once and counted by its size.
 
 Defined results: null, empty and zero vectors, vectors with null or non-finite
 parts, and vectors with a null label link with nothing; vectors of different
@@ -52,8 +53,8 @@ def _budgets(dim: int, blocks, least: float) -> np.ndarray:
 
 
 def keyed(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
-    """(id, label, dim, key, v): v the vector as float64 bytes, null when the
-    row can't link."""
+    """(id, label, dim, key, v): v the vector as float64 bytes, scaled by a power
+    of two, null when the row can't link."""
     def run(batches):
         import pandas as pd
         for b in batches:
@@ -68,6 +69,9 @@ def keyed(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> Data
                 if a is None or not len(a) or not np.isfinite(a).all() or not a.any():
                     raw.append(None), keys.append(None), dims.append(0)
                 else:
+                    # a power of two brings the largest part near 1: no square
+                    # overflows or vanishes, and the direction is the same
+                    a = np.ldexp(a, -int(np.frexp(np.abs(a).max())[1])) + 0.0
                     raw.append(a.tobytes()), dims.append(len(a))
                     keys.append(hashlib.blake2b(raw[-1], digest_size=16).digest())
             yield pd.DataFrame({"id": b["id"], "label": b["label"], "dim": dims, "key": keys, "v": raw})
@@ -156,10 +160,15 @@ def _compare(block: int, least: float, seed: int):
                 p, q = p[hit], q[hit]
                 np.add.at(links, p, mult[q])
                 np.add.at(links, q, mult[p])
-                for c, e in zip(p.tolist(), q.tolist()):
-                    if label[c] != label[e]:
-                        edges.append((rep[c], rep[e]))
-                        label[label == label[e]] = label[c]
+                # only pairs of two trees so far need a step
+                while len(p):
+                    open_ = np.flatnonzero(label[p] != label[q])
+                    if not len(open_):
+                        break
+                    p, q = p[open_], q[open_]
+                    c, e = p[0], q[0]
+                    edges.append((rep[c], rep[e]))
+                    label[label == label[e]] = label[c]
         got = np.flatnonzero(links)
         out = pd.DataFrame({"label": pdf["label"].to_numpy()[got], "key": pdf["key"].to_numpy()[got],
                             "n": links[got]})
@@ -174,6 +183,18 @@ def _compare(block: int, least: float, seed: int):
     return run
 
 
+def _same_id(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) between the classes of each id that comes with several vectors."""
+    one = F.struct("label", "key")
+    several = (rows.filter("v IS NOT NULL AND id IS NOT NULL").groupBy(F.col("id").alias("i"))
+               .agg(F.min(one).alias("lo"), F.max(one).alias("hi")).filter("lo != hi").select("i"))
+    of = (rows.filter("v IS NOT NULL").join(several, F.col("id") == F.col("i"), "left_semi")
+          .select("id", F.col("label").alias("l"), F.col("key").alias("k")).distinct())
+    of = of.join(classes.select("label", "key", "rep"), (F.col("l") == F.col("label")) & (F.col("k") == F.col("key")))
+    # every class has an id here, so its number is one, and meets the id itself
+    return of.filter("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     label_col: str = "label", least: float = 0.98, block: int = 8,
                     cell_rows: int = 2000, seed: int = 5) -> DataFrame:
@@ -208,8 +229,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     links = (found.filter("a IS NULL").groupBy(F.col("label").alias("l_label"),
                                                F.col("key").alias("l_key"))
              .agg(F.sum("n").alias("n")))
-    # classes that share an id (rows repeating it) meet in it
-    parts = components(found.filter("a IS NOT NULL").select("a", "b"), "vector-components")
+    parts = components(found.filter("a IS NOT NULL").select("a", "b").unionAll(_same_id(rows, classes)),
+                       "vector-components")
     info = (classes.select("label", "key", "rep", "mult")
             .join(links, (F.col("label") == F.col("l_label")) & (F.col("key") == F.col("l_key")), "left")
             .join(parts, F.col("rep") == F.col("v"), "left")
