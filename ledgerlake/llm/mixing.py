@@ -12,8 +12,10 @@ domains; tasks replay it. Nothing per document reaches the driver.
 The classifier is logistic regression, one domain against the rest, scaled to
 sum to 1. Its features are the presence of the ``n_features`` words and word
 shapes whose counts differ most between domains, beyond chance. It learns from
-at most ``sample`` labelled documents a domain (those with the least id hash);
-tasks sum the Newton equations over their rows.
+about ``sample`` labelled documents a domain (all, where there are no more;
+else the share of them with the least id hashes); tasks sum the Newton
+equations over their rows. ``missed`` of the fitted model says how far the
+expected shares stay from the targets.
 
 Defined results: null or empty text has no tokens and the prior as posterior;
 its rate is that of the prior. Labels that name several domains for an id
@@ -29,10 +31,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import mix, stash, text_chunks, word_bounds, word_hashes
+from ledgerlake.llm.common import mix, small_batches, stash, text_chunks, word_bounds, word_hashes
 
 _KIND = np.full(256, 3, np.uint64)  # letters beyond ASCII
 _KIND[:128] = 64 + np.arange(128)   # signs stand for themselves
@@ -74,6 +76,7 @@ class DomainModel:
     steps: list[np.ndarray] = field(default_factory=list)
     barred: list[int] = field(default_factory=list)  # domains that bar a document
     bar: float = 1.0
+    missed: dict[str, float] = field(default_factory=dict)  # reached less target share
 
     def hits(self, h, shape, at) -> tuple[np.ndarray, np.ndarray]:
         """(row, token) of the model's tokens present in each row."""
@@ -115,6 +118,7 @@ def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", domain_col: str = "domain", sample: int = 20_000,
                   n_features: int = 240, least_z: float = 6.0, passes: int = 7) -> DomainModel:
     """``labels``: rows (id_col, domain_col)."""
+    small_batches(docs.sparkSession)
     named = (labels.filter(labels[id_col].isNotNull() & labels[domain_col].isNotNull())
              .select(labels[id_col].alias("l_id"), labels[domain_col].cast("string").alias("d"))
              .distinct())
@@ -129,9 +133,15 @@ def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                         np.zeros((0, len(domains))))
     if len(domains) < 2:
         return model
-    w = Window.partitionBy("d").orderBy(F.xxhash64("l_id"), "l_id")
-    some = stash(named.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= sample)
-                 .drop("rn"), "mix-labels")  # at most sample x domains rows
+    # a domain with more labels gives the share of them that makes ``sample``
+    # rows: those with small id hashes, so no domain is sorted or gathered
+    place = F.pmod(F.xxhash64("l_id"), F.lit(1 << 40))
+    rare = [d for d in domains if share[d] <= sample]
+    chosen = F.col("d").isin(rare)
+    for d in domains:
+        if share[d] > sample:
+            chosen = chosen | ((F.col("d") == d) & (place < int((1 << 40) * sample / share[d])))
+    some = stash(named.filter(chosen), "mix-labels")  # about sample x domains rows
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("t")).join(
         F.broadcast(some), F.col("id") == F.col("l_id")).select("d", "t")
 
@@ -271,10 +281,11 @@ def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float],
               total_tokens: float | None = None, max_rate: float = 4.0, passes: int = 30,
               close: float = 1e-4, bar: float | None = None) -> DomainModel:
     """Set the model's steps so that rates meet the targets ``weights`` (shares
-    of ``total_tokens``; by default as many as there are). With ``bar``, a
+    of ``total_tokens``; by default as many as there are); ``model.missed`` is
+    what the best of the passes leaves of them. With ``bar``, a
     document whose posterior of the domains without weight is above it gets
     rate 0, however rare such documents are."""
-    model.max_rate, model.steps = max_rate, []
+    model.max_rate, model.steps, model.missed = max_rate, [], {}
     k = len(model.domains)
     target = np.array([float(weights.get(d, 0.0)) for d in model.domains])
     model.barred = [] if bar is None else np.flatnonzero(target == 0).tolist()
@@ -308,6 +319,7 @@ def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float],
         off = (s[:k] - want) / size
         if best is None or np.abs(off).sum() < best[0] - close / 10:
             best = (np.abs(off).sum(), list(model.steps))
+            model.missed = dict(zip(model.domains, off.tolist()))
         elif len(model.steps) > len(best[1]) + 5:
             break
         if np.abs(off).max() < close:
