@@ -390,20 +390,18 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hot_c = np.array([x[1] for x in hot_rows], np.int64)
     ways = np.maximum(np.ceil(hot_c / limit), 1).astype(np.uint64)
 
-    least = 1
-    if vocab > common:  # the count from which on words are common
-        tail = sorted(uni.groupBy("c").count().filter("c <= 1000").collect(), key=lambda r: r["c"])
-        left = vocab
-        for r in tail:
-            if left <= common:
-                break
-            least, left = r["c"] + 1, left - r["count"]
-    frequent = uni.filter(F.col("c") >= least).toArrow()
+    # common words: whole classes of counts (64 to a power of two), most
+    # frequent first, as many as stay within ``common`` words
+    level = F.floor(F.log2(F.col("c").cast("double")) * 64)
+    held_back, least = 0, 0
+    for r in sorted(uni.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        if held_back + r["count"] > common:
+            least = r["level"] + 1
+            break
+        held_back += r["count"]
+    frequent = uni.filter(level >= least).toArrow()  # at most ``common`` rows
     words = frequent["w"].to_numpy().astype(np.int64).view(np.uint64)
     counts = frequent["c"].to_numpy().astype(np.int64)
-    if len(words) > common:
-        pick = np.argsort(-counts, kind="stable")[:common]
-        words, counts = words[pick], counts[pick]
     order = np.argsort(words)
     counts = counts[order]
     held = spark.sparkContext.broadcast({"base": float(total + vocab + 1), "words": words[order],
