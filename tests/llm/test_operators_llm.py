@@ -178,7 +178,7 @@ def test_langid(spark):
     s = re.sub("[^a-zà-ÿœß]+", "\x01", text.lower())
     for n in (1, 2, 3):
         grams.update(x for x in (s[i:i + n] for i in range(len(s) - n + 1)) if x.strip("\x01"))
-    code = lambda g: sum(ord(c) << (16 * (len(g) - 1 - i)) for i, c in enumerate(g))
+    code = lambda g: sum(ord(c) << (21 * (len(g) - 1 - i)) for i, c in enumerate(g))
     top = sorted(grams, key=lambda g: (-grams[g], code(g)))[:400]
     dist = {k: sum(abs({int(x): r for r, x in enumerate(p)}.get(code(g), i + 400) - i)
                    for i, g in enumerate(top)) for k, p in prof.items()}
