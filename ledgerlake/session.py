@@ -72,8 +72,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if not _in_one_process(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")  # the setting itself can't be changed
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
