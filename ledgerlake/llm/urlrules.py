@@ -117,12 +117,21 @@ def mine_rules(transactions: DataFrame, min_support: float, min_confidence: floa
 
 
 def _met(sets: DataFrame, mined: DataFrame) -> DataFrame:
-    """(items, rule_id, verdict, confidence): the rules that fire on each token set."""
-    index = mined.select("rule_id", "verdict", "confidence", F.size("tokens").alias("need"),
-                         F.explode("tokens").alias("token"))
-    return (sets.select("items", F.explode("items").alias("token")).join(index, "token")
-            .groupBy("items", "rule_id", "verdict", "confidence", "need")
-            .agg(F.count(F.lit(1)).alias("n")).filter("n = need").drop("n", "need"))
+    """(items, rule_id, verdict, confidence): the rules that fire on each token set.
+
+    The inverted index holds every rule once, under the token that fewest sets
+    have (ties: the first); a set looks up its tokens there and is held against
+    the whole rule. A token most urls share finds the rules that have no other."""
+    each = sets.select("items", F.explode("items").alias("token"))
+    often = each.groupBy(F.col("token").alias("o_token")).agg(F.count(F.lit(1)).alias("sets"))
+    keyed = (mined.select("rule_id", "tokens", F.explode("tokens").alias("t"))
+             .join(often, F.col("t") == F.col("o_token"))  # a token no set has: the rule fires on none
+             .groupBy("rule_id").agg(F.min_by("t", F.struct("sets", "t")).alias("key"),
+                                     F.count(F.lit(1)).alias("found")))
+    index = mined.join(keyed, "rule_id").filter(F.col("found") == F.size("tokens"))
+    return (each.join(index, F.col("token") == F.col("key"))
+            .filter(F.size(F.array_except("tokens", "items")) == 0)
+            .select("items", "rule_id", "verdict", "confidence"))
 
 
 def hold_back(mined: DataFrame, labelled: DataFrame, least_z: float, least_hosts: int) -> DataFrame:
