@@ -564,6 +564,19 @@ def oracle_queries() -> dict[str, str]:
         UNION ALL SELECT 'products', COUNT(*) FROM raw_products
         UNION ALL SELECT 'sales_orders', COUNT(*) FROM raw_orders"""
     q["sales_events"] = _with(MONTHLY, EVENTS) + " SELECT * FROM sales_events"
+    # JSON writes a double as Java does: from 10^7 on with an exponent
+    cents = "CAST(round(total_revenue * 100) AS HUGEINT)"
+    digits = f"rtrim(CAST({cents} AS VARCHAR), '0')"
+    plain = f"CAST({cents} // 100 AS VARCHAR) || '.' || " \
+            f"CASE WHEN {cents} % 100 = 0 THEN '0' ELSE rtrim(lpad(CAST({cents} % 100 AS VARCHAR), 2, '0'), '0') END"
+    power = f"{digits}[1] || '.' || CASE WHEN length({digits}) > 1 THEN {digits}[2:] ELSE '0' END || 'E' " \
+            f"|| CAST(length(CAST({cents} AS VARCHAR)) - 3 AS VARCHAR)"
+    q["sales_events_json"] = _with(MONTHLY, EVENTS) + f"""
+        SELECT '{{"event_id":"' || event_id || '","event_type":"' || event_type || '","sales_month":"'
+            || sales_month || '","category":"' || category || '","order_count":' || order_count
+            || ',"total_quantity":' || total_quantity || ',"total_revenue":'
+            || CASE WHEN total_revenue < 10000000 THEN {plain} ELSE {power} END || '}}' AS value
+        FROM sales_events"""
     q["sales_events_stream"] = q["sales_events"]
     q["consumed_latest_events"] = q["sales_events"]
     return q
