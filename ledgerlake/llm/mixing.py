@@ -34,8 +34,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import mix, small_batches, stash, text_chunks, word_bounds, word_hashes
+from ledgerlake.llm.common import _LOWER, mix, small_batches, stash, text_chunks, word_bounds, word_hashes
 
+STEMS = (4, 6)  # bytes
 _KIND = np.full(256, 3, np.uint64)  # letters beyond ASCII
 _KIND[:128] = 64 + np.arange(128)   # signs stand for themselves
 for _a, _b, _v in (("A", "Z", 1), ("a", "z", 3), ("0", "9", 2)):
@@ -43,25 +44,39 @@ for _a, _b, _v in (("A", "Z", 1), ("a", "z", 3), ("0", "9", 2)):
 
 
 def _tokens(data, offs):
-    """Hashes of words and of word shapes (kinds of the first two and last
-    three bytes), and where each row's begin."""
+    """Hashes of words, of word shapes (kinds of the first two and last three
+    bytes) and of the beginnings of longer words (``STEMS`` bytes), and where
+    each row's begin in the first two; a stem's row besides."""
     h, at = word_hashes(data, offs)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     if not len(h):
-        return h, h, at
+        return h, h, at, none
     s, e = word_bounds(data, offs)
-    e = e - 1
+    size, e = e - s, e - 1
     k = [_KIND[data[s]], _KIND[data[np.minimum(s + 1, e)]],
          _KIND[data[np.maximum(e - 2, s)]], _KIND[data[np.maximum(e - 1, s)]], _KIND[data[e]]]
     shape = np.zeros(len(s), np.uint64)
     for x in k:
         shape = shape * np.uint64(256) + x
-    return h, mix(shape + np.uint64(0x1234567)), at
-
-
-def _present(h, shape, at):
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    stems, rows = [], []
+    for n in STEMS:
+        long = np.flatnonzero(size > n)
+        x = np.full(len(long), n, np.uint64)
+        for j in range(n):
+            x = x * np.uint64(0x100000001B3) ^ _LOWER[data[s[long] + j]].astype(np.uint64)
+        stems.append(mix(x + np.uint64(0x57E3)))
+        rows.append(row[long])
+    return h, mix(shape + np.uint64(0x1234567)), at, (np.concatenate(stems), np.concatenate(rows))
+
+
+def _present(h, shape, at, stems):
     """Distinct tokens of each row."""
-    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-        yield np.unique(np.concatenate([h[a:b], shape[a:b]]))
+    order = np.argsort(stems[1], kind="stable")
+    of = stems[0][order]
+    cut = np.searchsorted(stems[1][order], np.arange(len(at)))
+    for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+        yield np.unique(np.concatenate([h[a:b], shape[a:b], of[cut[i]:cut[i + 1]]]))
 
 
 @dataclass
@@ -78,24 +93,24 @@ class DomainModel:
     bar: float = 1.0
     missed: dict[str, float] = field(default_factory=dict)  # reached less target share
 
-    def hits(self, h, shape, at) -> tuple[np.ndarray, np.ndarray]:
+    def hits(self, h, shape, at, stems) -> tuple[np.ndarray, np.ndarray]:
         """(row, token) of the model's tokens present in each row."""
         if not len(self.grams) or not len(h):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         row = np.repeat(np.arange(len(at) - 1), np.diff(at))
-        both = np.concatenate([h, shape])
-        where = np.minimum(np.searchsorted(self.grams, both), len(self.grams) - 1)
-        hit = self.grams[where] == both
-        pair = np.unique(np.concatenate([row, row])[hit] * len(self.grams) + where[hit])
+        every = np.concatenate([h, shape, stems[0]])
+        where = np.minimum(np.searchsorted(self.grams, every), len(self.grams) - 1)
+        hit = self.grams[where] == every
+        pair = np.unique(np.concatenate([row, row, stems[1]])[hit] * len(self.grams) + where[hit])
         return pair // len(self.grams), pair % len(self.grams)
 
     def posteriors(self, column) -> tuple[np.ndarray, np.ndarray]:
         """(words, posteriors) of an Arrow string column."""
         words, post = [], []
         for _, data, offs in text_chunks(column):
-            h, shape, at = _tokens(data, offs)
+            h, shape, at, stems = _tokens(data, offs)
             odds = np.tile(self.bias, (len(at) - 1, 1))
-            row, tok = self.hits(h, shape, at)
+            row, tok = self.hits(h, shape, at, stems)
             for d in range(len(self.domains)):
                 odds[:, d] += np.bincount(row, self.weight[tok, d], len(at) - 1)
             p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
@@ -116,7 +131,7 @@ class DomainModel:
 
 def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", domain_col: str = "domain", sample: int = 20_000,
-                  n_features: int = 240, least_z: float = 6.0, passes: int = 7) -> DomainModel:
+                  n_features: int = 360, least_z: float = 6.0, passes: int = 15) -> DomainModel:
     """``labels``: rows (id_col, domain_col)."""
     small_batches(docs.sparkSession)
     named = (labels.filter(labels[id_col].isNotNull() & labels[domain_col].isNotNull())
@@ -194,7 +209,8 @@ def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def _train(rows: DataFrame, model: DomainModel, total: int, passes: int, ridge: float = 1e-4) -> None:
-    """Newton steps of the logistic fits; sets bias and weight."""
+    """Newton steps of the logistic fits; sets bias and weight. A step that
+    makes a domain's penalised loss worse is halved until it does not."""
     k, f = len(model.domains), len(model.grams) + 1
     place = {d: i for i, d in enumerate(model.domains)}
 
@@ -217,7 +233,7 @@ def _train(rows: DataFrame, model: DomainModel, total: int, passes: int, ridge:
 
     def sums(batches):
         import pandas as pd
-        acc = np.zeros((k, f, f + 1))
+        acc, loss = np.zeros((k, f, f + 1)), np.zeros((k, f + 1))
         for b in batches:
             for s in range(0, b.num_rows, 4096):
                 c = b.slice(s, 4096)
@@ -227,34 +243,41 @@ def _train(rows: DataFrame, model: DomainModel, total: int, passes: int, ridge:
                 x[row, np.asarray(lists.flatten())] = 1
                 x[:, -1] = 1
                 y = np.asarray(c.column(0))
-                p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+                z = x @ beta
+                p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
                 for d in range(k):
+                    loss[d, 0] += (np.logaddexp(0, z[:, d]) - z[:, d] * (y == d)).sum()
                     acc[d, :, :f] += x.T @ (x * (p[:, d] * (1 - p[:, d]))[:, None])
                     acc[d, :, f] += x.T @ ((y == d) - p[:, d])
         import pyarrow as pa
-        flat = acc.reshape(k * f, f + 1)
+        flat = np.vstack([acc.reshape(k * f, f + 1), loss])
         yield pa.RecordBatch.from_pandas(pd.DataFrame(
-            {"i": np.arange(k * f, dtype=np.int32), "s": list(flat)}), preserve_index=False)
+            {"i": np.arange(k * f + k, dtype=np.int32), "s": list(flat)}), preserve_index=False)
 
     def add(pdf):
         import pandas as pd
         return pd.DataFrame({"i": pdf["i"].iloc[:1], "s": [np.sum(np.stack(pdf["s"]), axis=0)]})
 
     shape = "i int, s array<double>"
+    held, low, step = beta.copy(), np.full(k, np.inf), np.zeros((f, k))
     for _ in range(passes):
         got = data.mapInArrow(sums, shape).groupBy("i").applyInPandas(add, shape).collect()
-        acc = np.stack([r["s"] for r in sorted(got, key=lambda r: r["i"])]).reshape(k, f, f + 1)
-        moved = 0.0
+        flat = np.stack([r["s"] for r in sorted(got, key=lambda r: r["i"])])
+        acc = flat[:k * f].reshape(k, f, f + 1)
+        loss = flat[k * f:, 0] + ridge * total / 2 * (beta ** 2).sum(axis=0)
         new = beta.copy()
         for d in range(k):
-            h = acc[d, :, :f] + ridge * total * np.eye(f)
-            g = acc[d, :, f] - ridge * total * beta[:, d]
-            step = np.clip(np.linalg.solve(h, g), -3, 3)
-            new[:, d] += step
-            moved = max(moved, np.abs(step).max())
+            if loss[d] > low[d] * (1 + 1e-9):
+                step[:, d] /= 2
+            else:
+                held[:, d], low[d] = beta[:, d], loss[d]
+                h = acc[d, :, :f] + ridge * total * np.eye(f)
+                step[:, d] = np.linalg.solve(h, acc[d, :, f] - ridge * total * beta[:, d])
+            new[:, d] = held[:, d] + step[:, d]
         beta = new
-        if moved < 0.01:
+        if np.abs(step).max() < 0.01:
             break
+    beta = np.where(np.abs(step).max(axis=0) < 0.01, beta, held)  # the last step was not tried
     model.weight, model.bias = beta[:-1], beta[-1]
 
 

@@ -147,3 +147,19 @@ def test_op6_quality(spark):
     train = quality.labelled(stats.filter(seen), labels.filter(seen))
     again = quality.score(stats, quality.fit(train)).toPandas().set_index("doc_id")["score"]
     assert np.allclose(got.set_index("doc_id")["score"], again.loc[got["doc_id"]], atol=1e-6)
+
+
+def test_domains_by_the_beginning_of_words(spark):
+    """What marks a domain may be a family of words, each of them rare, and
+    words that always come with it; separable labels make no wild weights."""
+    rows = [(i, f"calm text {i} of the plain kind" if i % 4 else f"calm text {i} has vilest{i}x and also nastie{i}y")
+            for i in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = docs.selectExpr("doc_id", "CASE WHEN doc_id % 4 = 0 THEN 'bad' ELSE 'good' END AS domain")
+    model = mixing.learn_domains(docs, labels.filter("doc_id < 800"))
+    out = mixing.memberships(docs, model).toPandas().set_index("doc_id")
+    p = np.stack(out["posterior"].loc[range(1600)])[:, model.domains.index("bad")]
+    assert ((p > 0.5) == (np.arange(1600) % 4 == 0)).all()
+    assert np.isfinite(model.weight).all() and np.abs(model.weight).max() < 50
+    many = labels.selectExpr("doc_id", "concat('d', doc_id % 40) AS domain")  # more domains than features
+    assert len(mixing.learn_domains(docs, many, n_features=40).domains) == 40
