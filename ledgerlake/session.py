@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # one write as several tables opens a writer a kind instead of sorting the rows
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -130,6 +132,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.maxConcurrentOutputFileWriters": DEFAULT_CONF["spark.sql.maxConcurrentOutputFileWriters"],
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
