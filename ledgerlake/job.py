@@ -18,8 +18,11 @@ stage collects data to the driver (only observed row counts come back):
    the two forms (Q4), in total and cell by cell, and the gap between their
    definitions;
 7. export: gold extract to CSV (K4), re-read (S5), published (K5);
-8. consume: streaming drain of the topic into JSON lines (T2-T4).
+8. consume: streaming drain of the topic into JSON lines (T2-T4) and, with a
+   namespace, into the table of the latest copy of every event (D25).
 
+With a ``ledger`` folder, kept from run to run, landed files are loaded once:
+bronze is all loads so far, and a run that finds nothing new loads nothing.
 With a catalog ``namespace`` all tables are versions of managed tables, switched
 in at the end (``sources.store.CatalogStore``): readers of the namespace see the
 last whole run until then. Without one they are folders under the run root.
@@ -33,6 +36,7 @@ import argparse
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.concurrency import run_concurrently
 from ledgerlake.plans import sqlforms
@@ -42,8 +46,10 @@ from ledgerlake.plans.medallion import REJECTED, Store, StoredSilver, build_gold
 from ledgerlake.plans.quality import (duplicate_keys, parse_rejects, stage_counts,
                                      status_distribution)
 from ledgerlake.plans.quarantine import MODES, ParseFailure
+from ledgerlake.schemas import EXTRACT_COLUMNS
 from ledgerlake.session import cluster_conf, get_session, scratch_dir, stored_bytes
 from ledgerlake.sources.extracts import raw_extracts
+from ledgerlake.sources.ledger import Landing
 from ledgerlake.sources.store import CatalogStore, PathStore
 from ledgerlake.streaming import events as ev
 
@@ -71,6 +77,33 @@ def sql_tables(spark: SparkSession, silver: StoredSilver) -> dict[str, DataFrame
     }
 
 
+def _bronze(spark: SparkSession, store: Store, landing: str, files: dict[str, str],
+            counts: dict[str, int]) -> dict[str, DataFrame]:
+    """Stage 2 from the whole landing folder: bronze and broken lines stored."""
+    landed = run_concurrently({name: (lambda name=name: store_bronze(
+        store, scan_bronze(spark, landing, name, file_name=files.get(name)), name))
+        for name in EXTRACT_FILES})
+    counts.update({f"bronze_{name}": n["whole_rows"] for name, n in landed.items()})
+    counts[BROKEN_LINES] = store.write(BROKEN_LINES, broken_lines(store, list(EXTRACT_FILES)))["rows"]
+    return {name: store.read(f"bronze_{name}") for name in EXTRACT_FILES}
+
+
+def _bronze_of_ledger(spark: SparkSession, store: Store, landing: str, files: dict[str, str],
+                      ledger: str, counts: dict[str, int]) -> dict[str, DataFrame]:
+    """Stage 2 with a ledger: only new files are loaded."""
+    loads = Landing(spark, ledger)
+    for name, default in EXTRACT_FILES.items():
+        new = loads.load(name, f"{landing}/{files.get(name, default)}", EXTRACT_COLUMNS[name])
+        counts[f"new_files_{name}"], counts[f"new_rows_{name}"] = new["files"], new["rows"]
+    broken = None
+    for name in EXTRACT_FILES:
+        rows = loads.read_loaded(name, EXTRACT_COLUMNS[name], broken=True).select(
+            F.lit(name).alias("dataset"), "source_file", "raw_line")
+        broken = rows if broken is None else broken.unionAll(rows)
+    counts[BROKEN_LINES] = store.write(BROKEN_LINES, broken)["rows"]
+    return {name: loads.read_loaded(name, EXTRACT_COLUMNS[name]) for name in EXTRACT_FILES}
+
+
 def _store_all(store: Store, tables: dict[str, DataFrame]) -> dict[str, int]:
     return run_concurrently({name: (lambda df=df, name=name: store.write(name, df)["rows"])
                              for name, df in tables.items()})
@@ -79,7 +112,7 @@ def _store_all(store: Store, tables: dict[str, DataFrame]) -> dict[str, int]:
 def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | None = None,
                root: str | None = None, namespace: str | None = None,
                fmt: str = "parquet", files: dict[str, str] | None = None,
-               on_bad: str = "fail", buckets: int | None = None) -> dict:
+               on_bad: str = "fail", buckets: int | None = None, ledger: str | None = None) -> dict:
     """Run every stage; ``files`` maps customers / products / sales_orders to
     their file names under ``landing`` when they differ from the defaults.
 
@@ -96,12 +129,9 @@ def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | No
         landing = land_extracts(spark, raw_extracts(spark, sf_dir), f"{root}/landing")
     counts: dict[str, int] = {}
 
-    landed = run_concurrently({name: (lambda name=name: store_bronze(
-        store, scan_bronze(spark, landing, name, file_name=(files or {}).get(name)), name))
-        for name in EXTRACT_FILES})
-    counts.update({f"bronze_{name}": n["whole_rows"] for name, n in landed.items()})
-    counts[BROKEN_LINES] = store.write(BROKEN_LINES, broken_lines(store, list(EXTRACT_FILES)))["rows"]
-    bronze = {name: store.read(f"bronze_{name}") for name in EXTRACT_FILES}
+    files = files or {}
+    bronze = (_bronze_of_ledger(spark, store, landing, files, ledger, counts) if ledger
+              else _bronze(spark, store, landing, files, counts))
 
     try:
         silver = build_silver(spark, bronze, on_bad=on_bad, store=store)
@@ -127,6 +157,9 @@ def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | No
     ev.consume(spark, topic, sink, f"{root}/_checkpoints/consumer").awaitTermination()
     counts["consumed_events"] = ev.read_consumed(spark, sink).count()
     store.publish()
+    if isinstance(store, CatalogStore):
+        ev.maintain_latest(spark, topic, store, f"{root}/_checkpoints/latest").awaitTermination()
+        counts[ev.LATEST] = ev.read_latest(store).count()
     return {"root": root, "counts": counts}
 
 
@@ -138,6 +171,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--namespace", help="write versioned managed tables of this schema")
     ap.add_argument("--on-bad", default="fail", choices=MODES,
                     help="what a value that can't be parsed does")
+    ap.add_argument("--ledger", help="folder of the loaded files' ledger, kept from run to run")
     ap.add_argument("--buckets", type=int,
                     help="bucket customers and orders by customer (with --namespace)")
     ap.add_argument("--format", default="parquet", help="table format (parquet, delta, ...)")
@@ -155,7 +189,7 @@ def main(argv: list[str] | None = None) -> None:
         spark.conf.set(key, value)
     files = dict(kv.split("=", 1) for kv in a.files.split(",") if kv)
     out = run_weekly(spark, a.sf_dir, a.landing, a.root, a.namespace, a.format, files,
-                     a.on_bad, a.buckets)
+                     a.on_bad, a.buckets, a.ledger)
     print(json.dumps(out))
 
 

@@ -14,6 +14,7 @@ event id in a catalog table instead, batch by batch.
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 
@@ -151,20 +152,23 @@ def latest_events(log: DataFrame) -> DataFrame:
 LATEST = "latest_events"
 
 
-def replace_latest(store: CatalogStore, batch: DataFrame, batch_id: int, name: str = LATEST) -> bool:
+def replace_latest(store: CatalogStore, batch: DataFrame, batch_id: int, name: str = LATEST,
+                   stream: str = "") -> bool:
     """Merge one batch of logged events into the keyed table ``name`` (one row
     per event id, as ``latest_events``); says whether it changed anything.
 
     The table's new version and the id of the batch it holds are switched in
     one catalog operation, so a batch that is replayed (or replayed after a
-    crash between the switch and the stream's own commit) is skipped. The cost
-    of a batch is the batch and the distinct ids, not the log.
+    crash between the switch and the stream's own commit) is skipped. Batches
+    are numbered anew by another ``stream`` (another checkpoint). The cost of a
+    batch is the batch and the distinct ids, not the log.
     """
-    if int(store.properties(name).get("batch", -1)) >= batch_id:
+    done = store.properties(name)
+    if done.get("stream") == stream and int(done.get("batch", -1)) >= batch_id:
         return False
     rows = batch.unionByName(store.read(name)) if store.has(name) else batch
     store.write(name, _latest(rows))
-    store.publish([name], batch=batch_id)
+    store.publish([name], batch=batch_id, stream=stream)
     return True
 
 
@@ -174,8 +178,9 @@ def maintain_latest(spark: SparkSession, topic: str, store: CatalogStore, checkp
     """T2/T4 + D25 as a table kept up to date: drain the topic, each batch
     merged by ``replace_latest``."""
     events = decode(_topic(spark, topic, fmt, options), schema=LOGGED_EVENT)
+    stream = hashlib.sha1(checkpoint.encode()).hexdigest()
     return (events.writeStream
-            .foreachBatch(lambda batch, batch_id: replace_latest(store, batch, batch_id, name))
+            .foreachBatch(lambda batch, batch_id: replace_latest(store, batch, batch_id, name, stream))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())

@@ -107,6 +107,10 @@ def test_keyed_table_skips_replayed_batches(spark):
     # an older publish that arrives late does not win
     assert ev.replace_latest(store, logged[0], 2)
     assert diff_counts(want, ev.read_latest(store)).first() == (0, 0)
+    # another stream numbers its batches anew
+    assert ev.replace_latest(store, logged[2], 0, stream="next")
+    assert not ev.replace_latest(store, logged[0], 0, stream="next")
+    assert diff_counts(logged[2].drop(ev.PUBLISHED), ev.read_latest(store)).first() == (0, 0)
     # through a stream: drained, then nothing new
     topic, ckpt = f"{root}/topic", f"{root}/ckpt"
     store2 = CatalogStore(spark, f"{name}_s", location=f"{root}/tables_s")

@@ -91,6 +91,37 @@ def test_weekly_job_from_landing_folder_with_custom_names(spark):
     assert totals == sorted(totals, reverse=True) and len(totals) > 5
 
 
+def test_weekly_job_loads_each_file_once(spark, namespace):
+    """Three runs over one landing folder and ledger: all, nothing, one new file."""
+    root = scratch_dir(spark, "weekly-ledger")
+    extracts = raw_extracts(spark, SF_SMALL)
+    orders = extracts["sales_orders"]
+    late = F.crc32("order_id") % 4 == 0
+    extracts["sales_orders"] = orders.filter(~late)
+    for name, df in extracts.items():
+        write_csv(df.coalesce(1), f"{root}/in/{name}.csv")
+    run = lambda: run_weekly(spark, landing=f"{root}/in", namespace=namespace,
+                             ledger=f"{root}/ledger")["counts"]
+    first = run()
+    assert first["new_rows_sales_orders"] == extracts["sales_orders"].count()
+    second = run()
+    assert {k: v for k, v in second.items() if k.startswith("new_")} == {
+        f"new_{what}_{name}": 0 for what in ("files", "rows") for name in extracts}
+    assert second["silver_orders"] == first["silver_orders"]
+    write_csv(orders.filter(late).coalesce(1), f"{root}/in/sales_orders.csv", mode="append")
+    third = run()
+    assert third["new_files_sales_orders"] == 1 and third["new_files_customers"] == 0
+    assert third["new_rows_sales_orders"] == orders.filter(late).count()
+    want = R.q_clean_orders(spark, SF_SMALL)
+    assert diff_counts(want, spark.table(f"{namespace}.silver_orders").select(*want.columns)).first() == (0, 0)
+    # the table of latest events follows the runs: the last publish of every id
+    events = R.q_sales_events(spark, SF_SMALL)
+    latest = spark.table(f"{namespace}.latest_events")
+    assert third["latest_events"] == latest.count() >= events.count()
+    assert diff_counts(events, latest.join(events.select("event_id"), "event_id", "left_semi")
+                       .select(*events.columns)).first() == (0, 0)
+
+
 JOB = """
 import sys
 from ledgerlake.session import get_session
