@@ -82,7 +82,8 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     base = (docs.select(docs[id_col].alias("doc_id"), words(docs[text_col]).alias("ws"))
             .filter("doc_id IS NOT NULL"))
     own = sets.select(F.col("h").alias("item_h")).distinct()
-    own = F.broadcast(own) if own.count() <= broadcast_rows else own
+    n_own = own.count()
+    own = F.broadcast(own) if n_own <= broadcast_rows else own
     all_hashes = F.concat(*[F.coalesce(_hashes(F.col("ws"), w), F.array().cast("array<bigint>"))
                             for w in widths])
     hits = stash(base.select("doc_id", F.explode(F.array_distinct(all_hashes)).alias("h"))
@@ -121,6 +122,9 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     texts = base.join(some, F.col("doc_id") == F.col("cand"), "left_semi")
     sequences = F.concat(*[shingles(F.col("ws"), w) for w in widths])
     held = texts.select(F.col("doc_id").alias("h_doc"), F.explode(F.array_distinct(sequences)).alias("held"))
+    if n_own <= broadcast_rows // 10:  # as texts they take some ten times the room
+        known = sets.select(F.col("shingle").alias("known")).distinct()
+        held = held.join(F.broadcast(known), F.col("held") == F.col("known"), "left_semi")
     asked = near.join(theirs, (F.col("item_id") == F.col("t_item")) & (F.col("w") == F.col("t_w")))
     return (asked.join(held.distinct(), (F.col("doc_id") == F.col("h_doc")) & (F.col("shingle") == F.col("held")))
             .groupBy("doc_id", "item_id", "w", "n").agg(F.count(F.lit(1)).alias("shared")).filter(enough)
