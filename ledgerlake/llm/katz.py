@@ -37,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import mix, stash, text_chunks, word_hashes
+from ledgerlake.llm.common import mix, small_batches, stash, text_chunks, word_hashes
 
 START = np.uint64(0x51A7)
 END = np.uint64(0xE4D)
@@ -371,6 +371,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for every row; documents whose id's crc32 is ``rest`` modulo ``modulus``
     are held out of the counts."""
     spark, top = docs.sparkSession, top_discount
+    small_batches(spark)
     base = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("t"))
     uni = stash(base.mapInArrow(_count_unigrams(modulus, rest), "w bigint, c bigint")
                 .groupBy("w").agg(F.sum("c").alias("c")), "katz-unigrams")
