@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.concurrency import run_concurrently
 from ledgerlake.plans import sqlforms
-from ledgerlake.plans.bronze import (EXTRACT_FILES, broken_lines, land_extracts, scan_bronze,
+from ledgerlake.plans.bronze import (EXTRACT_FILES, broken_lines, land, scan_bronze,
                                      store_bronze)
 from ledgerlake.plans.medallion import REJECTED, Store, StoredSilver, build_gold, build_silver
 from ledgerlake.plans.quality import (duplicate_keys, parse_rejects, stage_counts,
@@ -78,10 +78,11 @@ def sql_tables(spark: SparkSession, silver: StoredSilver) -> dict[str, DataFrame
 
 
 def _bronze(spark: SparkSession, store: Store, landing: str, files: dict[str, str],
-            counts: dict[str, int]) -> dict[str, DataFrame]:
+            multi_line: dict[str, bool], counts: dict[str, int]) -> dict[str, DataFrame]:
     """Stage 2 from the whole landing folder: bronze and broken lines stored."""
     landed = run_concurrently({name: (lambda name=name: store_bronze(
-        store, scan_bronze(spark, landing, name, file_name=files.get(name)), name))
+        store, scan_bronze(spark, landing, name, file_name=files.get(name),
+                           multi_line=multi_line[name]), name))
         for name in EXTRACT_FILES})
     counts.update({f"bronze_{name}": n["whole_rows"] for name, n in landed.items()})
     counts[BROKEN_LINES] = store.write(BROKEN_LINES, broken_lines(store, list(EXTRACT_FILES)))["rows"]
@@ -112,9 +113,12 @@ def _store_all(store: Store, tables: dict[str, DataFrame]) -> dict[str, int]:
 def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | None = None,
                root: str | None = None, namespace: str | None = None,
                fmt: str = "parquet", files: dict[str, str] | None = None,
-               on_bad: str = "fail", buckets: int | None = None, ledger: str | None = None) -> dict:
+               on_bad: str = "fail", buckets: int | None = None, ledger: str | None = None,
+               multi_line: bool = True) -> dict:
     """Run every stage; ``files`` maps customers / products / sales_orders to
-    their file names under ``landing`` when they differ from the defaults.
+    their file names under ``landing`` when they differ from the defaults;
+    ``multi_line=False`` says that no landed value holds a line break, so that
+    large files are read by many tasks.
 
     A strict run (``on_bad="fail"``) that meets values it can't parse stores
     (and publishes) the broken lines and the reject rows, then raises
@@ -125,13 +129,14 @@ def run_weekly(spark: SparkSession, sf_dir: str | None = None, landing: str | No
     root = root or scratch_dir(spark, "weekly")
     store: Store = (CatalogStore(spark, namespace, fmt, buckets=buckets) if namespace
                     else PathStore(spark, root, fmt))
+    breaks = dict.fromkeys(EXTRACT_FILES, multi_line)
     if landing is None:
-        landing = land_extracts(spark, raw_extracts(spark, sf_dir), f"{root}/landing")
+        landing, breaks = land(spark, raw_extracts(spark, sf_dir), f"{root}/landing")
     counts: dict[str, int] = {}
 
     files = files or {}
     bronze = (_bronze_of_ledger(spark, store, landing, files, ledger, counts) if ledger
-              else _bronze(spark, store, landing, files, counts))
+              else _bronze(spark, store, landing, files, breaks, counts))
 
     try:
         silver = build_silver(spark, bronze, on_bad=on_bad, store=store)
@@ -171,6 +176,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--namespace", help="write versioned managed tables of this schema")
     ap.add_argument("--on-bad", default="fail", choices=MODES,
                     help="what a value that can't be parsed does")
+    ap.add_argument("--plain-lines", action="store_true",
+                    help="no landed value holds a line break: split large files")
     ap.add_argument("--ledger", help="folder of the loaded files' ledger, kept from run to run")
     ap.add_argument("--buckets", type=int,
                     help="bucket customers and orders by customer (with --namespace)")
@@ -189,7 +196,7 @@ def main(argv: list[str] | None = None) -> None:
         spark.conf.set(key, value)
     files = dict(kv.split("=", 1) for kv in a.files.split(",") if kv)
     out = run_weekly(spark, a.sf_dir, a.landing, a.root, a.namespace, a.format, files,
-                     a.on_bad, a.buckets, a.ledger)
+                     a.on_bad, a.buckets, a.ledger, not a.plain_lines)
     print(json.dumps(out))
 
 

@@ -24,14 +24,22 @@ EXTRACT_FILES = {
 }
 
 
+def land(spark: SparkSession, extracts: dict[str, DataFrame],
+         landing: str | None = None) -> tuple[str, dict[str, bool]]:
+    """Write each extract as a header CSV folder ``<landing>/<file name>/``;
+    returns the landing folder and which extracts hold line breaks (the others'
+    files can be split inside by their readers)."""
+    landing = landing or scratch_dir(spark, "landing")
+    breaks = run_concurrently({name: (lambda name=name, df=df:
+                                      write_csv(df, f"{landing}/{EXTRACT_FILES[name]}"))
+                               for name, df in extracts.items()})
+    return landing, {name: n > 0 for name, n in breaks.items()}
+
+
 def land_extracts(spark: SparkSession, extracts: dict[str, DataFrame],
                   landing: str | None = None) -> str:
-    """Write each extract as a header CSV folder ``<landing>/<file name>/``."""
-    landing = landing or scratch_dir(spark, "landing")
-    run_concurrently({name: (lambda name=name, df=df:
-                             write_csv(df, f"{landing}/{EXTRACT_FILES[name]}"))
-                      for name, df in extracts.items()})
-    return landing
+    """``land`` for readers that take any file."""
+    return land(spark, extracts, landing)[0]
 
 
 def scan_bronze(spark: SparkSession, landing: str, name: str, literal_source: bool = True,
@@ -51,9 +59,9 @@ def scan_bronze(spark: SparkSession, landing: str, name: str, literal_source: bo
 
 
 def read_bronze(spark: SparkSession, landing: str, name: str, literal_source: bool = True,
-                file_name: str | None = None) -> DataFrame:
+                file_name: str | None = None, multi_line: bool = True) -> DataFrame:
     """The whole lines of ``scan_bronze``."""
-    return whole_lines(scan_bronze(spark, landing, name, literal_source, file_name))
+    return whole_lines(scan_bronze(spark, landing, name, literal_source, file_name, multi_line))
 
 
 def store_bronze(store: PathStore | CatalogStore, rows: DataFrame, name: str) -> dict[str, int]:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.plans import gold, quality, sqlforms
 from ledgerlake.operators.ordered import in_stored_order, sorted_rows
-from ledgerlake.plans.bronze import (EXTRACT_FILES, broken_lines, land_extracts, read_bronze,
+from ledgerlake.plans.bronze import (EXTRACT_FILES, broken_lines, land, land_extracts, read_bronze,
                                      scan_bronze, store_bronze)
 from ledgerlake.plans.medallion import StoredSilver, build_silver
 from ledgerlake.schemas import CUSTOMER_COLUMNS, EXTRACT_COLUMNS
@@ -44,8 +44,8 @@ _LOCK = threading.Lock()
 def landed_bronze(spark: SparkSession, sf_dir: str, landing: str,
                   extracts: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The three extracts landed as CSV under ``landing`` and read back."""
-    land_extracts(spark, extracts or raw_extracts(spark, sf_dir), landing)
-    return {name: read_bronze(spark, landing, name).select(*EXTRACT_COLUMNS[name])
+    _, breaks = land(spark, extracts or raw_extracts(spark, sf_dir), landing)
+    return {name: read_bronze(spark, landing, name, multi_line=breaks[name]).select(*EXTRACT_COLUMNS[name])
             for name in EXTRACT_FILES}
 
 

@@ -14,9 +14,10 @@ opened and never closed takes the rest of its file into one value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import all_string
@@ -81,9 +82,16 @@ def with_lineage(df: DataFrame, file_label: str | None = None) -> DataFrame:
     return df.select("*", origin.alias(LINEAGE[0]), F.current_timestamp().alias(LINEAGE[1]))
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Land a frame as header CSV, padding preserved (one file per partition)."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """Land a frame as header CSV, padding preserved (one file per partition).
+
+    Returns how many rows hold a line break, counted on the write: where there
+    are none, the files can be read with ``multi_line=False``."""
+    text = F.concat_ws("", *[F.col(c) for c in df.columns])
+    obs = Observation(f"landed-{uuid.uuid4().hex[:12]}")
+    df = df.observe(obs, F.count_if(F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r"))).alias("breaks"))
     df.write.mode(mode).options(**_DIALECT).csv(path)
+    return int(obs.get["breaks"])
 
 
 def export_csv(df: DataFrame, path: str, rename: dict[str, str] | None = None) -> None:

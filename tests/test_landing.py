@@ -17,7 +17,9 @@ AWKWARD = ["a\nb", "", None, 'q"uote', "back\\slash", "end\\", '"', "a,b", "cr\r
 def test_values_survive_landing(spark):
     rows = [(str(i), x, y) for i, x in enumerate(AWKWARD) for y in (None, "", "z")]
     path = f"{scratch_dir(spark, 'awkward')}/x.csv"
-    write_csv(spark.createDataFrame(rows, "id string, a string, b string").repartition(3), path)
+    breaks = write_csv(spark.createDataFrame(rows, "id string, a string, b string").repartition(3), path)
+    assert breaks == sum(any(c in (x or "") for c in "\n\r") for _, x, _ in rows) > 0
+    assert write_csv(spark.createDataFrame([("a", None), ("b", '"')], "a string, b string"), f"{path}.plain") == 0
     back = scan_csv(spark, path, ["id", "a"])
     assert back.columns == ["id", "a", "b", BROKEN]
     assert broken_only(back).count() == 0
