@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,11 +85,14 @@ DATASETS = {
 
 
 def _bad_values(dataset: str) -> Column:
-    """Over typed rows that keep their raw text in ``_RAW``: what didn't parse."""
-    return F.array_compact(F.array(*[
-        F.when(F.col(f"{_RAW}.{c}").isNotNull() & F.col(c).isNull(),
-               F.struct(F.lit(c).alias("column_name"), F.col(f"{_RAW}.{c}").alias("raw_value")))
-        for c in PARSED_COLUMNS[dataset]]))
+    """Over typed rows that keep their raw text in ``_RAW``: what didn't parse
+    (the list is only gone through where there is some)."""
+    bad = {c: F.col(f"{_RAW}.{c}").isNotNull() & F.col(c).isNull() for c in PARSED_COLUMNS[dataset]}
+    listed = F.array_compact(F.array(*[
+        F.when(is_bad, F.struct(F.lit(c).alias("column_name"), F.col(f"{_RAW}.{c}").alias("raw_value")))
+        for c, is_bad in bad.items()]))
+    none = F.array().cast("array<struct<column_name:string,raw_value:string>>")
+    return F.when(reduce(or_, bad.values()), listed).otherwise(none)
 
 
 def typed_with_kinds(bronze: DataFrame, dataset: str, on_bad: str) -> DataFrame:
@@ -101,8 +106,8 @@ def typed_with_kinds(bronze: DataFrame, dataset: str, on_bad: str) -> DataFrame:
     good = F.coalesce(d.keep(), F.lit(False))
     if on_bad == "quarantine":
         good = good & ~F.exists(BAD, lambda b: ~b["column_name"].isin(*LENIENT_COLUMNS))
-    kinds = F.array_compact(F.array(F.when(good, "good").otherwise("dropped"),
-                                    F.when(F.size(BAD) > 0, "rejected")))
+    kind = F.when(good, "good").otherwise("dropped")
+    kinds = F.when(F.size(BAD) > 0, F.array(kind, F.lit("rejected"))).otherwise(F.array(kind))
     return typed.withColumn(KINDS, kinds)
 
 

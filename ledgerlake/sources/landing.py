@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -87,9 +89,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> int:
 
     Returns how many rows hold a line break, counted on the write: where there
     are none, the files can be read with ``multi_line=False``."""
-    text = F.concat_ws("", *[F.col(c) for c in df.columns])
+    broken = [F.contains(F.col(c).cast("string"), F.lit(b)) for c in df.columns for b in "\n\r"]
     obs = Observation(f"landed-{uuid.uuid4().hex[:12]}")
-    df = df.observe(obs, F.count_if(F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r"))).alias("breaks"))
+    df = df.observe(obs, F.count_if(reduce(or_, broken)).alias("breaks"))
     df.write.mode(mode).options(**_DIALECT).csv(path)
     return int(obs.get["breaks"])
 
